@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import mixing, packing
+from simlane.llm import ann_bits, exact_topk, mixing, packing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,30 @@ def _read(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_rotated_bits(spark, sf_dir):
+    """The 20 nearest by inner product of every 20th vector."""
+    e = _read(spark, sf_dir, "embeddings")
+    return ann_bits.nearest(e, e.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@_query
+def op5_pivot_distance(spark, sf_dir):
+    """The 10 highest integer inner products of every 100th vector."""
+    e = _read(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(e, e.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+ORACLES["op5_pivot_distance"] = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM p
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10"""
+
+
 @_query
 def op7_poisson_mix(spark, sf_dir):
     """Sources at shares that follow the square root of their size."""
