@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, mixing, packing
+from simlane.llm import ann_bits, exact_topk, mixing, packing, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,12 @@ def op3_rotated_bits(spark, sf_dir):
     return ann_bits.nearest(e, e.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+@_query
+def op4_simhash(spark, sf_dir):
+    """Fingerprints of all documents and what they link to within three bits."""
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_pivot_distance(spark, sf_dir):
     """The 10 highest integer inner products of every 100th vector."""
