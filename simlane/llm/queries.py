@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, mixing, packing, simhash
+from simlane.llm import ann_bits, exact_topk, mixing, packing, simhash, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,12 @@ ORACLES["op7_poisson_mix"] = mixing.oracle_sql()
 def op9_length_buckets(spark, sf_dir):
     """Eight optimal buckets of at most 2048 tokens, batches of 16384."""
     return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_zstd_warc(spark, sf_dir):
+    """All pages written to archives and read back."""
+    return warc.archived(_read(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_zstd_warc"] = warc.ORACLE
