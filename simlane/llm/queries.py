@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, mixing, packing, simhash, warc
+from simlane.llm import ann_bits, exact_topk, mixing, packing, quality, simhash, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,12 @@ def op7_poisson_mix(spark, sf_dir):
 ORACLES["op7_poisson_mix"] = mixing.oracle_sql()
 
 
+@_query
+def op8_nb_svm(spark, sf_dir):
+    """Quality of all documents, learned from the labels that aren't held out."""
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 @_query
 def op9_length_buckets(spark, sf_dir):
     """Eight optimal buckets of at most 2048 tokens, batches of 16384."""
