@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, mixing, packing, quality, simhash, warc
+from simlane.llm import ann_bits, exact_topk, langid, mixing, packing, quality, simhash, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,12 @@ def _read(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_byte_gru(spark, sf_dir):
+    """The language of all documents."""
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_rotated_bits(spark, sf_dir):
     """The 20 nearest by inner product of every 20th vector."""
