@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, langid, mixing, packing, quality, simhash, warc
+from simlane.llm import ann_bits, exact_topk, langid, mixing, packing, pii, quality, simhash, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,12 @@ SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FRO
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10"""
 
 
+@_query
+def op6_weak_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    return pii.spans(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_poisson_mix(spark, sf_dir):
     """Sources at shares that follow the square root of their size."""
