@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, langid, mixing, packing, pii, quality, simhash, warc
+from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, pii, quality, simhash, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,16 @@ def _read(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_stupid_backoff(spark, sf_dir):
+    """Bigram scores of all documents by the counts of all others."""
+    s = lm_score.scores(_read(spark, sf_dir, "documents"))
+    return s.withColumn("log_score", F.round("log_score", 6)).withColumn("score", F.round("score", 6))
+
+
+ORACLES["op1_stupid_backoff"] = lm_score.ORACLE
+
+
 @_query
 def op2_byte_gru(spark, sf_dir):
     """The language of all documents."""
