@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC so that timestamps mean the same everywhere; AQE for run-time coalescing, skew splits and join changes.
 SETTINGS = {
@@ -23,3 +25,11 @@ def session(app: str = "simlane", master: str | None = None, **conf: object) ->
     for k, v in (SETTINGS | {k.replace("_", "."): str(v) for k, v in conf.items()}).items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the shared folder that spark.checkpoint.dir names; a temporary one where it is unset, as in tests."""
+    spark = df.sparkSession
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="simlane-"))
+    return df.checkpoint()
