@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,6 @@ def words(text: Column) -> Column:
 
 def segment(df: DataFrame, text: str, cut: Callable[[str], list[str]], out: str = "words") -> DataFrame:
     """Tokens by a given segmentation function, in Arrow batches; for languages that don't put spaces between words."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else list(cut(t)))
