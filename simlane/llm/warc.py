@@ -124,7 +124,10 @@ def records(data: bytes) -> Iterator[tuple[int, dict | None, str | None]]:
 
 def train(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of pages; empty where they are too few or too short."""
-    some = pages.where(F.length("html").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).select("page_id", "url", "html").collect()
+    fit = pick(pages, "page_id", "url", "html").where(F.length("html").between(1, SAMPLE_CHARS))
+    ids = fit.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES)
+    some = fit.join(F.broadcast(ids), "page_id").dropDuplicates(["page_id"]).collect()
+    some.sort(key=lambda r: r["page_id"])
     samples = []
     for r in some:
         payload = r["html"].encode("utf-8", "surrogatepass")
