@@ -56,8 +56,21 @@ def _parts(t: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(t, F.lit(pattern), F.lit(f"{MARK}$0{MARK}")), MARK, -1)
 
 
-def _spans(parts: Column, blocks: Column, offsets: Column) -> Column:
-    """Matches with their places in code points. A block's matches are gathered apart, as adding to an array copies it."""
+def _blocks(parts: Column) -> Column:
+    """The parts in blocks of BLOCK, as adding to an array copies it; none where there is no match."""
+    last = ((F.size(parts) - 1) / BLOCK).cast("int")
+    return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(parts, b * BLOCK + 1, BLOCK))).otherwise(_empty("array<string>"))
+
+
+def _offsets(blocks: Column) -> Column:
+    """Where each block begins, in code points."""
+    sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + F.length(x)))
+    zero = F.struct(F.lit(0).alias("pos"), _empty("int").alias("out"))
+    return F.aggregate(sizes, zero, lambda s, n: F.struct((s["pos"] + n).alias("pos"), F.concat(s["out"], F.array(s["pos"])).alias("out")), lambda s: s["out"])
+
+
+def _spans(blocks: Column, offsets: Column) -> Column:
+    """Matches with their places in code points; BLOCK is even, so matches have odd places in each block."""
 
     def step(s: Column, x: Column) -> Column:
         end = s["pos"] + F.length(x)
@@ -68,18 +81,7 @@ def _spans(parts: Column, blocks: Column, offsets: Column) -> Column:
         zero = F.struct(F.get(offsets, i).alias("pos"), F.lit(False).alias("odd"), _empty(SPAN).alias("out"))
         return F.aggregate(block, zero, step, lambda s: s["out"])
 
-    return F.when(F.size(parts) > 1, F.flatten(F.transform(blocks, of))).otherwise(_empty(SPAN))
-
-
-def _blocks(parts: Column) -> Column:
-    last = ((F.size(parts) - 1) / BLOCK).cast("int")
-    return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(parts, b * BLOCK + 1, BLOCK))).otherwise(_empty("array<string>"))
-
-
-def _offsets(blocks: Column) -> Column:
-    sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + F.length(x)))
-    zero = F.struct(F.lit(0).alias("pos"), _empty("int").alias("out"))
-    return F.aggregate(sizes, zero, lambda s, n: F.struct((s["pos"] + n).alias("pos"), F.concat(s["out"], F.array(s["pos"])).alias("out")), lambda s: s["out"])
+    return F.flatten(F.transform(blocks, of))
 
 
 def _digits(m: Column) -> Column:
@@ -103,31 +105,36 @@ def _small(part: Column) -> Column:
     return (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255"))
 
 
-def holds(kind: str, m: Column) -> Column:
-    """The check of a kind's match."""
-    if kind == "ip":
-        return F.forall(F.split(m, r"\."), _small)
+def _by_kind(kind: Column, **of: Column) -> Column:
+    """The column named for a kind, or null."""
+    out = F.lit(None)
+    for name, c in of.items():
+        out = F.when(kind == KINDS.index(name), c).otherwise(out)
+    return out
+
+
+def holds(kind: Column, m: Column) -> Column:
+    """The check of a kind's match; kind is its place in KINDS."""
     n = F.length(_digits(m))
-    if kind == "card":
-        return F.when(n.between(12, 19), luhn(_digits(m))).otherwise(False)
-    return n.between(9, 15) if kind == "phone" else F.lit(True)
+    card = F.when(n.between(12, 19), luhn(_digits(m))).otherwise(False)
+    return _by_kind(kind, email=F.lit(True), ip=F.forall(F.split(m, r"\."), _small), card=card, phone=n.between(9, 15))
 
 
-def _signals(kind: str, t: Column, s: Column, base: Column, check: Column) -> Column:
+def _signals(t: Column, c: Column) -> Column:
     """One character each: kind, fixed pattern, check, gazetteer, context, both boundaries, variety of digits."""
-    m = s["m"]
-    before = F.lower(F.substring(t, F.greatest(s["start"] - 24, F.lit(0)) + 1, F.least(s["start"], F.lit(24))))
-    left, right = F.substring(t, s["start"], F.least(s["start"], F.lit(1))), F.substring(t, s["end"] + 1, 1)
-    known = {
-        "email": F.lower(m).rlike(rf"[.)\] ](?:{DOMAINS})$"),
-        "ip": ~m.rlike(r"^(?:0|10|127|169\.254|192\.168|22[4-9]|2[3-5][0-9])\."),
-        "card": _digits(m).rlike(f"^{ISSUERS}"),
-        "phone": m.rlike(r"^\+[1-9]"),
-    }[kind]
-    varied = F.size(F.array_distinct(F.split(_digits(m), ""))) > 3 if kind != "email" else F.lit(True)
+    kind, m = c["kind"], c["m"]
+    before = F.lower(F.substring(t, F.greatest(c["start"] - 24, F.lit(0)) + 1, F.least(c["start"], F.lit(24))))
+    left, right = F.substring(t, c["start"], F.least(c["start"], F.lit(1))), F.substring(t, c["end"] + 1, 1)
+    known = _by_kind(
+        kind, email=F.lower(m).rlike(rf"[.)\] ](?:{DOMAINS})$"), ip=~m.rlike(r"^(?:0|10|127|169\.254|192\.168|22[4-9]|2[3-5][0-9])\."),
+        card=_digits(m).rlike(f"^{ISSUERS}"), phone=m.rlike(r"^\+[1-9]"),
+    )
+    cue = _by_kind(kind, **{k: F.lit(x) for k, x in CUES.items()})
+    varied = (kind == 0) | (F.size(F.array_distinct(F.split(_digits(m), ""))) > 3)
     one = lambda c: F.when(c, "1").otherwise("0")
-    context = F.when(before.rlike(AGAINST), "-").when(before.rlike(CUES[kind]), "+").otherwise("0")
-    return F.concat(F.lit(kind[0]), one(base), one(check), one(known), context, one(~left.rlike("[A-Za-z0-9]")), one(~right.rlike("[A-Za-z0-9]")), one(varied))
+    context = F.when(before.rlike(AGAINST), "-").when(F.rlike(before, cue), "+").otherwise("0")
+    letter = _by_kind(kind, **{k: F.lit(k[0]) for k in KINDS})
+    return F.concat(letter, one(c["base"]), one(c["check"]), one(known), context, one(~left.rlike("[A-Za-z0-9]")), one(~right.rlike("[A-Za-z0-9]")), one(varied))
 
 
 def found(docs: DataFrame, *columns: str) -> DataFrame:
@@ -135,37 +142,33 @@ def found(docs: DataFrame, *columns: str) -> DataFrame:
     order of start, then kind as in KINDS. base marks matches of the fixed patterns whose checks hold."""
     t = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit(MARK), F.lit(OTHER))
     d = pick(docs, *dict.fromkeys([*columns, "text"])).withColumn("t", t)
-    t = F.col("t")
-    d = d.withColumn("digit", t.rlike("[0-9]")).withColumn("at", F.contains(t, F.lit("@"))).withColumn("spelled", t.rlike(r"(?i)[(\[](?:at|@)[)\]]"))
-    patterns: dict[str, tuple[str, str, Column]] = {
-        "email": ("email", PATTERNS["email"], F.col("at")),
-        "ip": ("ip", PATTERNS["ip"], F.col("digit")),
-        "card": ("card", PATTERNS["card"], F.col("digit")),
-        "phone": ("phone", PATTERNS["phone"], F.col("digit") & F.contains(t, F.lit("+"))),
-        "weak_email": ("email", WEAK_EMAIL, F.col("spelled")),
-        "weak_phone": ("phone", WEAK_PHONE, F.col("digit")),
-    }
+    t, digit = F.col("t"), F.col("digit")
     names = [*columns, "t"]
-    d = d.select(*names, *[F.when(on, _parts(t, p)).otherwise(_empty("string")).alias(f"{k}_parts") for k, (_, p, on) in patterns.items()])
-    d = d.select(*names, *[x for k in patterns for x in (F.col(f"{k}_parts"), _blocks(F.col(f"{k}_parts")).alias(f"{k}_blocks"))])
-    d = d.select(*names, *[x for k in patterns for x in (F.col(f"{k}_parts"), F.col(f"{k}_blocks"), _offsets(F.col(f"{k}_blocks")).alias(f"{k}_offsets"))])
-    d = d.select(*names, *[_spans(F.col(f"{k}_parts"), F.col(f"{k}_blocks"), F.col(f"{k}_offsets")).alias(k) for k in patterns])
-    near = {"card": lambda m: F.length(_digits(m)).between(12, 19), "phone": lambda m: F.length(_digits(m)) >= 7}
-    wanted: dict[str, Callable[[Column], Column]] = {k: near.get(k, lambda m: F.lit(True)) for k in KINDS}
-    wanted |= {"weak_email": lambda m: F.lit(True), "weak_phone": lambda m: F.length(_digits(m)).between(9, 15)}
-
-    def candidates(name: str) -> Column:
-        kind = patterns[name][0]
+    d = d.select(*names, t.rlike("[0-9]").alias("digit"))
+    # the fixed patterns in the order of KINDS, then the weak ones; each is searched only where the text has what it needs
+    searched = [
+        (0, PATTERNS["email"], F.contains(t, F.lit("@"))), (1, PATTERNS["ip"], digit), (2, PATTERNS["card"], digit), (3, PATTERNS["phone"], digit & F.contains(t, F.lit("+"))),
+        (0, WEAK_EMAIL, t.rlike(r"(?i)[(\[](?:at|@)[)\]]")), (3, WEAK_PHONE, digit),
+    ]
+    d = d.select(*names, F.array(*[F.when(on, _parts(t, p)).otherwise(_empty("string")) for _, p, on in searched]).alias("parts"))
+    d = d.select(*names, F.transform("parts", _blocks).alias("blocks"))
+    d = d.select(*names, "blocks", F.transform("blocks", _offsets).alias("offsets"))
+    d = d.select(*names, F.transform("blocks", lambda b, k: _spans(b, F.get("offsets", k))).alias("spans"))
+
+    def candidates(spans: Column, k: Column) -> Column:
+        kind = F.get(F.array(*[F.lit(x) for x, _, _ in searched]), k)
+        weak = k >= len(KINDS)
 
         def of(s: Column) -> Column:
             check = holds(kind, s["m"])
-            base = check if name == kind else F.lit(False)
-            return F.struct(s["start"], F.lit(KINDS.index(kind)).alias("kind"), s["end"], base.alias("base"), _signals(kind, t, s, base, check).alias("signals"))
+            return F.struct(s["start"], s["end"], s["m"], kind.alias("kind"), check.alias("check"), (check & ~weak).alias("base"))
 
-        return F.transform(F.filter(F.col(name), lambda s: wanted[name](s["m"])), of).cast(f"array<{FOUND}>")
+        n = lambda s: F.length(_digits(s["m"]))
+        wanted = lambda s: _by_kind(kind, email=F.lit(True), ip=F.lit(True), card=n(s).between(12, 19), phone=n(s) >= F.when(weak, 9).otherwise(7)) & ~(weak & (n(s) > 15))
+        return F.transform(F.filter(spans, wanted), of)
 
-    some = F.size(F.concat(*[F.col(k) for k in patterns])) > 0
-    every = F.when(some, F.concat(*[candidates(k) for k in patterns])).otherwise(_empty(FOUND))
+    d = d.select(*names, F.flatten(F.transform("spans", candidates)).alias("met"))
+    every = F.transform("met", lambda c: F.struct(c["start"], c["kind"], c["end"], c["base"], _signals(t, c).alias("signals")).cast(FOUND))
     d = d.select(*names, F.array_sort(every).alias("found"))
     fixed = F.filter("found", lambda x: x["base"])
     d = d.select(*names, "found", fixed.alias("fixed"))

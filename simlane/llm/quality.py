@@ -122,23 +122,38 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -50, 50)))
 
 
-def coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray, size: int, rounds: int = 12, seed: int = 42) -> np.ndarray:
-    """Weights of the linear model of least |w|^2 / 2 + sum(cost x hinge loss); rows are (features, values), y is +1 or
-    -1. The dual variables stay in [0, cost] and are updated one at a time in a random order."""
-    w, a = np.zeros(size), np.zeros(len(rows))
-    square = np.array([v @ v for _, v in rows])
+@dataclass
+class Rows:
+    """Rows of distinct features, one after the other in one array; row i ends before starts[i + 1]. A row's values are
+    ratio x the block's length, made when they are needed."""
+
+    features: np.ndarray
+    starts: np.ndarray
+    ratio: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        f = self.features[self.starts[i] : self.starts[i + 1]]
+        return f, self.ratio[f] * _lengths(1, np.zeros(len(f), np.int64), f)
+
+
+def coordinate_descent(rows: Rows, own: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 12, seed: int = 42) -> tuple[np.ndarray, float]:
+    """Weights and bias (a feature of value 1) of the linear model of least |w|^2 / 2 + sum(cost x hinge loss) over the
+    rows `own`; y is +1 or -1. The dual variables stay in [0, cost] and are updated one at a time in a random order."""
+    w, bias, a = np.zeros(len(rows.ratio)), 0.0, np.zeros(len(own))
     order = np.random.default_rng(seed)
     for _ in range(rounds):
-        for i in order.permutation(len(rows)):
-            f, v = rows[i]
-            if square[i] == 0:
-                continue
-            slope = y[i] * (w[f] @ v) - 1
-            new = min(max(a[i] - slope / square[i], 0.0), cost[i])
+        for i in order.permutation(len(own)):
+            f, v = rows.row(own[i])
+            slope = y[i] * (w[f] @ v + bias) - 1
+            new = min(max(a[i] - slope / (v @ v + 1), 0.0), cost[i])
             if new != a[i]:
                 w[f] += (new - a[i]) * y[i] * v
+                bias += (new - a[i]) * y[i]
                 a[i] = new
-    return w
+    return w, bias
 
 
 def _curve(margin: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
@@ -154,29 +169,23 @@ def _curve(margin: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
     return max(float(b[0]), 1e-3), float(b[1])
 
 
-def fit_rows(sample: list[tuple[np.ndarray, int]], alpha: float = 1.0, cost: float = 1.0) -> Model:
-    """Model of (features, label) rows: a fifth of them sets the curve, the others the weights. With one class alone
+def fit_rows(features: np.ndarray, starts: np.ndarray, y: np.ndarray, alpha: float = 1.0, cost: float = 1.0) -> Model:
+    """Model of labelled rows (see Rows): a fifth of them sets the curve, the others the weights. With one class alone
     the score is that class's smoothed share."""
-    y = np.array([label for _, label in sample], bool)
     if len(y) < 2 or y.all() or not y.any():
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(FEATURES), 0.0, 1.0, float(np.log(share / (1 - share))))
-    up, down = np.full(FEATURES, alpha), np.full(FEATURES, alpha)
-    for f, label in sample:
-        (up if label else down)[f] += 1
-    ratio = np.log(up / up.sum()) - np.log(down / down.sum())
-    rows = []
-    for f, _ in sample:
-        v = ratio[f] * _lengths(1, np.zeros(len(f), np.int64), f)
-        rows.append((np.r_[f, FEATURES], np.r_[v, 1.0]))
+    of = np.repeat(y, np.diff(starts))
+    up, down = alpha + np.bincount(features[of], minlength=FEATURES), alpha + np.bincount(features[~of], minlength=FEATURES)
+    rows = Rows(features, starts, np.log(up / up.sum()) - np.log(down / down.sum()))
     costs = cost * np.where(y, len(y) / (2 * y.sum()), len(y) / (2 * (~y).sum()))
     apart = np.arange(len(y)) % 5 == 4
     own = np.flatnonzero(~apart) if len(set(y[~apart])) == 2 and len(set(y[apart])) == 2 else np.arange(len(y))
-    w = coordinate_descent([rows[i] for i in own], np.where(y[own], 1.0, -1.0), costs[own], FEATURES + 1)
+    w, bias = coordinate_descent(rows, own, np.where(y[own], 1.0, -1.0), costs[own])
     rest = np.setdiff1d(np.arange(len(y)), own) if len(own) < len(y) else own
-    margin = np.array([w[rows[i][0]] @ rows[i][1] for i in rest])
+    margin = np.array([w[f] @ v + bias for f, v in (rows.row(i) for i in rest)])
     slope, shift = _curve(margin, y[rest])
-    return Model(ratio * w[:FEATURES], float(w[FEATURES]), slope, shift)
+    return Model(rows.ratio * w, bias, slope, shift)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -196,9 +205,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 at += n
             yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["label"], pa.array(found, pa.binary())], names=["doc_id", "label", "features"])
 
-    rows = texts.mapInArrow(run, "doc_id long, label int, features binary").collect()
-    rows.sort(key=lambda r: (xxhash.xxh32_intdigest(str(r["doc_id"])), r["doc_id"], r["features"]))
-    return fit_rows([(np.frombuffer(r["features"], np.int32).astype(np.int64), r["label"]) for r in rows])
+    t = texts.mapInArrow(run, "doc_id long, label int, features binary").toArrow()
+    order = sorted(range(t.num_rows), key=lambda i: (xxhash.xxh32_intdigest(str(t["doc_id"][i])), t["doc_id"][i].as_py()))
+    t = t.take(pa.array(order, pa.int64()))
+    sizes = [len(x.as_buffer() or b"") // 4 for x in t["features"]]
+    features = np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in t["features"]] or [np.zeros(0, np.int32)])
+    return fit_rows(features, np.r_[0, np.cumsum(sizes, dtype=np.int64)], np.array(t["label"].to_pylist(), bool))
 
 
 def scored(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
