@@ -1,0 +1,382 @@
+"""Near duplicates, personal data, mixing, packing, archives and the pipeline against plain versions and edge cases."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from simlane.llm import components, mixing, packing, pii, simhash, warc
+from simlane.llm.common import pick, unit
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(spark, rows):
+    """(doc_id, text) or whole rows, with extra columns named like results."""
+    rows = [(*r, "en", "s", len(r[1] or "")) if len(r) == 2 else r for r in rows]
+    return spark.createDataFrame(rows, DOCS).withColumns({"fp": F.lit(7), "spans": F.lit("x"), "copy": F.lit(True), "Root": F.lit(None).cast("string"), "key": F.lit(1)})
+
+
+def plain_fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.one_of(st.none(), st.text(alphabet="aB cÉ\t\n\x0b\x85.", max_size=60)))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def near_groups(fps, radius):
+    group = list(range(len(fps)))
+    for i, a in enumerate(fps):
+        for j, b in enumerate(fps[:i]):
+            if (a ^ b).bit_count() <= radius and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
+def clustered(n, seed, spread=4):
+    r = random.Random(seed)
+    seeds = [r.getrandbits(64) for _ in range(max(1, n // 12))]
+    out = []
+    for _ in range(n):
+        x = r.choice(seeds)
+        for _ in range(r.randint(0, spread)):
+            x ^= 1 << r.randrange(64)
+        out.append(x)
+    return out
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
+@pytest.mark.parametrize("n", [1, 3, 64, 65, 300])
+def test_bit_sliced_distances(radius, n):
+    fps = np.array(clustered(n, n + radius), np.uint64).view(np.int64)
+    got = {(i, int(j)) for i, lanes in simhash.near_lanes(fps, radius) for j in lanes}
+    u = fps.view(np.uint64)
+    assert got == {(i, j) for i in range(n) for j in range(i + 1, n) if int(u[i] ^ u[j]).bit_count() <= radius}
+
+
+@pytest.mark.parametrize("bucket", [simhash.BUCKET_ROWS, 5])
+def test_links_lose_no_group(spark, bucket):
+    fps = sorted(set(clustered(260, 9)))
+    rows = [(i, int(np.uint64(x).view(np.int64))) for i, x in enumerate(fps)]
+    got = {r["fp"]: r["component_id"] for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, fp long"), bucket_rows=bucket).collect()}
+    want = near_groups(fps, 3)
+    assert [got[f] for _, f in rows] == want
+
+
+def test_components(spark):
+    r = random.Random(4)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(50)]
+    edges = [e for e in edges if e[0] != e[1]]
+    got = {x["node"]: x["root"] for x in components.components(spark.createDataFrame(edges + edges[:3], "a long, b long")).collect()}
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_rows():
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    base = [" ".join(r.choice(words) for _ in range(300)) for _ in range(4)]
+    rows = [(10 * i + k, b if k == 0 else b + " tail" * k) for i, b in enumerate(base) for k in range(3)]
+    return rows + [(50, "A b  C"), (51, "a\tb c"), (52, None), (53, ""), (54, " \n"), (None, base[0]), (None, "alone in the world"), (10, base[1])]
+
+
+def test_near_duplicates(spark):
+    rows = near_rows()
+    got = simhash.near_duplicates(table(spark, rows)).collect()
+    fps = [plain_fingerprint(t) for _, t in rows]
+    group = near_groups(fps, 3)
+    least = {g: min((i for (i, _), h in zip(rows, group, strict=True) if h == g and i is not None), default=None) for g in group}
+    want = [(i, f"{f:016x}", least[g]) for (i, _), f, g in zip(rows, fps, group, strict=True)]
+    assert Counter(map(str, want)) == Counter(str(tuple(r)) for r in got)
+    assert simhash.near_duplicates(table(spark, [])).count() == 0
+    kept = simhash.drop_near_duplicates(table(spark, rows)).collect()
+    assert len(kept) == len(set(group)) and kept[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(table(spark, [x for x in rows[:-1] if x[0] is not None])).collect()) == sorted({v for v in least.values() if v is not None})
+
+
+# ---------------------------------------------------------------- personal data
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def passes(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in m.split("."))
+    if kind == "card":
+        return 12 <= len(d) <= 19 and sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(int(c) for c in reversed(d))) % 10 == 0
+    return kind == "email" or 9 <= len(d) <= 15
+
+
+def plain_spans(text):
+    found = [(m.start(), list(BASE).index(k), m.end()) for k, p in BASE.items() for m in re.finditer(p, text or "") if passes(k, m[0])]
+    return ",".join(f"{list(BASE)[k]}:{s}:{e}" for s, k, e in sorted(found))
+
+
+PII = [
+    None, "", "no data", "a@b.c and x.y+z@q-r.example.com, 1.2.3.4 and 256.1.1.1 and 000255.0.0.1.9", "a@b.c_x@y.z a@b.c@d.e @x.y", "1.2.3.4.5.6.7.8 1.2.3",
+    "4111 1111 1111 1111 4111-1111-1111-1112 4111  1111", "+1 (523) 555-1055 +123 +1 2345 678901234567890", "é +49 30 1234567 ü a@b.de", "x" * 50000 + "@y.z " + "9" * 30000 + " 1 2 3 4" * 5000 + " a@b" + ".c" * 5000,
+    "ta@b.c 1.1.1.1", "𝒳 a@b.c 𝒳 4111111111111111", "a@b.c " * 1500,
+]
+
+
+def test_base_spans(spark):
+    rows = [(i, t) for i, t in enumerate(PII)]
+    got = {r["doc_id"]: r for r in pii.spans(table(spark, [*rows, (None, PII[3])])).collect()}
+    for i, t in rows:
+        want = plain_spans(t)
+        assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), (t or "")[:40]
+        assert [got[i][f"n_{k}"] for k in BASE] == [len(re.findall(rf"\b{k}:", want)) for k in BASE]
+        assert set(want.split(",")) <= set(got[i]["spans"].split(","))
+    assert got[None]["n_email"] == 2 and pii.spans(table(spark, [])).count() == 0
+
+
+def test_base_spans_of_random_texts(spark):
+    r = random.Random(8)
+    bits = ["a@b.c", "1.2.3.4", "4111111111111111", "+1 555 123 4567", "@", ".", "-", " ", "9", "+", "x", "é", "(", "255", "4", ""]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(1, 25)))) for i in range(300)]
+    for x in pii.spans(table(spark, rows)).collect():
+        assert x["base_sha256"] == hashlib.sha256(plain_spans(rows[x["doc_id"]][1]).encode()).hexdigest(), rows[x["doc_id"]]
+
+
+def test_labelers_add_what_patterns_miss(spark):
+    good = ["write to jane.doe (at) example (dot) com now", "call me, tel. +1 (569) 555-6633 4795326016703902 please"]
+    bad = ["order 4111111111111112 done", "token = aebccd4559894937c75946a5f6", "version 300.2.3.4"]
+    base = ["mail a@b.com", "host 8.8.8.8 is up", "card 4111 1111 1111 1111", "phone +49 30 1234567"] * 5
+    rows = [(i, t) for i, t in enumerate([*good, *bad, *base])]
+    got = {r["doc_id"]: r["spans"] for r in pii.spans(table(spark, rows)).collect()}
+    assert got[0] == "email:9:40" and got[1].startswith("phone:14:31")
+    assert [got[i] for i in (2, 3, 4)] == ["", "", ""]
+
+
+def test_redaction(spark):
+    rows = [(1, "é a@b.c, 1.2.3.4! +1 2345678901 end", "en", "s", 5), (2, None, None, None, 3), (3, "plain", "en", "s", 99), (4, "x.1.2.3.4@b.c", "en", "s", 13)]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.redact(table(spark, rows)).collect()}
+    assert got == {1: ("é [EMAIL], [IP]! [PHONE] end", 28), 2: (None, 3), 3: ("plain", 99), 4: ("[EMAIL]", 7)}
+
+
+def test_expectation_maximisation_trusts_what_agrees():
+    belief, prior, trust = pii.reliabilities({"c1110111": 90, "c0000111": 40, "e1110111": 20})
+    assert belief["c1110111"] > 0.9 > 0.1 > belief["c0000111"] and prior["c1"] > 0.8 and all(0.5 < t < 1 for t in trust)
+    assert pii.fit_counts({}).score("c1110111") == 0.5
+
+
+# ---------------------------------------------------------------- mixing and packing
+
+
+def mix_rows():
+    return [(i, "x" * (i % 7), "en", ["big", "big", "big", "small", None, "empty"][i % 6], 1) if i % 6 != 5 else (i, None, "en", "empty", 1) for i in range(600)] + [(None, "null id", "en", "big", 1), (7, "x" * 0, "en", "big", 1)]
+
+
+@pytest.mark.parametrize("weights", [None, {"small": 3.0, "big": 1.0}])
+def test_poisson_counts(spark, weights):
+    rows = mix_rows()
+    got = mixing.poisson_mix(table(spark, rows), weights, total=1.5).collect()
+    rate = {r["source"]: r["rate"] for r in got}
+    size = Counter()
+    for r in rows:
+        size[r[3]] += len(r[1] or "")
+    w = {s: (math.sqrt(n) if weights is None else weights.get(s, 0.0)) if n else 0 for s, n in size.items()}
+    copies = Counter((r["doc_id"], r["source"]) for r in got)
+    expected = Counter()
+    for i, _, _, s, _ in rows:
+        lam = 1.0 if not size[s] else 1.5 * sum(size.values()) * w[s] / sum(w.values()) / size[s]
+        u = (int(hashlib.md5(f"42:{'null' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        k, p = 0, math.exp(-lam)
+        c = p
+        while c < u:
+            k += 1
+            p *= lam / k
+            c += p
+        expected[i, s] += k
+        if s in rate:
+            assert abs(rate[s] - lam) < 1e-9
+    assert copies == +expected
+
+
+def test_large_rates_and_order(spark):
+    steps = spark.range(1).select(mixing.poisson_steps(F.lit(2000.0)).alias("s"), mixing.poisson_steps(F.lit(0.0)).alias("z")).first()
+    mean = sum(k * (b - a) for k, (a, b) in enumerate(zip([0.0, *steps["s"]], steps["s"], strict=False)))
+    assert abs(steps["s"][-1] - 1) < 1e-9 and abs(mean - 2000) < 1e-3 and steps["z"] == [1.0]
+    d = mixing.poisson_mix(table(spark, mix_rows()))
+    keys = d.select(F.spark_partition_id(), "order_key").collect()
+    assert keys == sorted(keys) and mixing.poisson_mix(table(spark, [])).count() == 0
+
+
+def test_mixing_equals_its_sql(spark, tmp_path):
+    d = spark.createDataFrame(mix_rows(), DOCS)
+    d.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    want = c.sql(mixing.oracle_sql()).fetchall()
+    got = mixing.poisson_mix(d).select("doc_id", "text", "lang", "source", "n_chars", F.round("rate", 9), "copy", "order_key").collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+
+
+def test_unit_is_even(spark):
+    u = [r[0] for r in spark.range(2000).select(unit(F.lit(1), F.col("id"))).collect()]
+    assert 0 < min(u) and max(u) < 1 and abs(sum(u) / 2000 - 0.5) < 0.03
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 9), max_size=7), st.integers(1, 4))
+def test_boundaries_are_optimal(hist, k):
+    lengths = sorted(hist)
+    bounds = packing.best_boundaries(np.array(lengths), np.array([hist[x] for x in lengths]), k)
+    pad = lambda b: sum(n * (min(x for x in b if x >= l) - l) for l, n in hist.items())  # noqa: E731, E741
+    if not lengths:
+        assert bounds == []
+        return
+    assert len(bounds) <= k and bounds[-1] == lengths[-1]
+    from itertools import combinations
+
+    best = min(pad([*c, lengths[-1]]) for r in range(min(k, len(lengths))) for c in combinations(lengths[:-1], r))
+    assert pad(bounds) == best
+
+
+@pytest.mark.parametrize("shard", [3, 8192])
+def test_batches(spark, shard):
+    r = random.Random(2)
+    rows = [(i, " ".join("w" * r.randint(1, 3) for _ in range(r.choice([0, 1, 3, 9, 40])))) for i in range(80)] + [(None, None), (3, "a b c"), (90, "  a\n b  "), (91, "w " * 1000)]
+    got = packing.pack(table(spark, rows), buckets=3, max_len=16, token_budget=48, shard_rows=shard).collect()
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1
+    tokens = Counter()
+    for x in got:
+        tokens[x["doc_id"]] += x["n_tokens"]
+        assert x["n_tokens"] <= x["bucket_len"] <= 16 and 0 <= x["slot"] < max(1, 48 // x["bucket_len"])
+    want = Counter()
+    for i, t in rows:
+        want[i] += count(t)
+    assert tokens == want
+    places = Counter((x["batch_id"], x["slot"]) for x in got)
+    assert max(places.values()) == 1
+    batches = {}
+    for x in got:
+        batches.setdefault(x["batch_id"], []).append(x)
+    assert all(len({x["bucket_len"] for x in b}) == 1 and sorted(x["slot"] for x in b) == list(range(len(b))) for b in batches.values())
+    assert len({x["bucket_len"] for x in got}) <= 3 and packing.pack(table(spark, [])).count() == 0
+    long = sorted((x["first"], x["n_tokens"]) for x in got if x["doc_id"] == 91)
+    assert [f for f, _ in long] == list(range(0, 1001, 16)) and long[-1][1] == 1001 % 16
+
+
+# ---------------------------------------------------------------- archives
+
+PAGES = [(1, "http://a/\r\nX: y", "<p>é</p>"), (2, None, None), (3, "u", ""), (4, "u", "<p>é</p>"), (5, "u", "x" * 300000), (5, "u", "x" * 300000), (None, "u", "<p>é</p>"), (None, "u", "only null"), (6, "u", "\r\n\r\n WARC/1.1 \r\n\r\n")]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha1": F.lit("x"), "error": F.lit(1), "HTML ": F.lit("y")})
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_archives(spark, tmp_path, least):
+    got = warc.archived(pages(spark, PAGES), f"file://{tmp_path}/w", least).collect()
+    want = []
+    for i, _, h in PAGES:
+        b = (h or "").encode()
+        ids = [j for j, _, g in PAGES if (g or "") == (h or "") and j is not None]
+        again = len(b) >= least and i != (min(ids) if ids else None)
+        want.append((i, len(b), warc.digest32(hashlib.sha1(b).digest()), "revisit" if again else "response", min(ids) if again else None))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+    texts = {bytes(r["payload"]).decode() for r in warc.read(spark, f"file://{tmp_path}/w").where("record_type = 'response'").collect()}
+    assert texts == {h or "" for _, _, h in PAGES}
+    assert warc.archived(pages(spark, [])).count() == 0
+
+
+def test_dictionary_and_rolling(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"<html><head><title>Page {i}</title></head><body class='main'>text {i * i}</body></html>" * 3) for i in range(400)]
+    w = warc.write(pages(spark, rows).repartition(2), f"file://{tmp_path}/w", archive_bytes=4096)
+    files = sorted((tmp_path / "w").glob("*.warc.zst"))
+    assert len(files) == w.count() > 2 and sum(r["records"] for r in w.collect()) == 400
+    data = files[0].read_bytes()
+    assert data[:4] == (0x184D2A5D).to_bytes(4, "little")
+    assert all(e is None for _, _, e in warc.records(data))
+    frame = data[8 + int.from_bytes(data[4:8], "little") :]
+    with pytest.raises(zstandard.ZstdError):
+        zstandard.ZstdDecompressor().decompressobj().decompress(frame)
+    assert warc.read(spark, f"file://{tmp_path}/w").where("error is null").select("page_id").distinct().count() == 400
+
+
+def test_damage_is_found():
+    good = warc.record(1, "u", b"body", hashlib.sha1(b"body").hexdigest(), "response", None, "d")
+    z = zstandard.ZstdCompressor()
+    assert next(warc.records(z.compress(good)))[2] is None
+    for bad in (good.replace(b"body", b"bodY"), good[:-1], good.replace(b"Content-Length: 4", b"Content-Length: 5"), good.replace(b"WARC-Type", b"WARC-Typo"), b"junk", good.replace(b"sha1:", b"md5:"), good + b"x"):
+        assert next(warc.records(z.compress(bad)))[2] is not None
+    assert [e is None for _, _, e in warc.records(z.compress(good) + z.compress(good)[:-3])] == [True, False]
+    assert [e is None for _, _, e in warc.records(z.compress(good) + b"xxxx")] == [True, False]
+
+
+def test_pick_by_exact_name(spark):
+    d = spark.range(1).select(F.lit(1).alias("Text"), F.lit(2).alias("text"), F.lit(3).alias("doc_id"))
+    assert tuple(pick(d, "doc_id", "text").first()) == (3, 2)
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def test_pipeline_stages(spark, small):
+    import corpus_pipeline as p
+
+    base = small.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
+    names = [n for n, _ in p.STAGES]
+    assert names == ["quality", "near_duplicates", "personal_data", "mixing", "packing"]
+    stages = dict(p.STAGES)
+    kept = stages["quality"](spark, docs, base).cache()
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert sum((i in ids) == (q == 1) for i, q in labels.items()) / len(labels) > 0.98 and kept.columns == list(p.COLUMNS)
+    single = stages["near_duplicates"](spark, kept, base).cache()
+    rows = kept.select("doc_id", "text").collect()
+    fps = [plain_fingerprint(r["text"]) for r in rows]
+    u = np.array(fps, np.uint64)
+    least, todo = {}, set(range(len(rows)))
+    while todo:
+        stack, seen = [todo.pop()], set()
+        while stack:
+            i = stack.pop()
+            seen.add(i)
+            new = {int(j) for j in np.flatnonzero(np.bitwise_count(u[i] ^ u) <= 3)} & todo
+            todo -= new
+            stack += new
+        least[min(rows[i]["doc_id"] for i in seen)] = seen
+    assert {r["doc_id"] for r in single.select("doc_id").collect()} == set(least)
+    clean = stages["personal_data"](spark, single, base).cache()
+    assert clean.count() == single.count() and all(plain_spans(r["text"]) == "" for r in clean.collect() if "[" in (r["text"] or ""))
+    mixed = stages["mixing"](spark, clean, base).cache()
+    assert mixed.columns == list(p.COLUMNS) and mixed.count() > 0
+    packed = stages["packing"](spark, mixed, base)
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1
+    assert packed.agg(F.sum("n_tokens")).first()[0] == sum(count(r["text"]) for r in mixed.collect())
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline as p
+
+    d = str(tmp_path)
+    for name, rows in (("none", []), ("odd", [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "w " * 3000, "en", "s", 6000)])):
+        spark.createDataFrame(rows, DOCS).write.parquet(f"{d}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/{name}/labels.parquet")
+        out = p.run(spark, f"{d}/{name}").collect()
+        assert (len(out) == 0) if not rows else len(out) >= 0
