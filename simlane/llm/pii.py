@@ -14,7 +14,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import pick
+from simlane.llm.common import pick, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 KINDS = ("email", "ip", "card", "phone")
@@ -257,8 +257,10 @@ def fit_counts(counts: dict[str, int], rounds: int = 400, rate: float = 0.5, rid
 
 
 def fit(docs: DataFrame) -> Model:
-    """The labelers' reliabilities and the classifier, from the candidates of all documents."""
-    rows = found(docs).select(F.explode("found.signals").alias("s")).groupBy("s").count().collect()
+    """The labelers' reliabilities and the classifier, from the candidates of all documents. The signals are written
+    before they are counted: over an explode the optimizer would repeat the search for each filter it infers."""
+    signals = staged(found(docs).select(F.transform("found", lambda x: x["signals"]).alias("s")))
+    rows = signals.select(F.explode("s").alias("s")).groupBy("s").count().collect()
     return fit_counts({r["s"]: r["count"] for r in rows})
 
 
