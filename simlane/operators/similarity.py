@@ -47,13 +47,15 @@ def recommend(docs: DataFrame, videos: DataFrame, metric: str = "cosine", thresh
     (cosine >= 0.6, or distance <= 3.0), ties by id. Returns doc, video, score, rank."""
     if threshold is None:
         threshold = 0.6 if metric == "cosine" else 3.0
-    score = cosine if metric == "cosine" else euclidean
+    # norms are taken once a vector, not once a pair
+    docs, videos = (d.where(F.col("vec").isNotNull()).withColumn("norm", F.sqrt(dot(F.col("vec"), F.col("vec")))) for d in (docs, videos))
+    norms = F.col("qn") * F.col("cn")
+    score = F.when(norms == 0, F.lit(0.0)).otherwise(dot(F.col("qv"), F.col("cv")) / norms) if metric == "cosine" else euclidean(F.col("qv"), F.col("cv"))
     pairs = tag_candidates(docs.select("id", F.explode("tags").alias("tag")), videos.select("id", F.explode("tags").alias("tag")).where(F.octet_length("tag") > 3))
     scored = (
-        pairs.join(docs.select(F.col("id").alias("q"), F.col("vec").alias("qv")), "q")
-        .join(videos.select(F.col("id").alias("c"), F.col("vec").alias("cv")), "c")
-        .where(F.col("qv").isNotNull() & F.col("cv").isNotNull())
-        .select("q", "c", score(F.col("qv"), F.col("cv")).alias("s"))
+        pairs.join(docs.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.col("norm").alias("qn")), "q")
+        .join(videos.select(F.col("id").alias("c"), F.col("vec").alias("cv"), F.col("norm").alias("cn")), "c")
+        .select("q", "c", score.alias("s"))
         .where(keep_score(F.col("s"), threshold, metric))
     )
     best = F.col("s").desc() if metric == "cosine" else F.col("s").asc()
