@@ -78,3 +78,24 @@ def grid_lines(cells: DataFrame) -> DataFrame:
 
 def score_csv(scores: DataFrame, path: str) -> None:
     scores.select("filename", "score").write.mode("overwrite").option("header", True).csv(path)
+
+
+def dump_frames(frames: DataFrame, folder: str, encode: Callable[[bytes, int, int, int], bytes], ending: str = "jpg") -> DataFrame:
+    """Writes each frame (vid, second, raw, h, w, c) as <folder>/<vid>/<second>.<ending>, by an encoder that is given,
+    and returns the paths. folder is a URI that all executors reach."""
+
+    def run(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        for pdf in batches:
+            paths = []
+            for r in pdf.itertuples():
+                store.create_dir(f"{base}/{r.vid}", recursive=True)
+                paths.append(f"{base}/{r.vid}/{r.second}.{ending}")
+                with store.open_output_stream(paths[-1]) as out:
+                    out.write(encode(r.raw, r.h, r.w, r.c))
+            yield pd.DataFrame({"path": paths})
+
+    return frames.mapInPandas(run, "path string")

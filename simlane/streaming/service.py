@@ -16,6 +16,11 @@ def intake(spark: SparkSession, folder: str, schema: str, files_per_batch: int =
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
+def submit(requests: DataFrame, folder: str) -> None:
+    """Adds requests to the intake; all of them or, if the write fails, none."""
+    requests.write.mode("append").json(folder)
+
+
 def checked(requests: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
     """Requests whose needed fields are all there and not empty, and the others."""
     ok = F.lit(True)

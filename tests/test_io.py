@@ -153,3 +153,51 @@ def test_media(spark):
     frames = media.decoded(d, lambda raw: iter([np.frombuffer(raw, np.uint8).reshape(64, 48, 3)] * 2))
     assert media.frame_features(frames).count() == 2
     assert media.scored(frames, lambda: lambda x: np.tile([0.25, 0.75], (len(x), 1))).first()["p"] == [0.25, 0.75]
+
+
+def test_frames_depth_and_limits(spark, tmp_path):
+    import time
+
+    from simlane.streaming.progress import DepthLog, TimedOut, limited
+
+    d = spark.createDataFrame([("v", 5, bytearray(b"abc"), 1, 1, 3)], "vid string, second int, raw binary, h int, w int, c int")
+    paths = [r["path"] for r in sinks.dump_frames(d, f"file://{tmp_path}/frames", lambda raw, h, w, c: raw[::-1]).collect()]
+    assert Path(paths[0]).read_bytes() == b"cba" and paths[0].endswith("/v/5.jpg")
+    with pytest.raises(TimedOut):
+        limited(time.sleep, 0.05)(5)
+    assert limited(lambda x: x + 1, 5)(1) == 2
+    seen = []
+    log = DepthLog(lambda *x: seen.append(x))
+    spark.streams.addListener(log)
+    try:
+        service.submit(spark.createDataFrame([("1",), ("2",)], "vid string"), str(tmp_path / "in"))
+        q = service.intake(spark, str(tmp_path / "in"), "vid string").writeStream.format("memory").queryName("depth").trigger(availableNow=True).start()
+        q.awaitTermination(60)
+        for _ in range(50):
+            if seen:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert sum(n for _, _, n, _ in seen) == 2
+
+
+def test_answers_expire(spark):
+    now = F.lit("2024-03-10 12:00:00").cast("timestamp")
+    at = lambda s: F.timestamp_seconds(F.unix_timestamp(now) - F.col(s))
+    asked = spark.createDataFrame([("a", 10), ("b", 301), ("c", 300), ("d", 400)], "vid string, s int").select("vid", at("s").alias("asked_at"))
+    done = spark.createDataFrame([("a", 5), ("d", 361)], "vid string, s int").select("vid", F.lit(True).alias("has_same_video"), F.lit("x").alias("same_video"), F.lit(0).alias("err_code"), at("s").alias("done_at"))
+    got = {r["vid"]: (r["err_code"], r["state"]) for r in service.answered(asked, done, now).collect()}
+    assert got == {"a": (0, "done"), "b": (1, "done"), "c": (None, "waiting"), "d": (1, "done")}
+
+
+def test_drain(spark, tmp_path):
+    service.submit(spark.createDataFrame([("1",), ("2",)], "vid string").coalesce(1), str(tmp_path / "in"))
+    got = []
+    stream = service.intake(spark, str(tmp_path / "in"), "vid string")
+    q = service.drained(stream, lambda i, x: got.append(json.loads(x)), str(tmp_path / "c"), "1 second").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert got == [[{"vid": "1"}, {"vid": "2"}]]
