@@ -20,9 +20,9 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; where the cluster names none, a temporary one is set (tests)."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="simlane-")
+    now = sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or now or "file://" + tempfile.mkdtemp(prefix="simlane-")
+    if not now:
         sc.setCheckpointDir(named)
     return named
 

@@ -198,4 +198,4 @@ s AS (
   SELECT g.r, CASE WHEN b.n > 0 THEN ln(b.n / uv.n) WHEN g.v IS NOT NULL THEN ln(0.4) + ln(greatest(u.n, 0.5) / u.total) ELSE ln(greatest(u.n, 0.5) / u.total) END AS s
   FROM g JOIN u ON u.r = g.r AND u.w = g.w LEFT JOIN u uv ON uv.r = g.r AND uv.w = g.v LEFT JOIN b ON b.r = g.r AND b.v = g.v AND b.w = g.w),
 z AS (SELECT r, sum(s) AS s FROM s GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(z.s, 0), 6) AS log_score, round(z.s / len(w), 6) AS score FROM t LEFT JOIN z USING (r)"""
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(z.s, 0), 3) AS log_score, round(z.s / len(w), 6) AS score FROM t LEFT JOIN z USING (r)"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, pii, quality, simhash, warc
+from simlane.llm.common import pick
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -23,7 +24,7 @@ def _read(spark, sf_dir: str, name: str):
 def op1_stupid_backoff(spark, sf_dir):
     """Bigram scores of all documents by the counts of all others."""
     s = lm_score.scores(_read(spark, sf_dir, "documents"))
-    return s.withColumn("log_score", F.round("log_score", 6)).withColumn("score", F.round("score", 6))
+    return s.withColumn("log_score", F.round("log_score", 3)).withColumn("score", F.round("score", 6))
 
 
 ORACLES["op1_stupid_backoff"] = lm_score.ORACLE
@@ -38,7 +39,7 @@ def op2_byte_gru(spark, sf_dir):
 @_query
 def op3_rotated_bits(spark, sf_dir):
     """The 20 nearest by inner product of every 20th vector."""
-    e = _read(spark, sf_dir, "embeddings")
+    e = pick(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return ann_bits.nearest(e, e.where(F.col("vec_id") % 20 == 0), k=20)
 
 
@@ -51,7 +52,7 @@ def op4_simhash(spark, sf_dir):
 @_query
 def op5_pivot_distance(spark, sf_dir):
     """The 10 highest integer inner products of every 100th vector."""
-    e = _read(spark, sf_dir, "embeddings")
+    e = pick(_read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return exact_topk.top_k(e, e.where(F.col("vec_id") % 100 == 0), k=10)
 
 

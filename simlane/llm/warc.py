@@ -230,7 +230,8 @@ def archived(pages: DataFrame, folder: str | None = None, least: int = 0) -> Dat
     payload_digest (bare base 32 SHA-1), record_type and refers_to of each record.
 
     A null html is an empty payload; a null url leaves its header out, line breaks in one are percent-encoded; null ids are written as an empty number and read
-    as null; repeated rows are repeated records; other columns are ignored; an empty table writes no archive."""
+    as null; repeated rows are repeated records; other columns are ignored; an empty table writes no archive. The archives
+    stay in the folder, by default a new one beside the checkpoints; the result reads them whenever it is computed."""
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
