@@ -154,7 +154,11 @@ def strip_intro(spark, sf_dir):
     return lists.select("vid", F.size(S.strip_intro(F.col("h"), [r["hash"] for r in top] or _INTRO)).alias("n"))
 
 
-@query("change_detection")
+@query("change_detection", """WITH RECURSIVE e AS (SELECT user_id AS vid, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, value AS v, substr(md5(CAST(event_id AS VARCHAR)), 1, 4) AS hash FROM events),
+s AS (SELECT vid, pos, v, hash, hash <> '0000' AS take, CASE WHEN hash <> '0000' THEN v END AS key FROM e WHERE pos = 1
+  UNION ALL SELECT vid, pos, v, hash, take, CASE WHEN take THEN v ELSE key END FROM (
+    SELECT e.vid, e.pos, e.v, e.hash, s.key, abs(e.v - s.v) > 20 AND (s.key IS NULL OR abs(e.v - s.key) > 20) AND e.hash <> '0000' AS take FROM s JOIN e ON e.vid = s.vid AND e.pos = s.pos + 1))
+SELECT vid, coalesce(string_agg(hash, ' ' ORDER BY pos) FILTER (take), '') AS hashes FROM s GROUP BY vid""")
 def change_detection(spark, sf_dir):
     """Events of a user as frames; a frame's feature is its value."""
     e = table(spark, sf_dir, "events")
@@ -162,4 +166,4 @@ def change_detection(spark, sf_dir):
 
     pos = (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("int")
     frames = e.select(F.col("user_id").alias("vid"), pos.alias("pos"), F.array(F.col("value")).alias("feature"), F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 4).alias("hash"))
-    return S.changes(frames, 20.0, ["0000"])
+    return S.changes(frames, 20.0, ["0000"]).withColumn("hashes", F.array_join("hashes", " "))

@@ -137,7 +137,7 @@ def keyed_values(spark, sf_dir):
     return keyed.values(landing, keyed.members(landing, "video", "20240310"))
 
 
-@query("callback_bodies")
+@query("callback_bodies", """SELECT 'jsonResult=' || url_encode('{"doc_id":' || doc_id || ',"quality":' || quality || ',"toxic":' || toxic || '}') AS body FROM labels""")
 def callback_bodies(spark, sf_dir):
     return sinks.callback_bodies(table(spark, sf_dir, "labels"))
 

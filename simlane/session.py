@@ -30,6 +30,7 @@ def session(app: str = "simlane", master: str | None = None, **conf: object) ->
 def checkpointed(df: DataFrame) -> DataFrame:
     """df written to the shared folder that spark.checkpoint.dir names; a temporary one where it is unset, as in tests."""
     spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="simlane-"))
+    if not spark.sparkContext.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="simlane-"))
     return df.checkpoint()
