@@ -83,12 +83,18 @@ def numbered_rows(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     return ranged.withColumn("idx", (base + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at"), offset
 
 
-def bag_matches(queries: DataFrame, items: DataFrame) -> DataFrame:
-    """(q, c, matches): the sum over hashes of the times it occurs in q and in c. Occurrences are counted before the
-    join, so a hash repeated within a sequence is joined once; a self match is left out."""
+def bags(queries: DataFrame, items: DataFrame) -> DataFrame:
+    """(q, c, matches, covered): the sum over hashes of the times it occurs in q and in c, and the places of q whose hash
+    c has. Occurrences are counted before the join, so a hash repeated within a sequence is joined once; a self match
+    is left out."""
     q = queries.groupBy(F.col("vid").alias("q"), "hash").agg(F.count("*").alias("nq"))
     c = items.groupBy(F.col("vid").alias("c"), "hash").agg(F.count("*").alias("nc"))
-    return q.join(c, "hash").where(F.col("q") != F.col("c")).groupBy("q", "c").agg(F.sum(F.col("nq") * F.col("nc")).alias("matches"))
+    met = q.join(c, "hash").where(F.col("q") != F.col("c"))
+    return met.groupBy("q", "c").agg(F.sum(F.col("nq") * F.col("nc")).alias("matches"), F.sum("nq").alias("covered"))
+
+
+def bag_matches(queries: DataFrame, items: DataFrame) -> DataFrame:
+    return bags(queries, items).drop("covered")
 
 
 def run_matches(queries: DataFrame, items: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
