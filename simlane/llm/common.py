@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,3 +43,14 @@ def unit(*parts: Column) -> Column:
     """A number in (0, 1) from the MD5 of the parts, ':' between them; null parts count as 'null'."""
     key = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
     return (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
+
+
+def slices(data: bytes, size: int) -> Iterator[bytes]:
+    """A text in slices of about so many bytes that end at ASCII white space, so that its words stay whole."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        while end < len(data) and data[end] not in b" \t\n\r\v\f":
+            end += 1
+        yield data[at:end]
+        at = end

@@ -3,7 +3,6 @@ through time in numpy. It labels every byte; a document's probabilities are the
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,6 @@ TRAIN_BYTES, WINDOW_BYTES = 64, 256
 HIDDEN, STEPS, BATCH, RATE = 8, 200, 256, 0.02
 #: Windows run at once.
 LANES = 4096
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -220,7 +218,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         for b in batches:
             texts = b["text"].to_pylist()
             p, labels = document_probabilities(m, texts) if m.langs else (np.zeros((len(texts), 1)), np.zeros((len(texts), 1), np.int64))
-            named = np.array([bool(m.langs) and bool(_LETTER.search(t or "")) for t in texts], bool)
+            named = np.array([bool(m.langs) and any(map(str.isalpha, t or "")) for t in texts], bool)
             best = p.argmax(axis=1)
             at = np.arange(len(texts))
             size = labels.sum(axis=1)

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import pick
+from simlane.llm.common import pick, slices
 
 ORDER, ALPHA = 2, 0.4
 #: Tokens of a chunk and entries of a bucket, about; the numbers of both grow with the corpus.
@@ -39,15 +39,10 @@ class _Words(dict):
 
 def word_hashes(text: str | None, known: _Words) -> np.ndarray:
     """Hashes of the words (A-Z lower-cased, split at ASCII white space) of the whole text, a slice at a time."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()
-    parts, at = [], 0
-    while at < len(data):
-        end = min(len(data), at + SLICE)
-        while end < len(data) and data[end] not in b" \t\n\r\v\f":
-            end += 1
-        words = data[at:end].split()
+    parts = []
+    for part in slices((text or "").encode("utf-8", "surrogatepass").lower(), SLICE):
+        words = part.split()
         parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import pick, staged
+from simlane.llm.common import pick, slices, staged
 from simlane.llm.components import components
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,25 +26,36 @@ BUCKET_ROWS = 16384
 #: Small buckets are compared together up to about so many lanes.
 LANES = 512
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bytes of a text that are split into words at once.
+SLICE = 4_000_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64-bit SimHash of the whole text: words of the text with A-Z lower-cased, shingles with repeats, XXH64; a bit is
     1 if it is set in over half the hashes. Fewer words than a shingle: one hash of all; none or null: 0."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    whole = b" ".join(words)
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.r_[0, ends[:-1] + 1][:n].tolist()
-    ends = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    count = np.zeros(64, np.int64)
-    for lo in range(0, n, 32768):
-        h = np.array([digest(whole[s:e], seed) for s, e in zip(starts[lo : lo + 32768], ends[lo : lo + 32768], strict=True)], np.uint64)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        count += bits.sum(axis=0, dtype=np.uint32)
+    count, n = np.zeros(64, np.int64), 0
+    words: list[bytes] = []
+
+    def add(h: np.ndarray) -> None:
+        nonlocal count, n
+        count = count + np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+        n += len(h)
+
+    for part in slices((text or "").encode("utf-8", "surrogatepass").lower(), SLICE):
+        # the last words of the slice before begin the shingles that reach into this one
+        words = words[max(0, len(words) - shingle + 1) :] if len(words) >= shingle else words
+        words = words + part.split()
+        if len(words) < shingle:
+            continue
+        whole = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.r_[0, ends[:-1] + 1][: len(words) - shingle + 1].tolist()
+        ends = ends[shingle - 1 :].tolist()
+        for lo in range(0, len(starts), 32768):
+            add(np.array([digest(whole[s:e], seed) for s, e in zip(starts[lo : lo + 32768], ends[lo : lo + 32768], strict=True)], np.uint64))
+    if not n and words:
+        add(np.array([digest(b" ".join(words), seed)], np.uint64))
     return int(np.packbits(2 * count > n, bitorder="little").view(np.uint64)[0])
 
 

@@ -39,6 +39,13 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
+@pytest.mark.parametrize("size", [1, 2, 7])
+def test_fingerprint_of_slices(monkeypatch, size):
+    monkeypatch.setattr(simhash, "SLICE", size)
+    for text in ("a", "a b", "a b c", "  aa   bb cc dd\n ee ff ", "word " * 20, "é " * 9):
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
 def near_groups(fps, radius):
     group = list(range(len(fps)))
     for i, a in enumerate(fps):
