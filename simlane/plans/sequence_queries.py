@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from simlane.operators import dedup as D
 from simlane.operators import sequences as S
 from simlane.plans.registry import query, table
+from simlane.session import checkpointed
 from simlane.sources import sinks
 
 
@@ -21,7 +22,9 @@ def sequences(spark, sf_dir):
 
 
 def sides(spark, sf_dir):
-    occ = sequences(spark, sf_dir)
+    """Queries and index. Detection reads each side several times (bags, lengths, cells), so the sequences, a few bytes a
+    line, are written once instead of cutting and hashing all texts again for each."""
+    occ = checkpointed(sequences(spark, sf_dir))
     return occ.where(F.col("vid") % 2 == 1), occ.where(F.col("vid") % 2 == 0)
 
 
@@ -112,9 +115,7 @@ def detect_known(spark, sf_dir):
 @query("self_building_v2")
 def self_building_v2(spark, sf_dir):
     """All documents one by one in order of id, each against those found unique before it."""
-    from simlane.session import checkpointed
-
-    return D.self_building(sequences(spark, sf_dir), D.V2, checkpointed)
+    return D.self_building(checkpointed(sequences(spark, sf_dir)), D.V2, checkpointed)
 
 
 @query("index_update", f"""WITH RECURSIVE v AS ({_detect_sql(D.V2)}), {OCC}
