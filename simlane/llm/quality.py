@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import held_out, pick
+from simlane.llm.common import held_out, pick, slices
 
 #: Hashed features: one- and two-grams of words, and after them one- to three-grams of word shapes.
 WORD_BITS, SHAPE_BITS = 18, 14
@@ -21,6 +21,8 @@ FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 SAMPLE_ROWS = 6000
 #: Tokens handled at once, and words remembered.
 CHUNK_TOKENS, KNOWN_WORDS = 400_000, 1_000_000
+#: Characters of a text above which it is handled in slices.
+LONG_CHARS = 2_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -53,11 +55,14 @@ def _mixed(a: np.ndarray, b: np.ndarray | int, kind: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _features(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Distinct (doc << 20 | feature) of a run of tokens; n-grams don't cross documents."""
+def _features(codes: np.ndarray, doc: np.ndarray, before: int | None = None) -> np.ndarray:
+    """Distinct (doc << 20 | feature) of a run of tokens; n-grams don't cross documents. before: the code of the token
+    before the first one, where the run goes on with its document."""
+    if not len(codes):
+        return np.zeros(0, np.uint64)
     words, shapes = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
     same = doc[1:] == doc[:-1]
-    again = np.r_[False, same & (codes[1:] == codes[:-1])]
+    again = np.r_[before is not None and int(codes[0]) == before, same & (codes[1:] == codes[:-1])]
     shapes = shapes * np.uint64(2) + again
     zero = np.uint64(0)
     w1, s1 = _mixed(words, zero, 1), _mixed(shapes, zero, 2)
@@ -72,27 +77,32 @@ def _features(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def featurize(texts: Iterator[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(documents, their place in the run, feature) of runs of texts; a text's features are distinct and whole, also
-    where it is longer than a run: its parts overlap by two tokens and are joined."""
+    where it is longer than LONG_CHARS: its slices overlap by two tokens and are joined."""
     known = _Words()
 
-    def run(tokens: list[list[str]]) -> tuple[int, np.ndarray, np.ndarray]:
+    def run(tokens: list[list[str]], before: str | None = None) -> tuple[int, np.ndarray, np.ndarray]:
         doc = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
         codes = np.fromiter((known[w] for t in tokens for w in t), np.uint64, len(doc))
-        keys = _features(codes, doc)
+        keys = _features(codes, doc, None if before is None else known[before])
         return len(tokens), (keys >> np.uint64(20)).astype(np.int64), (keys & np.uint64(0xFFFFF)).astype(np.int64)
 
     held: list[list[str]] = []
     size = 0
     for text in texts:
-        words = (text or "").split()
-        if len(words) > CHUNK_TOKENS:
+        if len(text or "") > LONG_CHARS:
             if held:
                 yield run(held)
                 held, size = [], 0
-            parts = [run([words[max(0, i - 2) : i + CHUNK_TOKENS]])[2] for i in range(0, len(words), CHUNK_TOKENS)]
-            f = np.unique(np.concatenate(parts))
-            yield 1, np.zeros(len(f), np.int64), f
+            tail: list[str] = []
+            before = None
+            found = np.zeros(0, np.int64)
+            for part in slices(text.encode("utf-8", "surrogatepass"), LONG_CHARS):
+                words = tail + part.decode("utf-8", "surrogatepass").split()
+                found = np.union1d(found, run([words], before)[2])
+                before, tail = (words[-3] if len(words) > 2 else before), words[-2:]
+            yield 1, np.zeros(len(found), np.int64), found
             continue
+        words = (text or "").split()
         held.append(words)
         size += len(words)
         if size >= CHUNK_TOKENS:
@@ -134,9 +144,17 @@ class Rows:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
+    def __post_init__(self):
+        """Where each row's shapes begin; its features are sorted, so they follow its words."""
+        words = np.r_[0, np.cumsum(self.features < 1 << WORD_BITS)]
+        self.words = words[self.starts[1:]] - words[self.starts[:-1]]
+
     def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        f = self.features[self.starts[i] : self.starts[i + 1]]
-        return f, self.ratio[f] * _lengths(1, np.zeros(len(f), np.int64), f)
+        f, cut = self.features[self.starts[i] : self.starts[i + 1]], self.words[i]
+        v = self.ratio[f]
+        v[:cut] /= np.sqrt(max(1, cut))
+        v[cut:] /= np.sqrt(max(1, len(f) - cut))
+        return f, v
 
 
 def coordinate_descent(rows: Rows, own: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 12, seed: int = 42) -> tuple[np.ndarray, float]:

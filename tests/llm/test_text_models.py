@@ -140,10 +140,10 @@ def test_coordinate_descent_reaches_the_optimum():
     assert all(value(w) <= value(w + 0.01 * r.normal(size=6)) + 1e-6 for _ in range(200))
 
 
-def test_features_are_whole_and_distinct(monkeypatch):
-    text = "Word two, THREE!! two, " * 30
+@pytest.mark.parametrize("text", ["Word two, THREE!! two, " * 30, "a a a b b c " * 12, "x " * 200])
+def test_features_are_whole_and_distinct(monkeypatch, text):
     (_, _, whole), = list(quality.featurize(iter([text])))
-    monkeypatch.setattr(quality, "CHUNK_TOKENS", 11)
+    monkeypatch.setattr(quality, "LONG_CHARS", 41)
     (_, _, cut), = list(quality.featurize(iter([text])))
     assert whole.tolist() == cut.tolist() == sorted(set(whole.tolist()))
     assert quality.shape("Ab12!!x") == "Aa0!a"
