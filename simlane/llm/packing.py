@@ -80,10 +80,37 @@ def pack(docs: DataFrame, buckets: int = 8, max_len: int = 2048, token_budget: i
         test = F.col("n_tokens") <= b
         bucket = F.when(bucket.isNull() & test, F.lit(b)).otherwise(bucket)
         shards = F.when(shards.isNull() & test, F.lit(-(-rows // shard_rows) or 1)).otherwise(shards)
-    key = F.xxhash64(F.lit(seed), "doc_id", "piece")
-    p = p.select("*", bucket.cast("int").alias("bucket_len"), F.pmod(key, shards.cast("long")).alias("_shard"), F.xxhash64(F.lit(seed + 1), "doc_id", "piece").alias("_order"))
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("piece").cast("string"))
+    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), name)), 1, 8), 16, 10).cast("long")
+    order = F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), name))
+    p = p.select("*", bucket.cast("int").alias("bucket_len"), F.pmod(key, shards.cast("long")).alias("_shard"), order.alias("_order"))
     w = Window.partitionBy("bucket_len", "_shard").orderBy("_order", "doc_id", "piece")
     room = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.col("bucket_len"))).cast("long")
     at = p.withColumn("_at", F.row_number().over(w).cast("long") - 1)
     batch = F.concat_ws("-", F.col("bucket_len").cast("string"), F.col("_shard").cast("string"), F.floor(F.col("_at") / room).cast("string"))
     return at.select("doc_id", "piece", "first", "n_tokens", "bucket_len", batch.alias("batch_id"), F.pmod("_at", room).cast("int").alias("slot"))
+
+
+def oracle_sql(docs: str = "documents", buckets: int = 8, max_len: int = 2048, token_budget: int = 16384, shard_rows: int = 8192, seed: int = 42) -> str:
+    """The rows of pack in DuckDB's SQL. dp holds, for each number of buckets, the least padding of the first j lengths
+    and where the last bucket begins; bt walks back through it."""
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) + 1 AS n FROM {docs}),
+p AS (SELECT doc_id, CAST(i AS INTEGER) AS piece, CAST(i * {max_len} AS BIGINT) AS first, CAST(least({max_len}, n - i * {max_len}) AS BIGINT) AS n_tokens
+  FROM (SELECT doc_id, n, unnest(range(0, (n - 1) // {max_len} + 1)) AS i FROM d)),
+h AS (SELECT n_tokens AS l, count(*) AS c FROM p GROUP BY 1),
+s AS (SELECT l, CAST(sum(c) OVER (ORDER BY l) AS DOUBLE) AS c, CAST(sum(c * l) OVER (ORDER BY l) AS DOUBLE) AS cl FROM h),
+b AS (SELECT list(CAST(l AS DOUBLE) ORDER BY l) AS ls, list_prepend(0.0, list(c ORDER BY l)) AS c, list_prepend(0.0, list(cl ORDER BY l)) AS cl, count(*) AS m FROM s),
+dp AS (
+  SELECT 0 AS k, list_prepend(0.0, list_transform(ls, lambda x: CAST('inf' AS DOUBLE))) AS best, CAST([] AS BIGINT[]) AS back FROM b
+  UNION ALL SELECT k + 1, list_prepend(0.0, list_transform(costs, lambda x: list_min(x))), list_prepend(CAST(0 AS BIGINT), list_transform(costs, lambda x: CAST(list_position(x, list_min(x)) - 1 AS BIGINT)))
+  FROM (SELECT k, list_transform(range(1, m + 1), lambda j: list_transform(range(0, j), lambda i: best[i + 1] + ls[j] * (c[j + 1] - c[i + 1]) - (cl[j + 1] - cl[i + 1]))) AS costs
+    FROM dp, b WHERE k < least({buckets}, m))),
+bt AS (
+  SELECT k, m AS j FROM dp, b WHERE k = least({buckets}, m) AND m > 0
+  UNION ALL SELECT bt.k - 1, dp.back[bt.j + 1] FROM bt JOIN dp ON dp.k = bt.k WHERE dp.back[bt.j + 1] > 0),
+bounds AS (SELECT DISTINCT CAST(ls[j] AS INTEGER) AS bucket_len FROM bt, b),
+placed AS (SELECT p.*, (SELECT min(bucket_len) FROM bounds WHERE bucket_len >= n_tokens) AS bucket_len, coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || piece AS name FROM p),
+room AS (SELECT bucket_len, greatest(1, {token_budget} // bucket_len) AS room, CAST(ceil(count(*) / {shard_rows}) AS BIGINT) AS shards FROM placed GROUP BY bucket_len),
+dealt AS (SELECT *, CAST('0x' || substr(md5('{seed}:' || name), 1, 8) AS BIGINT) % shards AS shard FROM placed JOIN room USING (bucket_len)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY bucket_len, shard ORDER BY md5('{seed}:order:' || name), doc_id NULLS FIRST, piece) - 1 AS place FROM dealt)
+SELECT doc_id, piece, first, n_tokens, bucket_len, bucket_len || '-' || shard || '-' || (place // room) AS batch_id, CAST(place % room AS INTEGER) AS slot FROM numbered"""

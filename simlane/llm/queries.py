@@ -93,6 +93,9 @@ def op9_length_buckets(spark, sf_dir):
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+ORACLES["op9_length_buckets"] = packing.oracle_sql()
+
+
 @_query
 def op10_zstd_warc(spark, sf_dir):
     """All pages written to archives and read back."""

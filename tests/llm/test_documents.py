@@ -286,6 +286,20 @@ def test_batches(spark, shard):
     assert [f for f, _ in long] == list(range(0, 1001, 16)) and long[-1][1] == 1001 % 16
 
 
+def test_packing_equals_its_sql(spark, tmp_path):
+    r = random.Random(6)
+    rows = [(i, "w " * r.choice([0, 1, 2, 5, 9, 30])) for i in range(60)] + [(None, None), (None, "a b"), (3, "x"), (90, " a\n b ")]
+    d = spark.createDataFrame([(*x, "en", "s", 1) for x in rows], DOCS)
+    d.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    how = {"buckets": 3, "max_len": 16, "token_budget": 48, "shard_rows": 7}
+    got = packing.pack(d, **how)
+    assert sorted(map(str, c.sql(packing.oracle_sql(**how)).fetchall())) == sorted(str(tuple(x)) for x in got.collect())
+    c.execute("CREATE VIEW nothing AS SELECT * FROM documents WHERE false")
+    assert c.sql(packing.oracle_sql("nothing")).fetchall() == []
+
+
 # ---------------------------------------------------------------- archives
 
 PAGES = [(1, "http://a/\r\nX: y", "<p>é</p>"), (2, None, None), (3, "u", ""), (4, "u", "<p>é</p>"), (5, "u", "x" * 300000), (5, "u", "x" * 300000), (None, "u", "<p>é</p>"), (None, "u", "only null"), (6, "u", "\r\n\r\n WARC/1.1 \r\n\r\n")]
