@@ -112,7 +112,18 @@ def detect_known(spark, sf_dir):
     return D.detect(items, items, D.V2)
 
 
-@query("self_building_v2")
+_ALL = OCC.replace(" WHERE vid % 2 = 1", "")
+
+
+@query("self_building_v2", f"""WITH RECURSIVE {_ALL}, io AS (SELECT * FROM occ), {BAGS},
+pairs AS (SELECT q, c, matches, a.n AS nq, b.n AS nc FROM bags JOIN nn a ON a.vid = q JOIN nn b ON b.vid = c WHERE q > c AND a.n > 2 AND b.n > 2 AND b.n <= 3 * a.n AND a.n <= 3 * b.n),
+{WALK},
+edges AS (SELECT q, c, matches FROM pairs JOIN done USING (q, c) WHERE repeated / nq >= 0.6),
+el AS (SELECT vid, n, row_number() OVER (ORDER BY vid) AS i, coalesce((SELECT list(c) FROM edges WHERE q = vid), []) AS cs FROM nn),
+steps AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS leaders
+  UNION ALL SELECT el.i, CASE WHEN n > 2 AND NOT list_has_any(cs, leaders) THEN list_append(leaders, vid) ELSE leaders END FROM steps JOIN el ON el.i = steps.i + 1),
+led AS (SELECT unnest(leaders) AS c FROM steps WHERE i = (SELECT count(*) FROM nn))
+SELECT nn.vid, nn.n <= 2 OR nn.vid IN (SELECT c FROM led) AS leader, (SELECT arg_min(c, -matches * 1000000000 + c) FROM edges JOIN led USING (c) WHERE q = nn.vid) AS similar_vid FROM nn""")
 def self_building_v2(spark, sf_dir):
     """All documents one by one in order of id, each against those found unique before it."""
     return D.self_building(checkpointed(sequences(spark, sf_dir)), D.V2, checkpointed)
