@@ -20,6 +20,8 @@ DICTIONARY_FRAME, FRAME = 0x184D2A5D, 0xFD2FB528
 ARCHIVE_BYTES = 32 << 20
 #: The dictionary is trained on at most so many pages, chosen by hash, of at most so many characters each.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 512, 65536, 32768
+#: Repeated payloads up to which their table (a digest and an id each) is broadcast: under 10 MB.
+BROADCAST_ROWS = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ = "file string, position long, record_type string, page_id long, target_uri string, refers_to long, payload_digest string, payload_bytes long, payload binary, error string"
 
@@ -141,11 +143,13 @@ def train(pages: DataFrame) -> bytes:
 def classify(pages: DataFrame, least: int = 0) -> DataFrame:
     """page_id, url, html (null: empty), sha1 (hex), record_type and refers_to. Of pages with equal payloads of `least`
     bytes or more that with the smallest page_id is the response (rows that repeat it too) and the others revisit it;
-    null ids come last. Only payloads that occur more than once are joined."""
+    null ids come last. Only payloads that occur more than once are joined; their table is written, counted and broadcast
+    if it is small, so that pages needn't be shuffled."""
     p = pick(pages, "page_id", "url", "html").withColumn("html", F.coalesce("html", F.lit("")))
     p = p.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
     repeated = p.where(F.octet_length("html") >= least).groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("sha1", "first_id", F.lit(True).alias("hit"))
-    joined = p.join(repeated, "sha1", "left")
+    repeated = staged(repeated)
+    joined = p.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated, "sha1", "left")
     again = F.col("hit").isNotNull() & (F.octet_length("html") >= least) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.select("page_id", "url", "html", "sha1", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first_id")).alias("refers_to"))
 

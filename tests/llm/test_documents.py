@@ -309,8 +309,9 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha1": F.lit("x"), "error": F.lit(1), "HTML ": F.lit("y")})
 
 
-@pytest.mark.parametrize("least", [0, 5])
-def test_archives(spark, tmp_path, least):
+@pytest.mark.parametrize(("least", "broadcast"), [(0, 0), (0, 100), (5, 100)])
+def test_archives(spark, tmp_path, monkeypatch, least, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
     got = warc.archived(pages(spark, PAGES), f"file://{tmp_path}/w", least).collect()
     want = []
     for i, _, h in PAGES:
