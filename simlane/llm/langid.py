@@ -187,7 +187,8 @@ def _gradients(m: Model, x: np.ndarray, active: np.ndarray, y: np.ndarray) -> li
 
 def fit(docs: DataFrame, seed: int = 42) -> Model:
     """Trains on windows at hashed places of at most SAMPLE_DOCS documents of each of the MAX_LANGS most frequent
-    languages, those of least hash; documents that are held out or whose lang or text is null or empty aren't learned from."""
+    languages, those of least hash. Documents that are held out or whose lang or text is null or empty aren't learned
+    from; rows that repeat an id and language count once."""
     d = pick(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
     sizes = {r["lang"]: r["count"] for r in d.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()}
     top = list(sizes)
@@ -199,10 +200,10 @@ def fit(docs: DataFrame, seed: int = 42) -> Model:
     for name, n in sizes.items():
         below = F.when(F.col("lang") == name, F.lit(int(min(1.0, (2 * SAMPLE_DOCS + 50) / n) * 2**30))).otherwise(below)
     w = Window.partitionBy("lang").orderBy("key", "doc_id")
-    ids = d.select("doc_id", "lang", key.alias("key")).where(F.col("key") < below).withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
+    ids = d.select("doc_id", "lang", key.alias("key")).where(F.col("key") < below).distinct().withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
     room = F.greatest(F.length("text") - TRAIN_BYTES, F.lit(0)) + 1
     places = F.transform(F.array(*[F.pmod(F.xxhash64(F.lit(seed + 1 + i), "doc_id"), room) for i in range(SAMPLE_WINDOWS)]), lambda p: F.substr("text", p.cast("int") + 1, F.lit(TRAIN_BYTES)))
-    rows = d.join(F.broadcast(ids), "doc_id").where(F.col("lang").isin(top)).select("doc_id", "lang", F.array_distinct(places).alias("windows")).collect()
+    rows = d.join(F.broadcast(ids), "doc_id").where(F.col("lang").isin(top)).select("doc_id", "lang", F.array_distinct(places).alias("windows")).groupBy("doc_id", "lang").agg(F.min("windows").alias("windows")).collect()
     pairs = sorted((r["doc_id"], w.encode("utf-8", "surrogatepass")[:TRAIN_BYTES], r["lang"]) for r in rows for w in r["windows"])
     return train([p[1] for p in pairs], [p[2] for p in pairs], seed=seed)
 

@@ -208,11 +208,12 @@ def fit_rows(features: np.ndarray, starts: np.ndarray, y: np.ndarray, alpha: flo
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fitted on at most sample_rows labelled documents, those of least hash, without those held out. Of several labels
-    of a document the least counts; null labels and labels without a document count as none."""
+    of a document the least counts, of several texts the first in order, so that repeated rows can't exceed the bound.
+    Null labels and labels without a document count as none."""
     marked = pick(labels, "doc_id", "quality").where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg((F.min("quality") >= 1).cast("int").alias("label"))
     chosen = marked.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(sample_rows)
-    texts = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
