@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simlane.llm import mixing, packing, pii, quality, simhash
+from simlane.llm import mixing, near_copies, packing, pii, quality
 from simlane.llm.common import pick, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -20,8 +20,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the least id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more), that with the least id."""
+    return near_copies.drop_near_copies(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ once every lane has passed the radius."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -186,10 +186,15 @@ def groups(fps: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS)
     """fp, root, component_id for each distinct fingerprint of (doc_id, fp): the least doc_id of all documents that
     chains of links reach."""
     distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(linked(distinct, radius, bucket_rows=bucket_rows))
-    rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "root", "component_id")
+    return rooted(distinct, linked(distinct, radius, bucket_rows=bucket_rows))
+
+
+def rooted(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """fp, root and component_id for each of distinct (fp, first_id), linked by (a, b)."""
+    roots = components(links)
+    found = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    least = found.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return found.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -206,7 +211,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket_rows: int = BU
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of docs without near duplicates: of each group the row with the least doc_id stays, once."""
     fps = staged(fingerprints(docs))
-    found = staged(fps.join(groups(fps, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root"))
+    return least_rows(docs, fps, groups(fps, radius), fingerprint)
+
+
+def least_rows(docs: DataFrame, fps: DataFrame, grouped: DataFrame, fingerprint: Callable[[str | None], int]) -> DataFrame:
+    """Of each group (fp, root, component_id) the row of docs with the least doc_id, once; fps has doc_id and fp of each row."""
+    found = staged(fps.join(grouped, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root"))
     docs = pick(docs, *COLUMNS)
     unclear = fps.where(F.col("doc_id").isNull()).limit(1).union(fps.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(0).cast("long")).limit(1))
     if not unclear.take(1):
