@@ -127,6 +127,12 @@ def id_pairs(spark, sf_dir):
     return files.id_pairs(table(spark, sf_dir, "lineitem").where("l_orderkey < 200"), "l_partkey", "l_suppkey")
 
 
+@query("all_id_pairs", "SELECT unnest([l_partkey, l_suppkey]) AS id FROM lineitem")
+def all_id_pairs(spark, sf_dir):
+    """Both ids of every line; id_pairs has those of orders below 200."""
+    return files.id_pairs(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
+
+
 @query("keyed_values", "SELECT CAST(page_id AS VARCHAR) AS id, url AS value FROM pages WHERE page_id % 2 = 0 AND page_id % 5 <> 0")
 def keyed_values(spark, sf_dir):
     """A day's set of ids with the values they have; ids without one are left out."""
