@@ -61,7 +61,9 @@ def first_records(df: DataFrame, id: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(id).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def nearest_one(queries: DataFrame, items: DataFrame, score: Callable[[Column, Column], Column]) -> DataFrame:
-    """The item of highest positive score for each query that shares a block key: queries (q, key, qv), items (c, key, cv)."""
-    s = queries.join(items, "key").select("q", "c", score(F.col("qv"), F.col("cv")).alias("score")).where(F.col("score") > 0)
+def nearest_one(queries: DataFrame, items: DataFrame, score: Callable[[Column, Column], Column], meets: Column | None = None) -> DataFrame:
+    """The item of highest positive score for each query that shares a block key: queries (q, key, qv), items (c, key, cv);
+    meets, if given, says which pairs count."""
+    pairs = queries.join(items, "key")
+    s = (pairs if meets is None else pairs.where(meets)).select("q", "c", score(F.col("qv"), F.col("cv")).alias("score")).where(F.col("score") > 0)
     return s.groupBy("q").agg(F.min_by(F.struct("c", "score"), F.struct((-F.col("score")).alias("s"), "c")).alias("b")).select("q", "b.c", "b.score")

@@ -66,6 +66,23 @@ def nearest_one(spark, sf_dir):
     return text.nearest_one(q, c, similarity.cosine).withColumn("score", F.round("score", 6))
 
 
+@query("all_tag_candidates", "SELECT DISTINCT a.vec_id AS q, b.vec_id AS c FROM embeddings a JOIN embeddings b ON a.label = b.label")
+def all_tag_candidates(spark, sf_dir):
+    """Candidates of every vector; tag_candidates has those of ids divisible by ten."""
+    t = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("tag"))
+    return similarity.tag_candidates(t, t)
+
+
+@query("nearest_of_all", f"""SELECT q, c, round(s, 6) AS score FROM (SELECT a.vec_id AS q, b.vec_id AS c, {_COS} AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, c) = 1""")
+def nearest_of_all(spark, sf_dir):
+    """The nearest of every vector among all others of its label; nearest_one has a tenth of either side."""
+    e = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "key")
+    q = e.select(F.col("vec_id").alias("q"), "key", F.col("embedding").alias("qv"))
+    c = e.select(F.col("vec_id").alias("c"), "key", F.col("embedding").alias("cv"))
+    return text.nearest_one(q, c, similarity.cosine, F.col("q") != F.col("c")).withColumn("score", F.round("score", 6))
+
+
 @query("parse_records", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
 def parse_records(spark, sf_dir):
     lines = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.get_json_object("props", "$.k").alias("docid"), F.lit("t").alias("title"), F.lit("a,b").alias("dkeys"))).alias("value"))
