@@ -30,6 +30,13 @@ def op1_stupid_backoff(spark, sf_dir):
 ORACLES["op1_stupid_backoff"] = lm_score.ORACLE
 
 
+@_query
+def op1_trigram_backoff(spark, sf_dir):
+    """Trigram scores of all documents by the counts of all others."""
+    s = lm_score.scores(_read(spark, sf_dir, "documents"), order=3)
+    return s.withColumn("log_score", F.round("log_score", 3)).withColumn("score", F.round("score", 6))
+
+
 @_query
 def op2_byte_gru(spark, sf_dir):
     """The language of all documents."""
