@@ -12,15 +12,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import held_out, pick, slices
+from simlane.llm.common import held_out, pick, slices, staged
 
 #: Hashed features: one- and two-grams of words, and after them one- to three-grams of word shapes.
 WORD_BITS, SHAPE_BITS = 18, 14
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
-#: Labelled documents that the model is fitted on at most, chosen by hash of their id.
-SAMPLE_ROWS = 6000
-#: Tokens handled at once, and words remembered.
-CHUNK_TOKENS, KNOWN_WORDS = 400_000, 1_000_000
+#: Labelled documents that the model is fitted on at most, chosen by hash of their id, and their distinct features together.
+SAMPLE_ROWS, SAMPLE_FEATURES = 6000, 30_000_000
+#: Tokens handled at once, words remembered, and the longest that are.
+CHUNK_TOKENS, KNOWN_WORDS, KNOWN_CHARS = 400_000, 1_000_000, 64
 #: Characters of a text above which it is handled in slices.
 LONG_CHARS = 2_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -43,8 +43,9 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        value = (xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")) << 32) | xxhash.xxh32_intdigest(shape(word[:64]).encode("utf-8", "surrogatepass"))
-        self[word] = value
+        value = (xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")) << 32) | xxhash.xxh32_intdigest(shape(word).encode("utf-8", "surrogatepass"))
+        if len(word) <= KNOWN_CHARS:
+            self[word] = value
         return value
 
 
@@ -193,12 +194,15 @@ def fit_rows(features: np.ndarray, starts: np.ndarray, y: np.ndarray, alpha: flo
     if len(y) < 2 or y.all() or not y.any():
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(FEATURES), 0.0, 1.0, float(np.log(share / (1 - share))))
-    of = np.repeat(y, np.diff(starts))
-    up, down = alpha + np.bincount(features[of], minlength=FEATURES), alpha + np.bincount(features[~of], minlength=FEATURES)
-    rows = Rows(features, starts, np.log(up / up.sum()) - np.log(down / down.sum()))
-    costs = cost * np.where(y, len(y) / (2 * y.sum()), len(y) / (2 * (~y).sum()))
     apart = np.arange(len(y)) % 5 == 4
     own = np.flatnonzero(~apart) if len(set(y[~apart])) == 2 and len(set(y[apart])) == 2 else np.arange(len(y))
+    # the ratios are counted over the rows that set the weights, so the curve meets margins that haven't seen its labels
+    counted = np.zeros(len(y), bool)
+    counted[own] = True
+    of, used = np.repeat(y, np.diff(starts)), np.repeat(counted, np.diff(starts))
+    up, down = (alpha + np.bincount(features[used & side], minlength=FEATURES) for side in (of, ~of))
+    rows = Rows(features, starts, np.log(up / up.sum()) - np.log(down / down.sum()))
+    costs = cost * np.where(y, len(y) / (2 * y.sum()), len(y) / (2 * (~y).sum()))
     w, bias = coordinate_descent(rows, own, np.where(y[own], 1.0, -1.0), costs[own])
     rest = np.setdiff1d(np.arange(len(y)), own) if len(own) < len(y) else own
     margin = np.array([w[f] @ v + bias for f, v in (rows.row(i) for i in rest)])
@@ -206,10 +210,12 @@ def fit_rows(features: np.ndarray, starts: np.ndarray, y: np.ndarray, alpha: flo
     return Model(rows.ratio * w, bias, slope, shift)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fitted on at most sample_rows labelled documents, those of least hash, without those held out. Of several labels
-    of a document the least counts, of several texts the first in order, so that repeated rows can't exceed the bound.
-    Null labels and labels without a document count as none."""
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES) -> Model:
+    """Fitted on at most sample_rows labelled documents, those of least hash, without those held out; of these, in the
+    same order, as many as have sample_features distinct features together (each has all of its own), so that neither
+    many nor long documents exceed the driver's memory. Of several labels of a document the least counts, of several
+    texts the first in order, so that repeated rows can't exceed the bound. Null labels and labels without a document
+    count as none."""
     marked = pick(labels, "doc_id", "quality").where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg((F.min("quality") >= 1).cast("int").alias("label"))
     chosen = marked.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(sample_rows)
@@ -217,14 +223,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found, at = [], 0
+            found = []
             for n, doc, feature in featurize(t.as_py() for t in b["text"]):
                 cut = np.searchsorted(doc, np.arange(n + 1))
                 found += [feature[s:e].astype(np.int32).tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)]
-                at += n
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["label"], pa.array(found, pa.binary())], names=["doc_id", "label", "features"])
-
-    t = texts.mapInArrow(run, "doc_id long, label int, features binary").toArrow()
+            sizes = pa.array([len(x) // 4 for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["label"], sizes, pa.array(found, pa.binary())], names=["doc_id", "label", "n", "features"])
+
+    made = staged(texts.mapInArrow(run, "doc_id long, label int, n long, features binary"))
+    rows = sorted(((xxhash.xxh32_intdigest(str(r["doc_id"])), r["doc_id"], r["n"]) for r in made.select("doc_id", "n").collect()))
+    fits = np.cumsum([r[2] for r in rows]) <= sample_features
+    if not fits.all():
+        last = rows[int(np.argmin(fits))][:2]
+        kept = [r[1] for r in rows if r[:2] < last]
+        made = made.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in kept], "doc_id long")), "doc_id", "left_semi")
+    t = made.select("doc_id", "label", "features").toArrow()
     order = sorted(range(t.num_rows), key=lambda i: (xxhash.xxh32_intdigest(str(t["doc_id"][i])), t["doc_id"][i].as_py()))
     t = t.take(pa.array(order, pa.int64()))
     sizes = [len(x.as_buffer() or b"") // 4 for x in t["features"]]
