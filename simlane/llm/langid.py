@@ -8,13 +8,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simlane.llm.common import held_out, pick
+from simlane.llm.common import held_out, pick, staged
 
-#: Bounds of the training sample: the most frequent languages, documents of each by hash, and windows of a document.
-MAX_LANGS, SAMPLE_DOCS, SAMPLE_WINDOWS = 64, 300, 4
+#: Bounds of the training sample: documents of each language by hash, and windows of all languages together, each language
+#: having its equal part of them (WINDOWS_EACH at least).
+SAMPLE_DOCS, SAMPLE_WINDOWS, WINDOWS_EACH = 300, 200_000, 100
+#: Languages up to which a table with a row for each is broadcast.
+BROADCAST_LANGS = 10_000
 #: Bytes of a training window and of a window of a text; a text is labelled in windows, each with states of its own.
 TRAIN_BYTES, WINDOW_BYTES = 64, 256
 HIDDEN, STEPS, BATCH, RATE = 8, 200, 256, 0.02
@@ -185,27 +189,40 @@ def _gradients(m: Model, x: np.ndarray, active: np.ndarray, y: np.ndarray) -> li
     return [*grads[0], *grads[1], *grads[2], p.sum(axis=(0, 2))]
 
 
-def fit(docs: DataFrame, seed: int = 42) -> Model:
-    """Trains on windows at hashed places of at most SAMPLE_DOCS documents of each of the MAX_LANGS most frequent
-    languages, those of least hash. Documents that are held out or whose lang or text is null or empty aren't learned
-    from; rows that repeat an id and language count once."""
+def fit(docs: DataFrame, seed: int = 42, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS, train_bytes: int = TRAIN_BYTES) -> Model:
+    """Trains on at most sample_docs documents of each labelled language, those of least hash. Their whole texts are cut
+    into windows of train_bytes; of these each language has its part of sample_windows, again those of least hash, so
+    any place of a text can be learned from. All languages are learned. Documents that are held out or whose lang or
+    text is null or empty aren't learned from; rows that repeat an id and language count once."""
     d = pick(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["count"] for r in d.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()}
-    top = list(sizes)
-    if not top:
+    sizes = staged(d.groupBy("lang").count())
+    n_langs = sizes.count()
+    if not n_langs:
         return train([], [])
     key = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(2**30))
     # keys are even, so a threshold leaves about twice the wanted documents of each language for the exact choice
-    below = F.lit(None)
-    for name, n in sizes.items():
-        below = F.when(F.col("lang") == name, F.lit(int(min(1.0, (2 * SAMPLE_DOCS + 50) / n) * 2**30))).otherwise(below)
+    below = sizes.select("lang", F.least(F.lit(2**30), F.ceil((2.0 * sample_docs + 50) / F.col("count") * 2**30)).alias("below"))
+    below = F.broadcast(below) if n_langs <= BROADCAST_LANGS else below
     w = Window.partitionBy("lang").orderBy("key", "doc_id")
-    ids = d.select("doc_id", "lang", key.alias("key")).where(F.col("key") < below).distinct().withColumn("n", F.row_number().over(w)).where(F.col("n") <= SAMPLE_DOCS).select("doc_id").distinct()
-    room = F.greatest(F.length("text") - TRAIN_BYTES, F.lit(0)) + 1
-    places = F.transform(F.array(*[F.pmod(F.xxhash64(F.lit(seed + 1 + i), "doc_id"), room) for i in range(SAMPLE_WINDOWS)]), lambda p: F.substr("text", p.cast("int") + 1, F.lit(TRAIN_BYTES)))
-    rows = d.join(F.broadcast(ids), "doc_id").where(F.col("lang").isin(top)).select("doc_id", "lang", F.array_distinct(places).alias("windows")).groupBy("doc_id", "lang").agg(F.min("windows").alias("windows")).collect()
-    pairs = sorted((r["doc_id"], w.encode("utf-8", "surrogatepass")[:TRAIN_BYTES], r["lang"]) for r in rows for w in r["windows"])
-    return train([p[1] for p in pairs], [p[2] for p in pairs], seed=seed)
+    few = d.select("doc_id", "lang", key.alias("key")).join(below, "lang").where(F.col("key") < F.col("below")).select("doc_id", "lang", "key").distinct()
+    chosen = staged(few.withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample_docs).select("doc_id", "lang"))
+    of = F.broadcast(chosen) if n_langs * sample_docs <= 1_000_000 else chosen
+    texts = d.join(of, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                raw, doc = b["text"][i].as_py().encode("utf-8", "surrogatepass"), b["doc_id"][i].as_py()
+                for lo in range(0, len(raw), 65536 * train_bytes):
+                    starts = range(lo, min(len(raw), lo + 65536 * train_bytes), train_bytes)
+                    keys = [xxhash.xxh64_intdigest(f"{seed}:{doc}:{at}") >> 1 for at in starts]
+                    yield pa.RecordBatch.from_arrays([pa.array([b["lang"][i].as_py()] * len(keys)), pa.array(keys, pa.int64()), pa.array([raw[at : at + train_bytes] for at in starts], pa.binary())], names=["lang", "key", "window"])
+
+    each = max(WINDOWS_EACH, sample_windows // n_langs)
+    first = Window.partitionBy("lang").orderBy("key", "window")
+    rows = texts.mapInArrow(cut, "lang string, key long, window binary").withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("lang", "key", "window").collect()
+    pairs = sorted((r["lang"], r["key"], bytes(r["window"])) for r in rows)
+    return train([p[2] for p in pairs], [p[0] for p in pairs], seed=seed)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
