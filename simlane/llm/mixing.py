@@ -51,9 +51,11 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     partitions. Returns the columns of documents, rate, copy (from 1) and order_key.
 
     The variable is inverted from a number in (0, 1) hashed from seed and doc_id, so a rerun or a lost executor
-    gives the same copies. Rows with equal doc_id get equal counts. Null or empty texts have size 0: in a source of
-    only such texts the rate is 1. Null ids hash as 'null'. Other columns are dropped. An empty table gives none.
-    A hot source needs no care: rates come from one pre-aggregated sum a task, the copies are dealt by order_key."""
+    gives the same copies. Rows with equal doc_id get equal counts; a row without an id is known by its text's MD5, so
+    that such rows are drawn and dealt apart. Null or empty texts have size 0: in a source of only such texts the rate
+    is 1. Other columns are dropped. An empty table gives none. A hot source needs no care: rates come from one
+    pre-aggregated sum a task. The copies are dealt by order_key and the input split they come from, so that a row
+    that is repeated without end doesn't meet in one task either."""
     docs = pick(docs, *COLUMNS)
     rates = source_rates(docs, weights, alpha, total).select("source_key", "rate", poisson_steps(F.col("rate")).alias("steps"))
     rates = staged(rates)
@@ -61,11 +63,13 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha:
     small = n <= BROADCAST_SOURCES and (steps or 0) <= BROADCAST_STEPS
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
     joined = docs.withColumn("source_key", key).join(F.broadcast(rates) if small else rates, "source_key")
-    u = unit(F.lit(seed), F.col("doc_id"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
+    u = unit(F.lit(seed), name)
     copies = joined.withColumn("_n", F.size(F.filter("steps", lambda c: c < u))).where(F.col("_n") > 0)
     out = copies.select(*COLUMNS, "rate", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
-    out = out.withColumn("order_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string"))))
-    return out.repartition("order_key").sortWithinPartitions("order_key")
+    out = out.withColumn("order_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), name, F.col("copy").cast("string"))))
+    out = out.withColumn("_split", F.spark_partition_id())
+    return out.repartition("order_key", "_split").drop("_split").sortWithinPartitions("order_key")
 
 
 def oracle_sql(docs: str = "documents", alpha: float = 0.5, total: float = 1.0, seed: int = 42) -> str:
@@ -79,8 +83,8 @@ steps AS (
   SELECT source, rate, 0 AS k, -rate AS l, exp(-rate) AS c FROM rates
   UNION ALL SELECT source, rate, k + 1, l + ln(rate) - ln(k + 1), c + exp(l + ln(rate) - ln(k + 1)) FROM steps
   WHERE rate > 0 AND k < ceil(rate + 12 * sqrt(rate) + 30)),
-d AS (
-  SELECT *, (CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM {docs})
+n AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS name FROM {docs}),
+d AS (SELECT *, (CAST('0x' || substr(md5('{seed}:' || name), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM n)
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, round(s.rate, 9) AS rate, CAST(s.k + 1 AS INTEGER) AS copy,
-  md5('{seed}:order:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || (s.k + 1)) AS order_key
+  md5('{seed}:order:' || d.name || ':' || (s.k + 1)) AS order_key
 FROM d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source AND s.c < d.u"""
