@@ -2,8 +2,8 @@
 
 Fingerprints that differ in at most `radius` bits agree in some of the word's parts, which gives exact candidate
 buckets. Within a bucket the fingerprints are stored as bit planes: 64 of them lie side by side in a machine word,
-a carry-save counter of a few planes adds up all their distances to a query at once, and a query's block is abandoned
-once every lane has passed the radius."""
+a carry-save counter of a few planes adds up all their distances to a query at once, and a block of 64 is abandoned
+once all its lanes have passed the radius."""
 
 from __future__ import annotations
 
@@ -70,44 +70,62 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
+def _bits(fps: np.ndarray) -> np.ndarray:
+    """A row of bits (0 or 1) for each fingerprint of one or more 64-bit words, least bit first."""
+    return np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
+
+
 def planes(fps: np.ndarray) -> np.ndarray:
     """Bit planes: row b holds bit b of all fingerprints, 64 lanes a word; the last word is filled with zeros."""
-    bits = np.unpackbits(fps.astype(np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    bits = np.pad(bits, ((0, -len(fps) % 64), (0, 0)))
+    bits = np.pad(_bits(fps), ((0, -len(fps) % 64), (0, 0)))
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
 def near_lanes(fps: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, lanes j > i within the radius) for each i that has any."""
+    """(i, lanes j > i within the radius) for each i that has any. fps: 64-bit numbers, or rows of several.
+
+    The first quarter of the planes is added up for all blocks of a tile of rows; from then on only the (row, block)
+    pairs live on in which some lane is still within the radius, and each eight planes thin them out again."""
     n = len(fps)
+    if n < 2:
+        return
     p = planes(fps)
-    words = p.shape[1]
+    depth, words = p.shape
     width = max(1, radius.bit_length())
     start = 2**width - 1 - radius  # so that a counter overflows just when it passes the radius
     tile = max(16, 65536 // words)
     lane = np.arange(words * 64)
+    none = np.uint64(0)
     for lo in range(0, n, tile):
         rows = np.arange(lo, min(n, lo + tile))
-        from_word = lo // 64
-        own = p[:, from_word:]
-        bits = np.unpackbits(fps[rows].astype(np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
-        shut = (lane[None, from_word * 64 :] <= rows[:, None]) | (lane[None, from_word * 64 :] >= n)
+        skip = lo // 64
+        flip = np.where(_bits(fps[lo : lo + tile]) == 1, ALL, none)
+        shut = (lane[None, skip * 64 :] <= rows[:, None]) | (lane[None, skip * 64 :] >= n)
         over = np.packbits(shut, axis=1, bitorder="little").view(np.uint64)
-        counter = [np.full(over.shape, ALL if start >> w & 1 else np.uint64(0)) for w in range(width)]
-        for b in range(64):
-            carry = own[b][None, :] ^ np.where(bits[:, b], ALL, np.uint64(0))[:, None]
+        counter = [np.full(over.shape, ALL if start >> w & 1 else none) for w in range(width)]
+        row = block = None
+        for b in range(depth):
+            carry = p[b, skip:][None, :] ^ flip[:, b][:, None] if row is None else p[b, block] ^ flip[row, b]
             for w in range(width):
                 counter[w], carry = counter[w] ^ carry, counter[w] & carry
             over |= carry
-            if b >= 7 and b % 8 == 7:
-                alive = (over != ALL).any(axis=1)
-                if not alive.all():
-                    rows, bits, over = rows[alive], bits[alive], over[alive]
-                    counter = [c[alive] for c in counter]
-                    if not len(rows):
-                        break
-        for i, o in zip(rows.tolist(), over, strict=True):
-            yield i, np.flatnonzero(np.unpackbits((~o).view(np.uint8), bitorder="little")) + from_word * 64
+            if b % 8 == 7 and b + 1 >= depth // 4:
+                alive = over != ALL
+                if row is None:
+                    row, block = np.nonzero(alive)
+                    block = block + skip
+                else:
+                    row, block = row[alive], block[alive]
+                over, counter = over[alive], [c[alive] for c in counter]
+                if not len(over):
+                    break
+        if not len(over):
+            continue
+        begins = np.r_[0, np.flatnonzero(np.diff(row)) + 1, len(row)]
+        for s, e in zip(begins[:-1], begins[1:], strict=True):
+            near = np.unpackbits((~over[s:e]).view(np.uint8).reshape(e - s, 8), axis=1, bitorder="little")
+            k, bit = np.nonzero(near)
+            yield int(rows[row[s]]), block[s:e][k] * 64 + bit
 
 
 def local_stars(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +227,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket_rows: int = BU
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs without near duplicates: of each group the row with the least doc_id stays, once."""
+    """The rows of docs without near duplicates: of each group the row with the least doc_id stays, once; of several rows
+    of that id and fingerprint the least by text, lang, source and n_chars. A group of null ids only keeps one row."""
     fps = staged(fingerprints(docs))
     return least_rows(docs, fps, groups(fps, radius), fingerprint)
 
@@ -231,4 +250,5 @@ def least_rows(docs: DataFrame, fps: DataFrame, grouped: DataFrame, fingerprint:
     own = docs.mapInArrow(marked, f"{kinds}, fp long")
     keep = found.distinct().withColumnRenamed("doc_id", "kept_id").withColumnRenamed("fp", "kept_fp")
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
-    return own.join(keep, same).dropDuplicates(["root"]).select(*COLUMNS)
+    least = own.join(keep, same).groupBy("root").agg(F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("r"))
+    return least.select("r.*").select(*COLUMNS)
