@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -172,18 +173,20 @@ def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01
 
         def close() -> None:
             out.close()
-            store.move(f"{base}/.{name}.{t.taskAttemptId()}", f"{base}/{name}")
-            done.append((f"{folder}/{name}", count, n))
+            # the name tells how many records there are, so that the reader knows if some are lost
+            whole = f"{name}-n{count}.warc.zst"
+            store.move(f"{base}/.{name}.{t.taskAttemptId()}", f"{base}/{whole}")
+            done.append((f"{folder}/{whole}", count, n))
 
         for b in batches:
             for i in range(b.num_rows):
                 r = {c: b[c][i].as_py() for c in b.schema.names}
                 if out is None:
-                    name, n, count = f"part-{t.partitionId():05d}-{len(done):05d}.warc.zst", 0, 0
+                    name, n, count = f"part-{t.partitionId():05d}-{len(done):05d}", 0, 0
                     out = store.open_output_stream(f"{base}/.{name}.{t.taskAttemptId()}", compression=None)
                     if dictionary:
                         packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
-                        out.write(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
+                        n += out.write(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
                 frame = how.compress(record(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), r["sha1"], r["record_type"], r["refers_to"], date))
                 out.write(frame)
                 n, count = n + len(frame), count + 1
@@ -201,32 +204,47 @@ def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01
 
 def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """The records of all archives in a folder, with READ's columns; error says why one isn't valid and is null
-    otherwise. Spark's file reader opens the archives, so any store it reaches will do."""
+    otherwise. An archive with fewer or more records than its name tells (-n<records>) gives one more row with an error.
+    Spark's file reader opens the archives, so any store it reaches will do."""
     schema = pa.schema([("file", pa.string()), ("position", pa.int64()), ("record_type", pa.string()), ("page_id", pa.int64()), ("target_uri", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()), ("error", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                file, rows, size = b["path"][i].as_py(), [], 0
+                file, rows, size, found = b["path"][i].as_py(), [], 0, 0
                 for position, r, error in records(b["content"][i].as_py()):
                     r = (r or {}) | {"file": file, "position": position, "error": error}
                     size += len(r.get("payload") or b"")
+                    found += 1
                     if not payloads:
                         r["payload"] = None
                     rows.append(r)
                     if len(rows) >= 4096 or size >= 8 << 20:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows, size = [], 0
+                told = re.search(r"-n(\d+)\.warc\.zst$", file)
+                if told and int(told[1]) != found:
+                    rows.append({"file": file, "position": len(b["content"][i].as_py()), "error": f"{found} records, {told[1]} were written"})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content").mapInArrow(run, READ)
 
 
-def valid(rows: DataFrame, column: Column) -> Column:
-    """The column, or an error that names the first record found not valid."""
-    bad = F.concat_ws(": ", F.lit("WARC record not valid"), F.concat(rows["file"], F.lit("@"), rows["position"].cast("string")), rows["error"])
-    return F.when(rows["error"].isNotNull(), F.raise_error(bad).cast("long")).otherwise(column)
+def valid(rows: DataFrame) -> DataFrame:
+    """The rows; computing any of their columns fails, with the record's place, where one is not valid."""
+    bad = F.concat_ws(": ", F.lit("WARC record not valid"), F.concat(F.col("file"), F.lit("@"), F.col("position").cast("string")), F.col("error"))
+    return rows.where(F.when(F.col("error").isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(F.lit(True)))
+
+
+def check_written(spark: SparkSession, folder: str, written: DataFrame) -> None:
+    """Fails unless the folder holds the archives that were written, no others, each of its size; contents aren't read."""
+    name = F.element_at(F.split(F.col("path"), "/"), -1).alias("name")
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select(name, F.col("length").alias("there"))
+    told = written.select(F.element_at(F.split("file", "/"), -1).alias("name"), F.col("bytes").alias("told"))
+    odd = told.join(there, "name", "full").where(~F.col("told").eqNullSafe(F.col("there"))).limit(1).collect()
+    if odd:
+        raise OSError(f"archive {odd[0]['name']}: {odd[0]['told']} bytes written, {odd[0]['there']} found")
 
 
 def archived(pages: DataFrame, folder: str | None = None, least: int = 0) -> DataFrame:
@@ -234,16 +252,18 @@ def archived(pages: DataFrame, folder: str | None = None, least: int = 0) -> Dat
     payload_digest (bare base 32 SHA-1), record_type and refers_to of each record.
 
     A null html is an empty payload; a null url leaves its header out, line breaks in one are percent-encoded; null ids are written as an empty number and read
-    as null; repeated rows are repeated records; other columns are ignored; an empty table writes no archive. The archives
-    stay in the folder, by default a new one beside the checkpoints; the result reads them whenever it is computed."""
+    as null; repeated rows are repeated records with equal record ids; other columns are ignored; an empty table writes no archive. The archives
+    stay in the folder, by default a new one beside the checkpoints; the result reads them whenever it is computed.
+    Archives that are lost or cut off, and records that are, end the query with an error."""
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     written = write(pages, folder, least)
     if not written.take(1):
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    rows = read(spark, folder, payloads=False)
-    return rows.select(valid(rows, F.col("page_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    check_written(spark, folder, written)
+    rows = valid(read(spark, folder, payloads=False))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS h FROM pages),
