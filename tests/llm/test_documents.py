@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import sys
 from collections import Counter
 
 import duckdb
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 from simlane.llm import components, mixing, packing, pii, simhash, warc
 from simlane.llm.common import pick, unit
 
+sys.path.insert(0, os.path.dirname(__file__))
+from test_near_copies import least_ids  # noqa: E402
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -77,6 +82,21 @@ def test_bit_sliced_distances(radius, n):
     assert got == {(i, j) for i in range(n) for j in range(i + 1, n) if int(u[i] ^ u[j]).bit_count() <= radius}
 
 
+@pytest.mark.parametrize("radius", [20, 96])
+def test_bit_sliced_distances_of_wide_fingerprints(radius):
+    r = random.Random(radius)
+    seeds = [r.getrandbits(256) for _ in range(6)]
+    wide = []
+    for _ in range(150):
+        x = r.choice(seeds)
+        for _ in range(r.randint(0, 120)):
+            x ^= 1 << r.randrange(256)
+        wide.append(x)
+    fps = np.frombuffer(b"".join(x.to_bytes(32, "little") for x in wide), np.uint64).reshape(-1, 4)
+    got = {(i, int(j)) for i, lanes in simhash.near_lanes(fps, radius) for j in lanes}
+    assert got == {(i, j) for i in range(150) for j in range(i + 1, 150) if (wide[i] ^ wide[j]).bit_count() <= radius} != set()
+
+
 @pytest.mark.parametrize("bucket", [simhash.BUCKET_ROWS, 5])
 def test_links_lose_no_group(spark, bucket):
     fps = sorted(set(clustered(260, 9)))
@@ -206,9 +226,10 @@ def test_poisson_counts(spark, weights):
     w = {s: (math.sqrt(n) if weights is None else weights.get(s, 0.0)) if n else 0 for s, n in size.items()}
     copies = Counter((r["doc_id"], r["source"]) for r in got)
     expected = Counter()
-    for i, _, _, s, _ in rows:
+    for i, t, _, s, _ in rows:
         lam = 1.0 if not size[s] else 1.5 * sum(size.values()) * w[s] / sum(w.values()) / size[s]
-        u = (int(hashlib.md5(f"42:{'null' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        name = "null:" + hashlib.md5((t or "").encode()).hexdigest() if i is None else i
+        u = (int(hashlib.md5(f"42:{name}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
         k, p = 0, math.exp(-lam)
         c = p
         while c < u:
@@ -230,8 +251,17 @@ def test_large_rates_and_order(spark):
     assert keys == sorted(keys) and mixing.poisson_mix(table(spark, [])).count() == 0
 
 
+def test_rows_without_an_id_are_drawn_and_dealt_apart(spark):
+    rows = [(None, f"text {i}", "en", "s", 1) for i in range(400)]
+    got = mixing.poisson_mix(table(spark, rows)).collect()
+    times = Counter(r["text"] for r in got)
+    assert len(set(times.values())) > 2 and len({r["order_key"] for r in got}) == len(got)
+    shards = Counter(b["batch_id"].rpartition("-")[0] for b in packing.pack(table(spark, rows), shard_rows=40).collect())
+    assert len(shards) > 5 and max(shards.values()) < 120
+
+
 def test_mixing_equals_its_sql(spark, tmp_path):
-    d = spark.createDataFrame(mix_rows(), DOCS)
+    d = spark.createDataFrame([*mix_rows(), (None, "other null id", "en", "big", 1)], DOCS)
     d.coalesce(1).write.parquet(str(tmp_path / "documents"))
     c = duckdb.connect()
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
@@ -288,7 +318,7 @@ def test_batches(spark, shard):
 
 def test_packing_equals_its_sql(spark, tmp_path):
     r = random.Random(6)
-    rows = [(i, "w " * r.choice([0, 1, 2, 5, 9, 30])) for i in range(60)] + [(None, None), (None, "a b"), (3, "x"), (90, " a\n b ")]
+    rows = [(i, "w " * r.choice([0, 1, 2, 5, 9, 30])) for i in range(60)] + [(None, None), (None, None), (None, "a b"), (None, "a c"), (3, "x"), (90, " a\n b ")] + [(7, "same row")] * 40
     d = spark.createDataFrame([(*x, "en", "s", 1) for x in rows], DOCS)
     d.coalesce(1).write.parquet(str(tmp_path / "documents"))
     c = duckdb.connect()
@@ -349,6 +379,24 @@ def test_damage_is_found():
     assert [e is None for _, _, e in warc.records(z.compress(good) + b"xxxx")] == [True, False]
 
 
+def test_lost_archives_and_records_end_the_query(spark, tmp_path):
+    rows = [(i, f"u{i}", f"page {i} " * 40) for i in range(60)]
+    w = warc.write(pages(spark, rows), f"file://{tmp_path}/w", archive_bytes=2048)
+    folder = f"file://{tmp_path}/w"
+    warc.check_written(spark, folder, w)
+    files = sorted((tmp_path / "w").glob("*.warc.zst"))
+    lost = files[1].read_bytes()
+    files[1].unlink()
+    with pytest.raises(OSError, match="None found"):
+        warc.check_written(spark, folder, w)
+    ends = [p for p, _, _ in warc.records(lost)]
+    files[1].write_bytes(lost[: ends[-1]])
+    with pytest.raises(OSError, match="bytes written"):
+        warc.check_written(spark, folder, w)
+    with pytest.raises(Exception, match="were written"):
+        warc.valid(warc.read(spark, folder)).select("payload_bytes").collect()
+
+
 def test_pick_by_exact_name(spark):
     d = spark.range(1).select(F.lit(1).alias("Text"), F.lit(2).alias("text"), F.lit(3).alias("doc_id"))
     assert tuple(pick(d, "doc_id", "text").first()) == (3, 2)
@@ -371,19 +419,8 @@ def test_pipeline_stages(spark, small):
     assert sum((i in ids) == (q == 1) for i, q in labels.items()) / len(labels) > 0.98 and kept.columns == list(p.COLUMNS)
     single = stages["near_duplicates"](spark, kept, base).cache()
     rows = kept.select("doc_id", "text").collect()
-    fps = [plain_fingerprint(r["text"]) for r in rows]
-    u = np.array(fps, np.uint64)
-    least, todo = {}, set(range(len(rows)))
-    while todo:
-        stack, seen = [todo.pop()], set()
-        while stack:
-            i = stack.pop()
-            seen.add(i)
-            new = {int(j) for j in np.flatnonzero(np.bitwise_count(u[i] ^ u) <= 3)} & todo
-            todo -= new
-            stack += new
-        least[min(rows[i]["doc_id"] for i in seen)] = seen
-    assert {r["doc_id"] for r in single.select("doc_id").collect()} == set(least)
+    # near-duplicate stages take five words and a similarity of 0.8; op4's three bits bind the query op4_simhash alone
+    assert sorted(r["doc_id"] for r in single.select("doc_id").collect()) == least_ids([(r["doc_id"], r["text"]) for r in rows])
     clean = stages["personal_data"](spark, single, base).cache()
     assert clean.count() == single.count() and all(plain_spans(r["text"]) == "" for r in clean.collect() if "[" in (r["text"] or ""))
     mixed = stages["mixing"](spark, clean, base).cache()

@@ -121,6 +121,27 @@ def test_language_accuracy_on_held_out(spark, small):
     assert len(got) > 40 and sum(r["lang"] == r["lang_pred"] for r in got) / len(got) > 0.97
 
 
+def test_every_language_is_learned(spark):
+    """Also the seventieth, and from any place of a text."""
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(70)]
+    rows = [(1000 * k + i, (f"{w}{w} " * 30), f"l{k:02d}", "s", 1) for k, w in enumerate(words) for i in range(3)]
+    assert len(langid.fit(spark.createDataFrame(rows, DOCS)).langs) >= 65
+    late = [(i, "x " * 200 + ("der die das und " if i % 2 else "the and of was ") * 20, "de" if i % 2 else "en", "s", 1) for i in range(80)]
+    m = langid.fit(spark.createDataFrame(late, DOCS))
+    p, _ = langid.document_probabilities(m, ["der die das und " * 8, "the and of was " * 8])
+    assert [m.langs[k] for k in p.argmax(axis=1)] == ["de", "en"]
+
+
+def test_language_sample_bounds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda windows, langs, **_: seen.append((len(windows), set(langs))))
+    monkeypatch.setattr(langid, "WINDOWS_EACH", 1)
+    rows = [(i, "word " * 500, ["a", "b", "c"][i % 3], "s", 1) for i in range(90)]
+    langid.fit(spark.createDataFrame(rows, DOCS), sample_windows=30)
+    langid.fit(spark.createDataFrame(rows, DOCS), sample_docs=1)
+    assert seen[0] == (30, {"a", "b", "c"}) and seen[1][0] == 3 * -(-2500 // langid.TRAIN_BYTES)
+
+
 def test_held_out_rows_are_not_learned_from(spark):
     from zlib import crc32
 
@@ -149,6 +170,34 @@ def test_features_are_whole_and_distinct(monkeypatch, text):
     assert quality.shape("Ab12!!x") == "Aa0!a"
 
 
+def test_shapes_are_of_whole_words():
+    long = "a" * 90
+    shapes = [next(quality.featurize(iter([w])))[2] for w in (long + "0", long + "!", long + "0")]
+    assert quality.shape(long + "0!") == "a0!"
+    assert shapes[0].tolist() == shapes[2].tolist() and set(shapes[0][shapes[0] >= 1 << quality.WORD_BITS]) != set(shapes[1][shapes[1] >= 1 << quality.WORD_BITS])
+
+
+def test_sample_bound_of_features(spark, monkeypatch):
+    seen = []
+    fit_rows = quality.fit_rows
+    monkeypatch.setattr(quality, "fit_rows", lambda f, starts, y: seen.append((len(f), len(y))) or fit_rows(f, starts, y))
+    docs = spark.createDataFrame([(i, f"word{i} of {i % 2}", "en", "s", 1) for i in range(60)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, sample_features=100)
+    quality.fit(docs, labels, sample_features=0)
+    assert seen[0][1] > 30 and 0 < seen[1][1] < 15 and seen[1][0] <= 100 and seen[2] == (0, 0)
+
+
+def test_ratios_have_not_seen_the_curve_s_rows():
+    y = np.array([True, False] * 10)
+    rows = [[1] if t else [2] for t in y]
+    for i in range(4, 20, 5):
+        rows[i] = [3]
+    m = quality.fit_rows(np.concatenate(rows), np.arange(21), y)
+    assert m.weights[1] != 0 and m.weights[2] != 0 and m.weights[3] == 0
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (6, 0), (None, 1), (99, 1), (4, None)], "doc_id long, quality int").withColumn("toxic", F.lit(0))
     got = quality.classify(table(spark), labels).collect()
