@@ -1,10 +1,12 @@
-"""Stupid-backoff language-model scores: n-gram counts partitioned by hash, joined to the documents' n-grams and summed
-per document.
+"""Stupid-backoff language-model scores: n-gram count tables partitioned by hash, joined to the documents' exploded
+n-grams and summed per document.
 
-Documents are dealt into chunks. A chunk's n-grams are exploded, pre-aggregated and sent, as sorted 64-bit hashes with
-counts, to the bucket of the count table that the hash's upper bits name; the bucket adds up all chunks' counts and
-joins them back to each chunk's n-grams, in their order; the chunk sums the scores of its documents. So an n-gram
-that every document has costs one entry a chunk, and buckets are even whatever the words' frequencies are."""
+Documents are dealt into chunks of bounded size. A chunk's distinct n-grams go, with their counts, to the hash partition
+that the upper bits of their hash name; they travel as arrays and are exploded behind the exchange. There a row is
+(hash partition, n-gram, chunk, count): the count table is their sum by n-gram, and a window over (partition, n-gram)
+gives it to the rows it is joined to without a second exchange. Both sort on disk where they have to, so a partition may
+have any size, and what is exchanged grows as the corpus does. The counts go back to the chunks, in the n-grams' order,
+and each chunk adds up the scores of its documents."""
 
 from __future__ import annotations
 
@@ -14,26 +16,31 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simlane.llm.common import pick, slices
 
-ORDER, ALPHA = 2, 0.4
-#: Tokens of a chunk and entries of a bucket, about; the numbers of both grow with the corpus.
-CHUNK_TOKENS, BUCKET_ENTRIES = 1_000_000, 2_000_000
-#: Characters of a text that are split into words at once, and words remembered with their hashes.
-SLICE, KNOWN_WORDS = 4_000_000, 1_000_000
+ORDER, ALPHA = 3, 0.4
+#: Tokens of a chunk and entries of a hash partition, about; the numbers of both grow with the corpus.
+CHUNK_TOKENS, BUCKET_ENTRIES = 1_000_000, 1_000_000
+#: Upper bits of a hash that name its partition, least and most: beyond the most, partitions grow instead.
+LEAST_BITS, MOST_BITS = 6, 16
+#: Bytes of the texts that are dealt together.
+PAGE_BYTES = 1 << 18
+#: Characters of a text that are split into words at once, words remembered with their hashes, and the longest that are.
+SLICE, KNOWN_WORDS, KNOWN_BYTES = 4_000_000, 1_000_000, 64
 #: What a word that no other document has counts as.
 UNSEEN = 0.5
-_TOTAL = np.uint64(0)
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word) or 1
+        h = xxhash.xxh64_intdigest(word) or 1
+        if len(word) <= KNOWN_BYTES:
+            self[word] = h
         return h
 
 
@@ -68,23 +75,13 @@ def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.nda
 
 
 def distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of all n-grams with their counts; first the entry 0, which counts the words."""
-    h = np.sort(np.concatenate([g[g > 0] for g in grams])) if grams else np.zeros(0, np.uint64)
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+    """All n-grams as signed numbers in order, with their counts; among them the entry 0, which counts the words."""
+    h = np.sort(np.concatenate([np.zeros(1, np.int64), *(g[g != 0].view(np.int64) for g in grams)]))
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     counts = np.diff(np.r_[first, len(h)])
-    return np.r_[_TOTAL, h[first]], np.r_[len(grams[0]), counts].astype(np.uint64)
-
-
-def _packed(values: np.ndarray, sorted_: bool = False) -> bytes:
-    """Differences of sorted values, or values; their bytes lie in planes, so that upper ones compress away."""
-    v = np.diff(values, prepend=np.uint64(0)) if sorted_ else values
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(v.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def _unpacked(data: bytes, sorted_: bool = False) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    v = np.ascontiguousarray(raw.T).reshape(-1).view(np.uint64)
-    return np.cumsum(v, dtype=np.uint64) if sorted_ else v
+    hashes = h[first]
+    counts[np.searchsorted(hashes, 0)] = len(grams[0])
+    return hashes, counts
 
 
 def backoff(doc: np.ndarray, grams: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray, n_docs: int, alpha: float, own: bool) -> np.ndarray:
@@ -92,10 +89,11 @@ def backoff(doc: np.ndarray, grams: list[np.ndarray], hashes: np.ndarray, counts
     if not len(doc):
         return np.zeros(n_docs)
     words = np.bincount(doc, minlength=n_docs)
-    total = np.maximum(1.0, float(counts[0]) - (words if own else 0))[doc] if own else np.full(len(doc), max(1.0, float(counts[0])))
+    every = float(counts[np.searchsorted(hashes, 0)])
+    total = np.maximum(1.0, every - words)[doc] if own else np.full(len(doc), max(1.0, every))
     seen = []
     for g in grams:
-        at = np.searchsorted(hashes, g)
+        at = np.searchsorted(hashes, g.view(np.int64))
         c = counts[at].astype(np.float64)
         if own:
             _, inverse, n = np.unique(doc.astype(np.uint64) * np.uint64(len(hashes)) + at.astype(np.uint64), return_inverse=True, return_counts=True)
@@ -110,6 +108,85 @@ def backoff(doc: np.ndarray, grams: list[np.ndarray], hashes: np.ndarray, counts
     return np.bincount(doc, score, minlength=n_docs)
 
 
+def paged(docs: DataFrame, chunks: int, asks: bool) -> DataFrame:
+    """The documents in pages, each dealt to a chunk (below zero where it isn't asked for) by its place in the input, so
+    that equal rows don't meet in one chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        write = pa.ipc.IpcWriteOptions(compression="zstd")
+        at, seq = TaskContext.get().partitionId(), 0
+
+        def page(rows: pa.RecordBatch) -> pa.RecordBatch:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rows.schema, options=write) as w:
+                w.write_batch(rows)
+            to = xxhash.xxh64_intdigest(f"{at}:{seq}") % chunks
+            return pa.RecordBatch.from_arrays([pa.array([to if asks else -1 - to], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "page"])
+
+        for b in batches:
+            size = np.cumsum([len(x.as_buffer() or b"") if x.is_valid else 0 for x in b["text"].cast(pa.large_binary())])
+            cuts = [0, *(np.flatnonzero(np.diff(size // PAGE_BYTES)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if hi > lo:
+                    yield page(b.slice(lo, hi - lo))
+                    seq += 1
+
+    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, page binary")
+
+
+def _texts(pages: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in pages["page"]] or [pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})])
+
+
+def exploded(pages: DataFrame, order: int, bits: int) -> DataFrame:
+    """(part, chunk, gram, n): the distinct n-grams of each chunk with their counts, partitioned by part."""
+
+    def run(t: pa.Table) -> pa.Table:
+        _, grams = ngrams(_texts(t)["text"].to_pylist(), order)
+        hashes, counts = distinct(grams)
+        part = (hashes >> np.int64(64 - bits)) + (1 << (bits - 1))
+        cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(hashes)].astype(np.int32)
+        chunk = np.full(len(cuts) - 1, t["chunk"][0].as_py(), np.int64)
+        return pa.table({"part": pa.array(part[cuts[:-1]].astype(np.int32)), "chunk": pa.array(chunk), "grams": pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes)), "ns": pa.ListArray.from_arrays(pa.array(cuts), pa.array(counts.astype(np.int32)))})
+
+    arrays = pages.groupBy("chunk").applyInArrow(run, "part int, chunk long, grams array<long>, ns array<int>").repartition("part")
+    return arrays.select("part", "chunk", F.inline(F.arrays_zip("grams", "ns"))).toDF("part", "chunk", "gram", "n")
+
+
+def count_table(rows: DataFrame) -> DataFrame:
+    """(part, gram, total) of the rows of exploded(): the n-gram count table, partitioned by hash."""
+    return rows.groupBy("part", "gram").agg(F.sum("n").alias("total"))
+
+
+def with_totals(rows: DataFrame, own: bool) -> DataFrame:
+    """The rows of chunks that ask, joined to count_table() of all rows (own) or of those that don't ask: a window over
+    the table's key, as both sides lie in the same partitions."""
+    counted = F.col("n") if own else F.when(F.col("chunk") < 0, F.col("n")).otherwise(0)
+    total = F.sum(counted).over(Window.partitionBy("part", "gram"))
+    return rows.select("part", "chunk", "gram", total.alias("total")).where(F.col("chunk") >= 0)
+
+
+def sent_back(rows: DataFrame) -> DataFrame:
+    """(chunk, part, seq, totals): the totals of a chunk's n-grams in the order of the n-grams, in compressed pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        seq = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            chunk, part, total = (b[c].to_numpy() for c in ("chunk", "part", "total"))
+            cuts = np.r_[0, np.flatnonzero((np.diff(chunk) != 0) | (np.diff(part) != 0)) + 1, len(chunk)]
+            blobs = [z.compress(np.ascontiguousarray(total[s:e].astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+            at = pa.array(np.arange(seq, seq + len(blobs)))
+            seq += len(blobs)
+            yield pa.RecordBatch.from_arrays([pa.array(chunk[cuts[:-1]]), pa.array(part[cuts[:-1]]), at, pa.array(blobs, pa.binary())], names=["chunk", "part", "seq", "totals"])
+
+    return rows.sortWithinPartitions("chunk", "part", "gram").select("chunk", "part", "total").mapInArrow(run, "chunk long, part int, seq long, totals binary")
+
+
 def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORDER, alpha: float = ALPHA, chunk_tokens: int = CHUNK_TOKENS, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
     """doc_id, n_words, log_score (sum over words of log S) and score (its mean, null without words) of each row.
 
@@ -118,79 +195,54 @@ def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORD
     contexts, without alpha. Counts are over all of reference or, where it is None, over all other documents of docs:
     a document's own n-grams are taken off, else each rare n-gram would vouch for itself.
 
-    Null and empty texts have no words and log_score 0; repeated rows count as documents of their own; null ids are
-    kept; other columns are ignored; an empty table gives no rows."""
+    Null and empty texts have no words and log_score 0; repeated rows count as documents of their own, in any number;
+    null ids are kept; other columns are ignored; an empty table gives no rows. The inputs are read as the files have
+    them: pages are dealt by their place, which must be the same if a task runs again."""
     own = reference is None
     sides = [(docs, True)] + ([] if own else [(reference, False)])
     size = sum(int(pick(d, "text").agg(F.sum(F.length("text"))).first()[0] or 0) for d, _ in sides) // 6 + 1
     chunks = max(1, -(-size // chunk_tokens))
-    bits = max(0, int(np.ceil(np.log2(max(1.0, size * order / bucket_entries)))))
-    shift = np.uint64(64 - bits)
-
-    def bucket(h: np.ndarray) -> np.ndarray:
-        return (h >> shift).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-
-    def dealt(d: DataFrame, asks: bool) -> DataFrame:
-        d = pick(d, "doc_id", "text")
-        n = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
-        return d.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (n if asks else -1 - n).alias("chunk"))
-
-    def counted(t: pa.Table) -> pa.Table:
-        _, grams = ngrams(t["text"].to_pylist(), order)
-        hashes, counts = distinct(grams)
-        b = bucket(hashes)
-        cuts = np.searchsorted(b, np.arange((1 << bits) + 1))
-        rows = [(i, int(t["chunk"][0].as_py()), _packed(hashes[s:e], True), _packed(counts[s:e])) for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if e > s]
-        return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "chunk": pa.array([r[1] for r in rows], pa.int64()), "hashes": pa.array([r[2] for r in rows], pa.binary()), "counts": pa.array([r[3] for r in rows], pa.binary())})
-
-    def joined(t: pa.Table) -> pa.Table:
-        asked = [_unpacked(x, True) for x in t["hashes"].to_pylist()]
-        given = [_unpacked(x) for x in t["counts"].to_pylist()]
-        chunk = t["chunk"].to_pylist()
-        counted = [i for i, c in enumerate(chunk) if own or c < 0]
-        table, at = np.unique(np.concatenate([asked[i] for i in counted] or [np.zeros(0, np.uint64)]), return_inverse=True)
-        sums = np.zeros(len(table) + 1, np.uint64)
-        np.add.at(sums, at, np.concatenate([given[i] for i in counted] or [np.zeros(0, np.uint64)]))
-        out = []
-        for i, c in enumerate(chunk):
-            if c < 0:
-                continue
-            p = np.searchsorted(table, asked[i])
-            hit = table[np.minimum(p, max(0, len(table) - 1))] == asked[i] if len(table) else np.zeros(len(p), bool)
-            out.append((c, _packed(np.where(hit, sums[np.minimum(p, len(table))], np.uint64(0)))))
-        return pa.table({"chunk": pa.array([c for c, _ in out], pa.int64()), "bucket": pa.array([int(t["bucket"][0].as_py())] * len(out), pa.int64()), "counts": pa.array([x for _, x in out], pa.binary())})
+    bits = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(max(1.0, size * order / bucket_entries))))))
 
-    def summed(texts: pa.Table, found: pa.Table) -> pa.Table:
+    def summed(pages: pa.Table, found: pa.Table) -> pa.Table:
+        texts = _texts(pages)
         doc, grams = ngrams(texts["text"].to_pylist(), order)
         hashes, _ = distinct(grams)
-        by = sorted(zip(found["bucket"].to_pylist(), found["counts"].to_pylist(), strict=True))
-        counts = np.concatenate([_unpacked(x) for _, x in by] or [np.zeros(1, np.uint64)])
+        by = sorted(zip(found["part"].to_pylist(), found["seq"].to_pylist(), found["totals"].to_pylist(), strict=True))
+        z = zstandard.ZstdDecompressor()
+        raw = [np.frombuffer(z.decompress(x), np.uint8).reshape(8, -1) for _, _, x in by]
+        counts = np.ascontiguousarray(np.concatenate(raw, axis=1).T).reshape(-1).view(np.int64) if raw else np.zeros(1, np.int64)
         n = texts.num_rows
         total = backoff(doc, grams, hashes, counts, n, alpha, own)
         words = np.bincount(doc, minlength=n).astype(np.int64)
         mean = pa.array(total / np.maximum(1, words), mask=words == 0)
         return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(words), "log_score": pa.array(total), "score": mean})
 
-    asking = dealt(docs, True)
-    all_docs = asking if own else asking.unionByName(dealt(reference, False))
-    requests = all_docs.groupBy("chunk").applyInArrow(counted, "bucket long, chunk long, hashes binary, counts binary")
-    answers = requests.groupBy("bucket").applyInArrow(joined, "chunk long, bucket long, counts binary")
-    return asking.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(summed, "doc_id long, n_words long, log_score double, score double")
+    asking = paged(docs, chunks, True)
+    pages = asking if own else asking.unionByName(paged(reference, chunks, False))
+    back = sent_back(with_totals(exploded(pages, order, bits), own))
+    return asking.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(summed, "doc_id long, n_words long, log_score double, score double")
 
 
 ORACLE = """WITH t AS (
   SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 x AS (SELECT r, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM t),
-g AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v FROM x),
+g AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS v, lag(w, 2) OVER (PARTITION BY r ORDER BY i) AS u FROM x),
 c1 AS (SELECT w, count(*) AS n FROM g GROUP BY w),
 c2 AS (SELECT v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY v, w),
+c3 AS (SELECT u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY u, v, w),
 o1 AS (SELECT r, w, count(*) AS n FROM g GROUP BY r, w),
 o2 AS (SELECT r, v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY r, v, w),
-u AS (SELECT o1.r, o1.w, c1.n - o1.n AS n, greatest(1, (SELECT count(*) FROM g) - len(t.w)) AS total FROM o1 JOIN c1 USING (w) JOIN t USING (r)),
-b AS (SELECT o2.r, o2.v, o2.w, c2.n - o2.n AS n FROM o2 JOIN c2 USING (v, w)),
+o3 AS (SELECT r, u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY r, u, v, w),
+a1 AS (SELECT o1.r, o1.w, c1.n - o1.n AS n, greatest(1, (SELECT count(*) FROM g) - len(t.w)) AS total FROM o1 JOIN c1 USING (w) JOIN t USING (r)),
+a2 AS (SELECT o2.r, o2.v, o2.w, c2.n - o2.n AS n FROM o2 JOIN c2 USING (v, w)),
+a3 AS (SELECT o3.r, o3.u, o3.v, o3.w, c3.n - o3.n AS n FROM o3 JOIN c3 USING (u, v, w)),
 s AS (
-  SELECT g.r, CASE WHEN b.n > 0 THEN ln(b.n / uv.n) WHEN g.v IS NOT NULL THEN ln(0.4) + ln(greatest(u.n, 0.5) / u.total) ELSE ln(greatest(u.n, 0.5) / u.total) END AS s
-  FROM g JOIN u ON u.r = g.r AND u.w = g.w LEFT JOIN u uv ON uv.r = g.r AND uv.w = g.v LEFT JOIN b ON b.r = g.r AND b.v = g.v AND b.w = g.w),
+  SELECT g.r, CASE WHEN a3.n > 0 THEN ln(a3.n / uv.n)
+    WHEN a2.n > 0 THEN CASE WHEN g.u IS NOT NULL THEN ln(0.4) ELSE 0 END + ln(a2.n / v1.n)
+    ELSE CASE WHEN g.u IS NOT NULL THEN 2 * ln(0.4) WHEN g.v IS NOT NULL THEN ln(0.4) ELSE 0 END + ln(greatest(a1.n, 0.5) / a1.total) END AS s
+  FROM g JOIN a1 ON a1.r = g.r AND a1.w = g.w LEFT JOIN a1 v1 ON v1.r = g.r AND v1.w = g.v LEFT JOIN a2 ON a2.r = g.r AND a2.v = g.v AND a2.w = g.w
+    LEFT JOIN a2 uv ON uv.r = g.r AND uv.v = g.u AND uv.w = g.v LEFT JOIN a3 ON a3.r = g.r AND a3.u = g.u AND a3.v = g.v AND a3.w = g.w),
 z AS (SELECT r, sum(s) AS s FROM s GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(z.s, 0), 3) AS log_score, round(z.s / len(w), 6) AS score FROM t LEFT JOIN z USING (r)"""

@@ -56,6 +56,26 @@ def test_backoff(spark, order, other):
     assert all((r["score"] is None) == (r["n_words"] == 0) for r in got)
 
 
+def test_count_table(spark):
+    """The table that the window joins is the sum of the exploded rows by n-gram."""
+    pages = lm_score.paged(table(spark), 3, True)
+    rows = lm_score.exploded(pages, 2, 6)
+    total = {(r["part"], r["gram"]): r["total"] for r in lm_score.count_table(rows).collect()}
+    assert total and all(total[r["part"], r["gram"]] == r["total"] for r in lm_score.with_totals(rows, True).collect())
+    every = Counter(g for _, t, *_ in ODD for w in [words(t)] for k in (1, 2) for g in (tuple(w[i : i + k]) for i in range(len(w) - k + 1)))
+    assert sorted(total.values()) == sorted([*every.values(), sum(len(words(t)) for _, t, *_ in ODD)])
+    plan = lm_score.with_totals(rows, True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(part") == plan.count("Exchange") - 1
+
+
+def test_repeated_rows_are_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "PAGE_BYTES", 64)
+    d = table(spark, [(1, "same row again", "en", "a", 1)] * 300)
+    sizes = [r["count"] for r in lm_score.paged(d, 8, True).groupBy("chunk").count().collect()]
+    assert len(sizes) == 8
+    assert {round(r["score"], 6) for r in lm_score.scores(d, chunk_tokens=100).collect()} == {round(math.log(1 / 3) / 3, 6)}
+
+
 def test_backoff_of_nothing(spark):
     assert lm_score.scores(table(spark, [])).count() == 0
     one = lm_score.scores(table(spark, [(1, "a b", None, None, None)])).first()
