@@ -7,6 +7,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from simlane.session import checkpointed
+
+#: Frames that a fold adds to at once, as adding to an array copies it.
+BLOCK = 256
+
 
 def collapse(df: DataFrame, group: str = "vid", order: str = "pos", value: str = "hash") -> DataFrame:
     """Drops values equal to the one before them and numbers the rest from 0."""
@@ -25,17 +30,27 @@ def changes(df: DataFrame, threshold: float, invalid: list[str] | None = None) -
     the frame before and from the last frame taken; the first frame always is. A hash in `invalid` is not given out
     and doesn't become the last one taken. The last taken frame depends on all before it, hence a fold."""
     frames = df.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "feature", "hash"))).alias("frames"))
+    last = ((F.size("frames") - 1) / BLOCK).cast("int")
+    frames = frames.select("vid", F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("frames", b * BLOCK + 1, BLOCK)).alias("blocks"))
     kind = df.schema["feature"].dataType.simpleString()
     none = F.lit(None).cast(kind)
-    start = F.struct(none.alias("before"), none.alias("key"), F.array().cast("array<string>").alias("out"))
+
+    def state(before: Column, key: Column, out: Column) -> Column:
+        return F.struct(before.alias("before"), key.alias("key"), out.alias("out"))
 
     def step(s: Column, f: Column) -> Column:
         far = (s["before"].isNull() | (l1(f["feature"], s["before"]) > threshold)) & (s["key"].isNull() | (l1(f["feature"], s["key"]) > threshold))
         good = ~f["hash"].isin(invalid) if invalid else F.lit(True)
         take = far & good
-        return F.struct(f["feature"].alias("before"), F.when(take, f["feature"]).otherwise(s["key"]).alias("key"), F.when(take, F.concat(s["out"], F.array(f["hash"]))).otherwise(s["out"]).alias("out"))
+        return state(f["feature"], F.when(take, f["feature"]).otherwise(s["key"]), F.when(take, F.concat(s["out"], F.array(f["hash"]))).otherwise(s["out"]))
+
+    def block(s: Column, b: Column) -> Column:
+        done = F.aggregate(b, state(s["before"], s["key"], F.array().cast("array<string>")), step)
+        # an array of one stands for a name, so that the block is gone through once
+        return F.transform(F.array(done), lambda d: state(d["before"], d["key"], F.concat(s["out"], F.array(d["out"]))))[0]
 
-    return frames.select("vid", F.aggregate("frames", start, step, lambda s: s["out"]).alias("hashes"))
+    start = state(none, none, F.array().cast("array<array<string>>"))
+    return frames.select("vid", F.flatten(F.aggregate("blocks", start, block, lambda s: s["out"])).alias("hashes"))
 
 
 def strip_intro(hashes: Column, intro: list[str]) -> Column:
@@ -71,16 +86,18 @@ def batch_slice(df: DataFrame, order: list[str], start: int, size: int) -> tuple
 
 
 def numbered_rows(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
-    """idx from 0 in the order: rows are sorted by ranges, counted by partition, and numbered within each."""
-    ranged = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    """idx from 0 in the order: rows are sorted by ranges, written, counted by partition, and numbered within each. They
+    are written because Spark draws the ranges anew whenever it sorts; a count of one sort is wrong for the next."""
+    ranged = checkpointed(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     counts = sorted((r[0], r[1]) for r in ranged.groupBy(part.alias("p")).count().collect())
-    offset, pairs = 0, []
+    offsets, total = [], 0
     for p, n in counts:
-        pairs += [F.lit(p), F.lit(offset)]
-        offset += n
-    base = F.element_at(F.create_map(*pairs), part) if pairs else F.lit(0)
-    return ranged.withColumn("idx", (base + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("_at"), offset
+        offsets.append((p, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(offsets, "_part long, _start long")  # a row a partition
+    numbered = ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return numbered.withColumn("idx", F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_start"), total
 
 
 def bags(queries: DataFrame, items: DataFrame) -> DataFrame:
@@ -102,10 +119,12 @@ def run_matches(queries: DataFrame, items: DataFrame, pairs: DataFrame | None =
 
     L(i) is the longest run of equal hashes that starts at q's place i, anywhere in c. From place 0 on: where L > 0 it
     is added to repeated and 1 to period; the walk goes on at i + L + 1, so the place after a run is passed over, and
-    c is not used up. Runs are islands on the diagonals of the equality matrix; the walk is a fold over places."""
-    cells = queries.select(F.col("vid").alias("q"), F.col("pos").alias("i"), "hash").join(items.select(F.col("vid").alias("c"), F.col("pos").alias("j"), "hash"), "hash").where(F.col("q") != F.col("c"))
-    if pairs is not None:
-        cells = cells.join(pairs.select("q", "c"), ["q", "c"], "left_semi")
+    c is not used up. Runs are islands on the diagonals of the equality matrix; the walk is a fold over places. Cells of
+    the matrix are made for the pairs only: q's places are joined to its pairs and then to c's places by c and hash."""
+    places = queries.select(F.col("vid").alias("q"), F.col("pos").alias("i"), "hash")
+    others = items.select(F.col("vid").alias("c"), F.col("pos").alias("j"), "hash")
+    wanted = (bags(queries, items) if pairs is None else pairs).select("q", "c").where(F.col("q") != F.col("c"))
+    cells = wanted.join(places, "q").join(others, ["c", "hash"])
     diagonal = Window.partitionBy("q", "c", "d").orderBy("i")
     runs = cells.select("q", "c", "i", (F.col("i") - F.col("j")).alias("d")).withColumn("island", F.col("i") - F.row_number().over(diagonal))
     end = F.max("i").over(Window.partitionBy("q", "c", "d", "island"))

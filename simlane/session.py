@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,21 @@ def session(app: str = "simlane", master: str | None = None, **conf: object) ->
     return b.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share; the context's checkpoint folder is
+    set to it if there is none. Where it is unset, a temporary folder serves a local master and others get an error."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="simlane-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the shared folder that spark.checkpoint.dir names; a temporary one where it is unset, as in tests."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="simlane-"))
+    """df written to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -75,6 +75,33 @@ def test_batch_slice_of_nothing(spark):
     assert rows.count() == 0 and (next_start, epoch) == (0, 0)
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_numbers_of_many_rows(spark, wide):
+    """More rows than the sampler of ranges takes: each number from 0 occurs once, in the order."""
+    n = 3_000_000 if not wide else 1_000_000
+    d = spark.range(n, numPartitions=24).select(F.pmod(F.xxhash64("id"), F.lit(2**40)).alias("k"), "id", *([F.sha2(F.col("id").cast("string").cast("binary"), 512).alias("more")] if wide else []))
+    rows, total = S.numbered_rows(d, ["k", "id"])
+    got = rows.agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx")).first()
+    assert total == n and tuple(got) == (n, n, 0, n - 1)
+    some = rows.where("idx % 9973 = 0").orderBy("idx").collect()
+    assert [(r["k"], r["id"]) for r in some] == sorted((r["k"], r["id"]) for r in some)
+
+
+def test_cells_are_made_for_wanted_pairs_only(spark):
+    occ = occurrences(spark, {f"v{i:02}": "abcd" for i in range(30)})
+    pairs = spark.createDataFrame([("v00", "v01"), ("v02", "v02")], "q string, c string")
+    runs = S.run_matches(occ, occ, pairs)
+    assert [tuple(r) for r in runs.collect()] == [("v00", "v01", 4, 1)]
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LogicalRDD") > 0 and "LeftSemi" not in plan
+
+
+def test_changes_of_a_long_video(spark):
+    rows = [("v", i, [float(i * 10)], f"h{i}") for i in range(3 * S.BLOCK + 5)]
+    got = S.changes(spark.createDataFrame(rows, "vid string, pos int, feature array<double>, hash string"), 5.0).first()["hashes"]
+    assert got == [r[3] for r in rows]
+
+
 def test_changes_against_loop(spark):
     rnd = random.Random(5)
     data = {f"v{i}": [(rnd.choice([0.0, 4.0, 11.0, 30.0]), rnd.choice("abx")) for _ in range(15)] for i in range(6)}
