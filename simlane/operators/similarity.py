@@ -42,21 +42,23 @@ def top_k(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataF
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def recommend(docs: DataFrame, videos: DataFrame, metric: str = "cosine", threshold: float | None = None, k: int = 40) -> DataFrame:
+def recommend(docs: DataFrame, videos: DataFrame, metric: str = "cosine", threshold: float | None = None, k: int = 40, same: bool = True) -> DataFrame:
     """docs, videos: (id, vec, tags). Per doc the k best videos sharing a tag that pass the threshold
-    (cosine >= 0.6, or distance <= 3.0), ties by id. Returns doc, video, score, rank."""
+    (cosine >= 0.6, or distance <= 3.0), ties by id. Returns doc, video, score, rank. same: an id may match itself.
+
+    Vectors travel with the tags, once a tag, and pairs are scored where they meet; what passes is a few columns, from
+    which pairs that share several tags are dropped before they are ranked. A hot tag's side is split by AQE."""
     if threshold is None:
         threshold = 0.6 if metric == "cosine" else 3.0
     # norms are taken once a vector, not once a pair
     docs, videos = (d.where(F.col("vec").isNotNull()).withColumn("norm", F.sqrt(dot(F.col("vec"), F.col("vec")))) for d in (docs, videos))
     norms = F.col("qn") * F.col("cn")
     score = F.when(norms == 0, F.lit(0.0)).otherwise(dot(F.col("qv"), F.col("cv")) / norms) if metric == "cosine" else euclidean(F.col("qv"), F.col("cv"))
-    pairs = tag_candidates(docs.select("id", F.explode("tags").alias("tag")), videos.select("id", F.explode("tags").alias("tag")).where(F.octet_length("tag") > 3))
-    scored = (
-        pairs.join(docs.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.col("norm").alias("qn")), "q")
-        .join(videos.select(F.col("id").alias("c"), F.col("vec").alias("cv"), F.col("norm").alias("cn")), "c")
-        .select("q", "c", score.alias("s"))
-        .where(keep_score(F.col("s"), threshold, metric))
-    )
+    q = docs.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.col("norm").alias("qn"), F.explode(F.array_distinct("tags")).alias("tag"))
+    c = videos.select(F.col("id").alias("c"), F.col("vec").alias("cv"), F.col("norm").alias("cn"), F.explode(F.array_distinct("tags")).alias("tag"))
+    met = q.join(c.where(F.octet_length("tag") > 3), "tag")
+    if not same:
+        met = met.where(F.col("q") != F.col("c"))
+    scored = met.select("q", "c", score.alias("s")).where(keep_score(F.col("s"), threshold, metric)).groupBy("q", "c").agg(F.max("s").alias("s"))
     best = F.col("s").desc() if metric == "cosine" else F.col("s").asc()
     return top_k(scored, ["q"], [best, F.col("c").asc()], k).select(F.col("q").alias("doc"), F.col("c").alias("video"), F.col("s").alias("score"), "rank")

@@ -27,10 +27,7 @@ _L2 = "sqrt(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: (a
 
 def _run(spark, sf_dir, metric, threshold):
     x = _items(spark, sf_dir)
-    # an item is its own best match; one rank more is taken and the self match removed before ranking again
-    r = S.recommend(x, x, metric, threshold, 41).where(F.col("doc") != F.col("video"))
-    best = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
-    return S.top_k(r.drop("rank"), ["doc"], [best, F.col("video").asc()], 40).select("doc", "video", F.round("score", 6).alias("score"), "rank")
+    return S.recommend(x, x, metric, threshold, 40, same=False).select("doc", "video", F.round("score", 6).alias("score"), "rank")
 
 
 @query("recommend_cosine", _sql(_COS, "s >= 0.2", "DESC"))
