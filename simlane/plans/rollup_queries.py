@@ -95,7 +95,8 @@ def _geo_sql() -> str:
             u, v = p[i - 1]
             edges.append(f"('{level}', {'NULL' if parent is None else repr(parent)}, '{code}', {x}, {y}, {u}, {v})")
     return f"""e(level, parent, code, xi, yi, xj, yj) AS (VALUES {', '.join(edges)}),
-hits AS (SELECT p.id, level, parent, code FROM p, e WHERE (yi > y) <> (yj > y) AND x < (xj - xi) * (y - yi) / (yj - yi) + xi GROUP BY ALL HAVING count(*) % 2 = 1),
+crossed AS MATERIALIZED (SELECT y, level, parent, code, (xj - xi) * (y - yi) / (yj - yi) + xi AS xc FROM (SELECT DISTINCT y FROM p), e WHERE (yi > y) <> (yj > y)),
+hits AS MATERIALIZED (SELECT p.id, level, parent, code FROM p JOIN crossed ON crossed.y = p.y WHERE x < xc GROUP BY ALL HAVING count(*) % 2 = 1),
 top AS (SELECT id, min(code) AS parent FROM hits WHERE level = 'province' GROUP BY id),
 city AS (SELECT t.id, min(h.code) AS city FROM top t JOIN hits h ON h.id = t.id AND h.level = 'city' AND h.parent = t.parent GROUP BY t.id)"""
 
@@ -111,7 +112,7 @@ def locate_points(spark, sf_dir):
     return geo.locate(p, rings(spark), ["D"], step=10.0)
 
 
-_GRID = "p AS (SELECT CAST(ix AS VARCHAR) || CAST(iy AS VARCHAR) AS id, ix / 100.0 AS x, iy / 100.0 AS y FROM range(1900, 2100) a(ix), range(1000, 1200) b(iy))"
+_GRID = "p AS MATERIALIZED (SELECT CAST(ix AS VARCHAR) || CAST(iy AS VARCHAR) AS id, ix / 100.0 AS x, iy / 100.0 AS y FROM range(1900, 2100) a(ix), range(1000, 1200) b(iy))"
 
 
 @query("grid_codes", f"WITH {_GRID}, {_geo_sql()} {_LOCATED}")

@@ -1,5 +1,6 @@
-"""Near-duplicate queries: a document is a sequence, a line's hash the first four digits of its MD5; documents of even
-id are the index, those of odd id the queries."""
+"""Near-duplicate queries: a document is a sequence, a line's hash the first four digits of its MD5. Matches are between
+all documents; detection has two tables, as an id that is indexed is refused: documents of even id are the index, those
+of odd id come in."""
 
 from __future__ import annotations
 
@@ -77,16 +78,20 @@ def collapse_sequences(spark, sf_dir):
     return sequences(spark, sf_dir).select("vid", "pos", "hash")
 
 
-@query("bag_matches", f"WITH {OCC}, io AS (SELECT * FROM occ WHERE vid % 2 = 0), {BAGS} SELECT q, c, matches FROM bags")
+_ALL = OCC.replace(" WHERE vid % 2 = 1", "")
+
+
+@query("bag_matches", f"WITH {_ALL}, io AS (SELECT * FROM occ), {BAGS} SELECT q, c, matches FROM bags WHERE q <> c")
 def bag_matches(spark, sf_dir):
-    return S.bag_matches(*sides(spark, sf_dir))
+    occ = checkpointed(sequences(spark, sf_dir))
+    return S.bag_matches(occ, occ)
 
 
-@query("run_matches", f"""WITH RECURSIVE {OCC}, io AS (SELECT * FROM occ WHERE vid % 2 = 0), {BAGS}, {_pairs(D.V2)}, {WALK}
+@query("run_matches", f"""WITH RECURSIVE {_ALL}, io AS (SELECT * FROM occ), {BAGS.replace("USING (hash) GROUP", "USING (hash) WHERE q <> c GROUP")}, {_pairs(D.V2)}, {WALK}
 SELECT q, c, repeated, period FROM done""")
 def run_matches(spark, sf_dir):
-    q, items = sides(spark, sf_dir)
-    return D.judged(q, items, D.V2).select("q", "c", "repeated", "period")
+    occ = checkpointed(sequences(spark, sf_dir))
+    return D.judged(occ, occ, D.V2).select("q", "c", "repeated", "period")
 
 
 @query("detect_v1", _detect_sql(D.V1))
@@ -112,9 +117,6 @@ def detect_known(spark, sf_dir):
     return D.detect(items, items, D.V2)
 
 
-_ALL = OCC.replace(" WHERE vid % 2 = 1", "")
-
-
 @query("self_building_v2", f"""WITH RECURSIVE {_ALL}, io AS (SELECT * FROM occ), {BAGS},
 pairs AS (SELECT q, c, matches, a.n AS nq, b.n AS nc FROM bags JOIN nn a ON a.vid = q JOIN nn b ON b.vid = c WHERE q > c AND a.n > 2 AND b.n > 2 AND b.n <= 3 * a.n AND a.n <= 3 * b.n),
 {WALK},

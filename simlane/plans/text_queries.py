@@ -51,32 +51,16 @@ def tag_index(spark, sf_dir):
     return text.tag_index(t, "conv_id")
 
 
-@query("tag_candidates", "SELECT DISTINCT a.vec_id AS q, b.vec_id AS c FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 10 = 0")
+@query("tag_candidates", "SELECT DISTINCT a.vec_id AS q, b.vec_id AS c FROM embeddings a JOIN embeddings b ON a.label = b.label")
 def tag_candidates(spark, sf_dir):
-    t = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("tag"))
-    return similarity.tag_candidates(t.where("id % 10 = 0"), t)
-
-
-@query("nearest_one", f"""SELECT q, c, round(s, 6) AS score FROM (SELECT a.vec_id AS q, b.vec_id AS c, {_COS} AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 10 = 0 AND b.vec_id % 10 = 1)
-WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, c) = 1""")
-def nearest_one(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "key")
-    q = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("q"), "key", F.col("embedding").alias("qv"))
-    c = e.where("vec_id % 10 = 1").select(F.col("vec_id").alias("c"), "key", F.col("embedding").alias("cv"))
-    return text.nearest_one(q, c, similarity.cosine).withColumn("score", F.round("score", 6))
-
-
-@query("all_tag_candidates", "SELECT DISTINCT a.vec_id AS q, b.vec_id AS c FROM embeddings a JOIN embeddings b ON a.label = b.label")
-def all_tag_candidates(spark, sf_dir):
-    """Candidates of every vector; tag_candidates has those of ids divisible by ten."""
     t = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("tag"))
     return similarity.tag_candidates(t, t)
 
 
-@query("nearest_of_all", f"""SELECT q, c, round(s, 6) AS score FROM (SELECT a.vec_id AS q, b.vec_id AS c, {_COS} AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+@query("nearest_one", f"""SELECT q, c, round(s, 6) AS score FROM (SELECT a.vec_id AS q, b.vec_id AS c, {_COS} AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
 WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, c) = 1""")
-def nearest_of_all(spark, sf_dir):
-    """The nearest of every vector among all others of its label; nearest_one has a tenth of either side."""
+def nearest_one(spark, sf_dir):
+    """The nearest of every vector among all others of its label."""
     e = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "key")
     q = e.select(F.col("vec_id").alias("q"), "key", F.col("embedding").alias("qv"))
     c = e.select(F.col("vec_id").alias("c"), "key", F.col("embedding").alias("cv"))
@@ -107,6 +91,13 @@ def video_names(spark, sf_dir):
     return p.where(files.has_extension(F.col("url")) | F.contains("url", F.lit("page=2"))).select("page_id")
 
 
+@query("skipped_names", "SELECT page_id FROM pages WHERE page_id % 3 <> 0")
+def skipped_names(spark, sf_dir):
+    """Names of containers that aren't read (every third page's here) are passed over."""
+    ending = F.when(F.col("page_id") % 3 == 0, ".rmvb").otherwise(".mp4")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.col("page_id").cast("string"), ending).alias("name")).where(files.readable(F.col("name"))).select("page_id")
+
+
 @query("dated_window", "SELECT strftime(o_orderdate, '%Y%m%d') AS day, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-06-30' - 29 AND DATE '1996-06-30' - 1 GROUP BY 1")
 def dated_window(spark, sf_dir):
     """Orders of the 29 days before a day: the window of 30 has one day less."""
@@ -139,14 +130,9 @@ def plain_tasks(spark, sf_dir):
     return files.plain_tasks(lines)
 
 
-@query("id_pairs", "SELECT unnest([l_partkey, l_suppkey]) AS id FROM lineitem WHERE l_orderkey < 200")
+@query("id_pairs", "SELECT unnest([l_partkey, l_suppkey]) AS id FROM lineitem")
 def id_pairs(spark, sf_dir):
-    return files.id_pairs(table(spark, sf_dir, "lineitem").where("l_orderkey < 200"), "l_partkey", "l_suppkey")
-
-
-@query("all_id_pairs", "SELECT unnest([l_partkey, l_suppkey]) AS id FROM lineitem")
-def all_id_pairs(spark, sf_dir):
-    """Both ids of every line; id_pairs has those of orders below 200."""
+    """Both ids of every line."""
     return files.id_pairs(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
 
 

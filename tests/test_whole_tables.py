@@ -3,14 +3,14 @@
 from simlane.plans import catalog
 
 
-def test_all_id_pairs(spark, small):
+def test_id_pairs(spark, small):
     lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
-    assert catalog.QUERIES["all_id_pairs"](spark, small).count() == 2 * lines
+    assert catalog.QUERIES["id_pairs"](spark, small).count() == 2 * lines
 
 
-def test_nearest_of_all(spark, small):
+def test_nearest_and_candidates(spark, small):
     e = spark.read.parquet(f"{small}/embeddings.parquet").select("vec_id", "label").collect()
-    got = catalog.QUERIES["nearest_of_all"](spark, small).collect()
+    got = catalog.QUERIES["nearest_one"](spark, small).collect()
     assert {r["q"] for r in got} == {r["vec_id"] for r in e} and len({r["c"] % 10 for r in got}) == 10 and all(r["q"] != r["c"] for r in got)
     pairs = sum(a["label"] == b["label"] for a in e for b in e)
-    assert catalog.QUERIES["all_tag_candidates"](spark, small).count() == pairs
+    assert catalog.QUERIES["tag_candidates"](spark, small).count() == pairs
