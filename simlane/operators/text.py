@@ -44,6 +44,27 @@ def segment(df: DataFrame, text: str, cut: Callable[[str], list[str]], out: str
     return df.withColumn(out, run(text))
 
 
+def longest_match(words: list[str]) -> Callable[[str], list[str]]:
+    """A segmentation function from a dictionary's words, for segment(): at each place the longest word that is known,
+    else a run of letters and digits beyond it, else one character; white space is left out. words must fit a worker."""
+    known, longest = set(words), max(map(len, words), default=1)
+
+    def cut(text: str) -> list[str]:
+        out, at = [], 0
+        while at < len(text):
+            n = next((n for n in range(min(longest, len(text) - at), 0, -1) if text[at : at + n] in known), 0)
+            if not n:
+                n = 1
+                while text[at].isascii() and text[at].isalnum() and at + n < len(text) and text[at + n].isascii() and text[at + n].isalnum():
+                    n += 1
+            if not text[at : at + n].isspace():
+                out.append(text[at : at + n])
+            at += n
+        return out
+
+    return cut
+
+
 def known_words(tokens: DataFrame, stop: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Tokens (id, word) that are no stop words (word) and have a vector (word, vec); repeats stay."""
     return tokens.join(stop.select("word"), "word", "left_anti").join(vocabulary, "word")

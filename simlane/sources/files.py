@@ -49,6 +49,15 @@ def csv_tasks(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.col("f")[0].alias("vid"), F.col("f")[1].alias("title"), F.col("f")[2].alias("url"))
 
 
+def dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """(word, weight, tag) of a segmentation dictionary: a word a line, with a weight and a tag behind it or not; of a
+    word's lines the last counts, blank ones and those whose second field is no number are kept without a weight."""
+    t = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f"), F.monotonically_increasing_id().alias("line")).where(F.col("f")[0] != "")
+    weight = F.get("f", F.lit(1)).try_cast("long")
+    tag = F.get("f", F.when(weight.isNull(), 1).otherwise(2))
+    return t.groupBy(F.col("f")[0].alias("word")).agg(F.max_by(F.struct(weight.alias("weight"), tag.alias("tag")), "line").alias("x")).select("word", "x.weight", "x.tag")
+
+
 def plain_tasks(lines: DataFrame, title: str = "none") -> DataFrame:
     """vid, title, url of lines (value) with two tokens; 'id none url' has three and is dropped."""
     t = lines.select(F.split(F.trim("value"), r"\s+").alias("f")).where(F.size("f") == 2)
@@ -70,7 +79,7 @@ def polygons(spark: SparkSession, root: str) -> DataFrame:
     line, files with an empty one are skipped."""
     from simlane.operators.geo import parse_ring
 
-    t = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True)
+    t = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").option("ignoreMissingFiles", True).text(root, wholetext=True)
     path, line = F.col("_metadata.file_path"), F.trim(F.substring_index("value", "\n", 1))
     above = F.element_at(F.split(path, "/"), -2)
     code = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.txt$", "")
@@ -80,18 +89,24 @@ def polygons(spark: SparkSession, root: str) -> DataFrame:
 
 
 def listed(spark: SparkSession, folder: str, extensions: Sequence[str] | None = None) -> DataFrame:
-    """path, name, number (of a numeric stem) and length of all files below a folder, of the given endings in any case.
-    The contents are not read."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    """path, name, number (of a numeric stem) and length of all files below a folder, of the given endings in any case,
+    in the order of the numbers, then of the names. The contents are not read."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("ignoreMissingFiles", True).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     d = d.select("path", name.alias("name"), "length").withColumn("number", F.substring_index("name", ".", 1).try_cast("int"))
-    return d.where(has_extension(F.col("name"), extensions)) if extensions else d
+    d = d.where(has_extension(F.col("name"), extensions)) if extensions else d
+    return d.orderBy(F.col("number").asc_nulls_last(), "name", "path")
 
 
 def has_extension(name: Column, extensions: Sequence[str] = VIDEO_EXTENSIONS) -> Column:
     return F.lower(F.substring_index(name, ".", -1)).isin(*extensions)
 
 
+def readable(name: Column) -> Column:
+    """Names without 'rmvb': such videos are passed over when training images are cut."""
+    return ~F.contains(name, F.lit("rmvb"))
+
+
 def unzipped(spark: SparkSession, folder: str) -> DataFrame:
     """archive, name and content of each file in the zip archives of a folder."""
     import io
@@ -107,5 +122,5 @@ def unzipped(spark: SparkSession, folder: str) -> DataFrame:
                         if not x.is_dir():
                             yield pa.RecordBatch.from_pydict({"archive": [path], "name": [x.filename], "content": pa.array([z.read(x)], pa.binary())})
 
-    d = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
+    d = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("ignoreMissingFiles", True).load(folder).select("path", "content")
     return d.mapInArrow(run, "archive string, name string, content binary")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from simlane.operators import dedup
+from simlane.session import checkpointed
 
 
 def intake(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100) -> DataFrame:
@@ -41,9 +42,14 @@ def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path:
     """One micro-batch of occurrences (vid, pos, hash, ts) against the index so far; unique ones join the index. Folders
     carry the batch's number and are replaced, so a batch that runs again after a failure writes the same."""
     spark = batch.sparkSession
-    batch = batch.checkpoint() if spark.sparkContext.getCheckpointDir() else batch.persist()
-    index = read_index(spark, index_path, "vid string, pos int, hash string, ts timestamp, batch long").where(F.col("batch") < batch_id)
-    verdicts = dedup.detect(batch, index, variant, now if variant.max_age_days is not None else None)
+    batch = checkpointed(batch)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
+    index = read_index(spark, index_path, f"{kinds}, batch long").where(F.col("batch") < batch_id)
+    # of the index only what shares a hash with the batch matters to candidates, and whole sequences of those to lengths
+    near = index.join(batch.select("hash").distinct(), "hash", "left_semi").select("vid").distinct()
+    met = batch.select("vid").distinct().join(index.select("vid").distinct(), "vid", "left_semi") if variant.refuse_known else near
+    index = index.join(near.union(met).distinct(), "vid", "left_semi")
+    verdicts = checkpointed(dedup.detect(batch, index, variant, now if variant.max_age_days is not None else None))
     verdicts.write.mode("overwrite").parquet(f"{result_path}/batch={batch_id}")
     dedup.indexable(batch, verdicts).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
 
@@ -73,13 +79,12 @@ def answered(requests: DataFrame, results: DataFrame, now: Column, ttl: int = 36
     return out.select("vid", "has_same_video", "same_video", F.when(late, 1).otherwise(F.col("err_code")).alias("err_code"), F.when(F.col("done_at").isNotNull() | late, "done").otherwise("waiting").alias("state"))
 
 
-def drained(results: DataFrame, sink: Callable[[int, str], None], checkpoint: str, every: str = "10 seconds") -> DataStreamWriter:
-    """Every so often all new results as one JSON list, with the batch's number."""
-    from simlane.sources.sinks import result_batch
+def drained(results: DataFrame, folder: str, checkpoint: str, every: str = "10 seconds") -> DataStreamWriter:
+    """Every so often all new results as files of JSON lines, written where the rows are. Folders carry the batch's number
+    and are replaced, so a batch that runs again after a failure writes the same."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        for r in result_batch(batch).collect():
-            sink(batch_id, r["value"])
+        batch.write.mode("overwrite").json(f"{folder}/batch={batch_id}")
 
     return results.writeStream.foreachBatch(each).trigger(processingTime=every).option("checkpointLocation", checkpoint)
 

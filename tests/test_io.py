@@ -193,11 +193,39 @@ def test_answers_expire(spark):
 
 def test_drain(spark, tmp_path):
     service.submit(spark.createDataFrame([("1",), ("2",)], "vid string").coalesce(1), str(tmp_path / "in"))
-    got = []
     stream = service.intake(spark, str(tmp_path / "in"), "vid string")
-    q = service.drained(stream, lambda i, x: got.append(json.loads(x)), str(tmp_path / "c"), "1 second").start()
+    q = service.drained(stream, str(tmp_path / "out"), str(tmp_path / "c"), "1 second").start()
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    assert got == [[{"vid": "1"}, {"vid": "2"}]]
+    assert sorted(r["vid"] for r in spark.read.schema("vid string").json(str(tmp_path / "out" / "batch=0")).collect()) == ["1", "2"]
+
+
+def test_dictionary_segmentation(spark, tmp_path):
+    from simlane.operators import text
+
+    (tmp_path / "d").write_text("北京 3 ns\n北京大学 5 nt\n大学\n 学生 x\n\n北京 9 ns\n")
+    words = {r["word"]: (r["weight"], r["tag"]) for r in files.dictionary(spark, str(tmp_path / "d")).collect()}
+    assert words == {"北京": (9, "ns"), "北京大学": (5, "nt"), "大学": (None, None), "学生": (None, "x")}
+    d = spark.createDataFrame([("北京大学生 in 2024",), (None,), ("",)], "title string")
+    got = [r["words"] for r in text.segment(d, "title", text.longest_match(sorted(words))).collect()]
+    assert got == [["北京大学", "生", "in", "2024"], None, []]
+
+
+def test_temporary_folders_are_for_local_masters(spark, monkeypatch):
+    from simlane import session
+
+    class Cluster:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Cluster()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+    assert session.shared_folder(spark)
