@@ -2,8 +2,9 @@
 
 A vector is kept as the signs of its rotated residual from its page's mean, one bit a dimension, with two correction
 scalars: the residual's length and its inner product with the code. From the packed bits and a query rounded to eight
-bits the inner product is estimated, with an error bound; only vectors whose upper bound reaches what the query has
-are scored exactly."""
+bits the inner product is estimated, with an error bound; only vectors whose upper bound reaches the query's floor or
+what the page has for it are scored exactly. Pages hold vectors near one pivot, so that residuals are short, and a
+query goes only to pages that can reach its floor (blocks.search)."""
 
 from __future__ import annotations
 
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from simlane.llm import blocks
 from simlane.llm.common import staged
 
-PAGE_ROWS, QUERY_ROWS, PLANES = 8192, 512, 8
+PLANES = 8
+#: Estimates made at once.
+CELLS = 1 << 19
 
 
 def rotation(width: int, seed: int) -> np.ndarray:
@@ -74,39 +77,56 @@ def estimate(q: np.ndarray, mean: np.ndarray, r: np.ndarray, f: np.ndarray, code
     return est, err
 
 
-def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, eps: float = 1.9, seed: int = 42, page_rows: int = PAGE_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, eps: float = 1.9, seed: int = 42, page_rows: int | None = None, pivots: int = blocks.PIVOTS, sample_rows: int = blocks.SAMPLE_ROWS) -> DataFrame:
     """The k rows of largest inner product found for each query, its own row left out: query_id, rank, vec_id, score
     (exact, on the original vectors, in double precision). Both inputs have vec_id and embedding.
 
-    Every whole vector is indexed; see blocks.vectors for those that take no part. A query meets vectors of its own
-    dimension only. eps widens the error bounds: a neighbour is lost only if its estimate is off by more. Fewer than k
-    candidates give fewer rows; equal scores go to the smaller id; an empty table gives no rows."""
+    Every whole vector is indexed; see blocks.vectors for those that take no part. Pivots and first floors come from at
+    most sample_rows rows. A query meets vectors of its own dimension only. eps widens the error bounds: a neighbour is
+    lost only if its estimate is off by more. Fewer than k candidates give fewer rows; equal scores go to the smaller
+    id; an empty table gives no rows."""
     rows = staged(blocks.vectors(embeddings, zero=False))
     n = rows.count()
-    asked = blocks.vectors(queries, zero=False)
-
-    def coded(ids, v, part):
-        return v, encode(v, seed)
-
-    data = staged(blocks.pages(rows.repartition(max(1, -(-n // page_rows)), "vec_id"), page_rows, coded))
-    ask = blocks.pages(asked.repartition(max(1, -(-asked.count() // query_rows)), "vec_id"), query_rows)
+    sample = blocks.sampled(rows, sample_rows)
+    centres = {d: blocks.choose_pivots(v, pivots) for d, (_, v) in sample.items()}
+
+    def build(v: np.ndarray, pivot: np.ndarray, dist: np.ndarray) -> tuple[bytes, bytes]:
+        starts = np.r_[0, np.flatnonzero(np.diff(pivot)) + 1]
+        about = []
+        for part in np.split(v, starts[1:]):
+            mean = part.mean(axis=0)
+            about.append(np.r_[mean, np.linalg.norm(part - mean, axis=1).max()])
+        return encode(v, seed), np.array(about).tobytes()
+
+    def reach(q: np.ndarray, about: list[bytes]) -> np.ndarray:
+        """The product with the mean of a page's vectors of one pivot, and as much as the farthest of them can add."""
+        width = q.shape[1] + 1
+        m = np.frombuffer(b"".join(about)).reshape(-1, width)
+        begins = np.cumsum([0, *[len(x) // (8 * width) for x in about[:-1]]])
+        bound = q @ m[:, :-1].T + np.linalg.norm(q, axis=1)[:, None] * m[None, :, -1]
+        return np.maximum.reduceat(bound + np.abs(bound) * 1e-9, begins, axis=1)
 
     def find(x: dict, q: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         parts = decode(x["extra"], len(x["ids"]), x["dim"])
         ids, v = x["ids"], x["vecs"]
-        for lo in range(0, len(q["ids"]), 64):
-            qv = q["vecs"][lo : lo + 64]
+        step = max(1, CELLS // len(ids))
+        for lo in range(0, len(q["ids"]), step):
+            qv = q["vecs"][lo : lo + step]
             est, err = estimate(qv, *parts, seed, eps)
-            for i, own in enumerate(q["ids"][lo : lo + 64]):
+            for i, own in enumerate(q["ids"][lo : lo + step]):
                 e = np.where(ids == own, -np.inf, est[i])
                 some = min(len(ids), 2 * k)
                 top = np.argpartition(e, len(e) - some)[len(e) - some :]
                 exact = v[top] @ qv[i]
                 exact[ids[top] == own] = -np.inf
                 reached = np.partition(exact, some - k)[some - k] if some > k else -np.inf
-                at = np.flatnonzero((e + err[i] >= reached) & (ids != own))
-                at = np.union1d(at, top[ids[top] != own])
+                floor = q["floors"][lo + i]
+                at = np.union1d(np.flatnonzero((e + err[i] >= max(reached, floor)) & (ids != own)), top[(ids[top] != own) & (exact >= floor)])
+                p = v[at] @ qv[i]
+                at, p = at[p >= floor], p[p >= floor]
                 if len(at):
-                    yield int(own), *blocks.best(ids[at], v[at] @ qv[i], k)
+                    yield int(own), *blocks.best(ids[at], p, k)
 
-    return blocks.search(data, ask, data.count(), k, "double", find)
+    data = blocks.pages(rows, n, page_rows or blocks.page_rows(n), centres, lambda v: v, build)
+    asked = staged(blocks.floors(blocks.vectors(queries, zero=False), sample, k, lambda m, q: m @ q))
+    return blocks.search(data, asked, k, "double", reach, find)

@@ -1,8 +1,8 @@
 """Exact top-k search with a pivot-distance index.
 
 Vectors are keyed by their nearest pivot and their distance to it and kept in that order; a run of the order is an
-annulus around a pivot. A query takes annuli by the best score that the triangle inequality leaves them and stops
-when that can't reach its k-th score. An added component makes all vectors equally long, so that the largest inner
+annulus around a pivot. A query goes only to pages of the order whose annuli can reach its floor by the triangle inequality
+(blocks.search); of these it takes annuli by the best score that it leaves them and stops when that can't reach its k-th score. An added component makes all vectors equally long, so that the largest inner
 product is the smallest distance: |q - x|^2 = |q|^2 + M^2 - 2<q, x>."""
 
 from __future__ import annotations
@@ -10,14 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simlane.llm import blocks
+from simlane.llm.blocks import distances
 from simlane.llm.common import staged
 
-PAGE_ROWS, QUERY_ROWS, RING = 8192, 512, 256
+#: Rows of an annulus.
+RING = 256
 
 
 def whole_numbers(v):
@@ -25,23 +26,6 @@ def whole_numbers(v):
     return F.transform(v, lambda x: F.floor(x * 1024).cast("double"))
 
 
-def choose_pivots(sample: np.ndarray, pivots: int, rounds: int = 5) -> np.ndarray:
-    """Means of groups of the sample: starts far apart, then moves each to its group's mean."""
-    p = sample[:1]
-    gap = ((sample - p[0]) ** 2).sum(axis=1)
-    while len(p) < min(pivots, len(sample)) and gap.max() > 0:
-        p = np.vstack([p, sample[int(gap.argmax())]])
-        gap = np.minimum(gap, ((sample - p[-1]) ** 2).sum(axis=1))
-    for _ in range(rounds):
-        near = distances(sample, p).argmin(axis=1)
-        p = np.array([sample[near == i].mean(axis=0) if (near == i).any() else p[i] for i in range(len(p))])
-    return p
-
-
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(0.0, (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T))
-
-
 def products(v: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     """Integer inner products of the rows of v with q; doubles hold them exactly where exact is set."""
     if exact:
@@ -49,79 +33,72 @@ def products(v: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
     return (v.astype(np.int64) * q.astype(np.int64)).sum(axis=1)
 
 
-def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 32, sample_rows: int = 2048, page_rows: int = PAGE_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 10, pivots: int = blocks.PIVOTS, sample_rows: int = blocks.SAMPLE_ROWS, page_rows: int | None = None) -> DataFrame:
     """The k rows of highest integer inner product for each query, its own row left out: query_id, rank, vec_id and
     score (long). Both inputs have vec_id and embedding.
 
     Pivots are fitted on at most sample_rows rows, chosen by hash; every whole vector is indexed (blocks.vectors says
-    which take no part) and the result is exact. The sample also gives each query a first k-th score, which pages
-    must reach. Equal vectors in any number spread over pages, as the order of the index goes on by id. Scores are
-    exact while below 2^63. Fewer than k candidates give fewer rows; an empty table gives none; a query meets vectors
-    of its own dimension only."""
+    which take no part) and the result is exact. The sample also gives each query its first floor. Equal vectors in any
+    number spread over pages, as the order of the index goes on by id. Scores are exact while below 2^63. Fewer than k
+    candidates give fewer rows; an empty table gives none; a query meets vectors of its own dimension only."""
     rows = staged(blocks.vectors(embeddings, zero=True).select("vec_id", whole_numbers(F.col("v")).alias("v")))
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, most, biggest = rows.agg(F.count("*"), F.max(norm), F.max(F.size("v"))).first()
+    n, most = rows.agg(F.count("*"), F.max(norm)).first()
     most = float(most or 0.0)
-    taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()
-    by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in {len(r["v"]) for r in taken}:
-        own = [r for r in taken if len(r["v"]) == d]
-        by_dim[d] = np.array([r["vec_id"] for r in own]), np.array([r["v"] for r in own])
     exact = most < 2.0**52
+    far = np.sqrt(max(most, 1.0)) * 1e-6
 
     def lifted(v: np.ndarray) -> np.ndarray:
         return np.c_[v, np.sqrt(np.maximum(0.0, most - (v**2).sum(axis=1)))]
 
-    centres = {d: choose_pivots(lifted(s), pivots) for d, (_, s) in by_dim.items()}
-
-    def pivots_of(d: int) -> np.ndarray:
-        return centres.get(d, np.zeros((1, d + 1)))
+    sample = blocks.sampled(rows, sample_rows)
+    centres = {d: blocks.choose_pivots(lifted(s), pivots) for d, (_, s) in sample.items()}
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, v, _ in blocks.matrices(batches, 4096):
-            dist = distances(lifted(v), pivots_of(v.shape[1]))
-            near = dist.argmin(axis=1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, v.shape[1], dtype=np.int32)), pa.array(v.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), lists, pa.array(near.astype(np.int32)), pa.array(dist[np.arange(len(ids)), near])], names=["vec_id", "v", "pivot", "dist"])
+    def annuli(pivot: np.ndarray, dist: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of runs of one pivot, of at most so many rows."""
+        starts = np.unique(np.r_[np.arange(0, len(pivot), size), np.flatnonzero(np.diff(pivot)) + 1])
+        return starts, np.r_[starts[1:], len(pivot)]
 
-    order = ["pivot", "dist", "vec_id"]
-    keys = rows.mapInArrow(keyed, "vec_id long, v array<double>, pivot int, dist double")
+    def bounds(q: np.ndarray, pivot: np.ndarray, inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
+        """The highest score that the triangle inequality leaves queries in annuli."""
+        p = centres.get(q.shape[1], np.zeros((1, q.shape[1] + 1)))
+        to = distances(np.c_[q, np.zeros(len(q))], p)[:, pivot]
+        gap = np.maximum(0.0, np.maximum(inner[None, :] - to, to - outer[None, :]) - far)
+        return ((q**2).sum(axis=1)[:, None] + most - gap**2) / 2 + far * (1 + far)
 
-    def ringed(ids, v, part):
-        return v, part["pivot"].to_numpy().astype(np.float64).tobytes() + part["dist"].to_numpy().tobytes()
+    def build(v: np.ndarray, pivot: np.ndarray, dist: np.ndarray) -> tuple[bytes, bytes]:
+        s, e = annuli(pivot, dist, len(pivot))
+        return pivot.astype(np.float64).tobytes() + dist.tobytes(), np.c_[pivot[s], dist[s], dist[e - 1]].astype(np.float64).tobytes()
 
-    data = staged(blocks.pages(keys.repartitionByRange(max(1, -(-n // page_rows)), *order).sortWithinPartitions(*order), page_rows, ringed))
-    asked = blocks.vectors(queries, zero=True).select("vec_id", whole_numbers(F.col("v")).alias("v"))
-    ask = blocks.pages(asked.repartition(max(1, -(-asked.count() // query_rows)), "vec_id"), query_rows)
-    far = np.sqrt(max(most, 1.0)) * 1e-6
+    def reach(q: np.ndarray, about: list[bytes]) -> np.ndarray:
+        m = np.frombuffer(b"".join(about)).reshape(-1, 3)
+        begins = np.cumsum([0, *[len(x) // 24 for x in about[:-1]]])
+        return np.maximum.reduceat(bounds(q, m[:, 0].astype(int), m[:, 1], m[:, 2]), begins, axis=1)
 
     def find(x: dict, q: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        m, d = len(x["ids"]), x["dim"]
+        m = len(x["ids"])
         pivot, dist = np.frombuffer(x["extra"], np.float64, m).astype(int), np.frombuffer(x["extra"], np.float64, m, 8 * m)
-        cuts = np.flatnonzero(np.diff(pivot)) + 1
-        starts = np.array(sorted({*range(0, m, RING), *cuts.tolist()}))
-        ends = np.r_[starts[1:], m]
-        inner, outer, around = dist[starts], dist[ends - 1], pivot[starts]
-        to = distances(np.c_[q["vecs"], np.zeros(len(q["ids"]))], pivots_of(d))[:, around]
-        gap = np.maximum(0.0, np.maximum(inner[None, :] - to, to - outer[None, :]) - far)
-        bound = ((q["vecs"] ** 2).sum(axis=1)[:, None] + most - gap**2) / 2 + far
-        sample = by_dim.get(d, (np.zeros(0, np.int64), np.zeros((0, d))))
-        for i, own in enumerate(q["ids"]):
-            qv = q["vecs"][i]
-            have = products(sample[1], qv, exact)[sample[0] != own]
-            floor = int(np.partition(have, len(have) - k)[len(have) - k]) if len(have) >= k else None
-            got_ids, got = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            for j in np.argsort(-bound[i], kind="stable"):
-                if floor is not None and bound[i, j] < floor:
-                    break
-                s = slice(int(starts[j]), int(ends[j]))
-                p, ids = products(x["vecs"][s], qv, exact), x["ids"][s]
-                keep = ids != own if floor is None else (ids != own) & (p >= floor)
-                if keep.any():
-                    got_ids, got = blocks.best(np.r_[got_ids, ids[keep]], np.r_[got, p[keep]], k)
-                    if len(got) == k:
-                        floor = int(got[-1]) if floor is None else max(floor, int(got[-1]))
-            if len(got):
-                yield int(own), got_ids, got
-
-    return blocks.search(data, ask, data.count(), k, "long", find)
+        starts, ends = annuli(pivot, dist, RING)
+        for lo in range(0, len(q["ids"]), 1024):
+            some = q["vecs"][lo : lo + 1024]
+            bound = bounds(some, pivot[starts], dist[starts], dist[ends - 1])
+            for i, own in enumerate(q["ids"][lo : lo + 1024]):
+                floor = q["floors"][lo + i]
+                got_ids, got = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                for j in np.argsort(-bound[i], kind="stable"):
+                    if bound[i, j] < floor:
+                        break
+                    s = slice(int(starts[j]), int(ends[j]))
+                    p, ids = products(x["vecs"][s], some[i], exact), x["ids"][s]
+                    keep = (ids != own) & (p >= floor)
+                    if keep.any():
+                        got_ids, got = blocks.best(np.r_[got_ids, ids[keep]], np.r_[got, p[keep]], k)
+                        if len(got) == k:
+                            floor = max(floor, float(got[-1]) - abs(float(got[-1])) * 2.0**-50)
+                if len(got):
+                    yield int(own), got_ids, got
+
+    data = blocks.pages(rows, n, page_rows or blocks.page_rows(n), centres, lifted, build)
+    asked = blocks.vectors(queries, zero=True).select("vec_id", whole_numbers(F.col("v")).alias("v"))
+    asked = staged(blocks.floors(asked, sample, k, lambda m, q: products(m, q, exact).astype(np.float64)))
+    return blocks.search(data, asked, k, "long", reach, find)

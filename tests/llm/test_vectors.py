@@ -30,7 +30,7 @@ def random_rows(n=400, d=20, seed=0, same=60):
 def test_exact_top_k(spark, page):
     ids, v = random_rows()
     e = table(spark, [(i, x.tolist()) for i, x in zip(ids, v, strict=True)])
-    got = exact_topk.top_k(e, e.where("vec_id % 50 = 0"), k=10, page_rows=page, query_rows=3).collect()
+    got = exact_topk.top_k(e, e.where("vec_id % 50 = 0"), k=10, page_rows=page).collect()
     for q in range(0, 400, 50):
         own = sorted((r["rank"], r["vec_id"], float(r["score"])) for r in got if r["query_id"] == q)
         assert [(i, s) for _, i, s in own] == brute(ids, v, q, 10, True)
@@ -47,7 +47,7 @@ def test_large_components_stay_exact(spark):
 def test_nearest_recall_and_scores(spark):
     ids, v = random_rows(1500, 64, 1, 0)
     e = table(spark, [(i, x.tolist()) for i, x in zip(ids, v, strict=True)])
-    got = ann_bits.nearest(e, e.where("vec_id % 100 = 0"), k=20, page_rows=300, query_rows=4).collect()
+    got = ann_bits.nearest(e, e.where("vec_id % 100 = 0"), k=20, page_rows=300).collect()
     hit = 0
     for q in range(0, 1500, 100):
         want = dict(brute(ids, v, q, 20))
@@ -93,6 +93,55 @@ def test_equal_vectors_go_by_id(spark):
         assert [r["vec_id"] for r in got] == [1, 2, 3, 4, 5]
 
 
+@pytest.mark.parametrize("search", [ann_bits.nearest, exact_topk.top_k])
+@pytest.mark.parametrize("known", [True, False])
+def test_many_pages_and_blocks(spark, monkeypatch, search, known):
+    """Queries in several blocks, and pages that are too many to tell every task about."""
+    monkeypatch.setattr(blocks, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(blocks, "ROUTED", 2)
+    if not known:
+        monkeypatch.setattr(blocks, "ABOUT_BYTES", 10)
+    ids, v = random_rows(300, 16, 5, 40)
+    e = table(spark, [(i, x.tolist()) for i, x in zip(ids, v, strict=True)])
+    got = search(e, e.where("vec_id % 30 = 0"), k=7, page_rows=24).collect()
+    hit = 0
+    for q in range(0, 300, 30):
+        want = [i for i, _ in brute(ids, v, q, 7, search is exact_topk.top_k)]
+        own = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        hit += len(set(want) & set(own))
+        assert len(own) == 7 and (own == want or search is ann_bits.nearest)
+    assert hit >= 68
+
+
+@pytest.mark.parametrize("search", [ann_bits.nearest, exact_topk.top_k])
+def test_queries_go_only_to_pages_that_can_answer(spark, monkeypatch, search):
+    """Ten clusters far apart: a query meets the pages of its own and few others, and loses nothing."""
+    r = np.random.default_rng(7)
+    centre = r.normal(size=(10, 16)) * 10
+    v = centre[np.arange(600) % 10] + r.normal(size=(600, 16)) * 0.3
+    e = table(spark, [(i, x.tolist()) for i, x in enumerate(v)])
+    monkeypatch.setattr(blocks, "ROUTED", 1)
+    sent = spark.sparkContext.accumulator(0)
+    matrices = blocks.matrices
+
+    find = blocks.search
+
+    def counted(data, asked, k, score, reach, one):
+        def f(x, q):
+            sent.add(len(q["ids"]))
+            yield from one(x, q)
+
+        return find(data, asked, k, score, reach, f)
+
+    monkeypatch.setattr(blocks, "search", counted)
+    assert matrices is blocks.matrices
+    got = search(e, e.where("vec_id % 20 = 0"), k=5, page_rows=20).collect()
+    for q in range(0, 600, 20):
+        want = brute(list(range(600)), v, q, 5, search is exact_topk.top_k)
+        assert [x["vec_id"] for x in sorted(got, key=lambda x: x["rank"]) if x["query_id"] == q] == [i for i, _ in want]
+    assert sent.value < 30 * 30 / 2
+
+
 def test_best():
     i, s = blocks.best(np.array([5, 3, 9, 1]), np.array([1.0, 2.0, 2.0, 0.0]), 3)
     assert i.tolist() == [3, 9, 5] and s.tolist() == [2, 2, 1]
