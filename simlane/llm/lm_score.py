@@ -1,35 +1,36 @@
 """Stupid-backoff language-model scores: n-gram count tables partitioned by hash, joined to the documents' exploded
 n-grams and summed per document.
 
-Documents are dealt into chunks of bounded size. A chunk's distinct n-grams go, with their counts, to the hash partition
-that the upper bits of their hash name; they travel as arrays and are exploded behind the exchange. There a row is
-(hash partition, n-gram, chunk, count): the count table is their sum by n-gram, and a window over (partition, n-gram)
-gives it to the rows it is joined to without a second exchange. Both sort on disk where they have to, so a partition may
-have any size, and what is exchanged grows as the corpus does. The counts go back to the chunks, in the n-grams' order,
-and each chunk adds up the scores of its documents."""
+Documents are dealt into chunks of bounded size. A chunk's n-grams are exploded and pre-aggregated; they travel sorted and
+packed, (part, chunk, n-grams, counts), to the part of the hash's range that their upper bits name. There the count table of
+the part is the sum over its rows by n-gram, and the rows are joined to it by n-gram; table and rows lie in the same
+part, so one exchange serves both. The counts go back to the chunks in the n-grams' order, and each chunk adds up the
+scores of its documents. An n-gram that every document has costs an entry a chunk, and parts are even whatever the
+words' frequencies are. layout() keeps the rows' number in proportion to the corpus."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simlane.llm.common import pick, slices
 
 ORDER, ALPHA = 3, 0.4
-#: Tokens of a chunk and entries of a hash partition, about; the numbers of both grow with the corpus.
-CHUNK_TOKENS, BUCKET_ENTRIES = 1_000_000, 1_000_000
-#: Upper bits of a hash that name its partition, least and most: beyond the most, partitions grow instead.
-LEAST_BITS, MOST_BITS = 6, 16
+#: Tokens of a chunk and n-grams of a part of the hash's range, least and most; a task holds about 100 bytes a token of a
+#: chunk and 30 an n-gram of a part.
+CHUNK_TOKENS, PART_ENTRIES = (1_400_000, 12_000_000), (1_000_000, 16_000_000)
+#: Upper bits of a hash that name its part, at least, and bits up to which parts grow in number before they grow in size.
+LEAST_BITS, EVEN_BITS = 6, 16
 #: Bytes of the texts that are dealt together.
 PAGE_BYTES = 1 << 18
 #: Characters of a text that are split into words at once, words remembered with their hashes, and the longest that are.
-SLICE, KNOWN_WORDS, KNOWN_BYTES = 4_000_000, 1_000_000, 64
+SLICE, KNOWN_WORDS, KNOWN_BYTES = 1_000_000, 300_000, 64
 #: What a word that no other document has counts as.
 UNSEEN = 0.5
 
@@ -53,7 +54,7 @@ def word_hashes(text: str | None, known: _Words) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def ngrams(texts: Iterable[str | None], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The document of each word, and for k = 1 .. order the hash of the k-gram that ends at it (0: there is none)."""
     known = _Words()
     words = [word_hashes(t, known) for t in texts]
@@ -74,6 +75,15 @@ def ngrams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.nda
     return doc, grams
 
 
+def ordered(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all n-grams (order by order, those of a word that has none left out) in the order of their hashes as
+    signed numbers, equal ones by place; and these hashes."""
+    every = np.concatenate(grams).view(np.int64)
+    at = np.flatnonzero(every) if every.size and not every.all() else np.arange(len(every))
+    at = at[np.argsort(every[at], kind="stable")]
+    return at, every[at]
+
+
 def distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams as signed numbers in order, with their counts; among them the entry 0, which counts the words."""
     h = np.sort(np.concatenate([np.zeros(1, np.int64), *(g[g != 0].view(np.int64) for g in grams)]))
@@ -84,30 +94,47 @@ def distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
-def backoff(doc: np.ndarray, grams: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray, n_docs: int, alpha: float, own: bool) -> np.ndarray:
-    """Sum of log scores of each document. own: the document's own n-grams are not counted."""
-    if not len(doc):
+def backoff(doc: np.ndarray, grams: list[np.ndarray], counts: np.ndarray, n_docs: int, alpha: float, own: bool) -> np.ndarray:
+    """Sum of log scores of each document; counts are those of the entries of distinct(), in their order. own: the
+    document's own n-grams are not counted."""
+    m = len(doc)
+    if not m:
         return np.zeros(n_docs)
+    at, h = ordered(grams)
+    new = np.r_[True, h[1:] != h[:-1]]
+    entry = np.cumsum(new) - 1
+    zero = int(np.searchsorted(h[new], 0))  # where the entry that counts the words lies
+    entry += entry >= zero
+    seen = np.zeros(len(grams) * m)
+    seen[at] = counts[entry]
+    if own:
+        # equal n-grams follow each other by order and document, and no n-gram has two orders
+        first = np.flatnonzero(new | np.r_[True, doc[at[1:] % m] != doc[at[:-1] % m]])
+        mine = np.diff(np.r_[first, len(h)])
+        seen[at] -= np.repeat(mine, mine)
     words = np.bincount(doc, minlength=n_docs)
-    every = float(counts[np.searchsorted(hashes, 0)])
-    total = np.maximum(1.0, every - words)[doc] if own else np.full(len(doc), max(1.0, every))
-    seen = []
-    for g in grams:
-        at = np.searchsorted(hashes, g.view(np.int64))
-        c = counts[at].astype(np.float64)
-        if own:
-            _, inverse, n = np.unique(doc.astype(np.uint64) * np.uint64(len(hashes)) + at.astype(np.uint64), return_inverse=True, return_counts=True)
-            c -= n[inverse]
-        seen.append(np.where(g > 0, c, 0.0))
-    score = np.log(np.maximum(seen[0], UNSEEN) / total)
+    every = float(counts[zero])
+    total = np.maximum(1.0, every - words)[doc] if own else np.full(m, max(1.0, every))
+    by = seen.reshape(len(grams), m)
+    score = np.log(np.maximum(by[0], UNSEEN) / total)
     for k in range(1, len(grams)):
-        context = np.r_[1.0, seen[k - 1][:-1]]
-        hit = seen[k] > 0
-        higher = np.log(np.where(hit, seen[k], 1.0) / np.where(hit, context, 1.0))
-        score = np.where(hit, higher, np.where(grams[k] > 0, np.log(alpha) + score, score))
+        context = np.r_[1.0, by[k - 1][:-1]]
+        hit = by[k] > 0
+        higher = np.log(np.where(hit, by[k], 1.0) / np.where(hit, context, 1.0))
+        score = np.where(hit, higher, np.where(grams[k] != 0, np.log(alpha) + score, score))
     return np.bincount(doc, score, minlength=n_docs)
 
 
+def layout(words: int, order: int, chunk_tokens: int | None = None, part_entries: int | None = None) -> tuple[int, int]:
+    """Chunks and the bits that name a part, for so many words. Parts grow in number first, then in size and chunks with
+    them, so that a row of a chunk and a part keeps at least about three n-grams and rows don't outgrow n-grams."""
+    total = max(1, words * order)
+    most = part_entries or min(PART_ENTRIES[1], max(PART_ENTRIES[0], total >> EVEN_BITS))
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1.0, total / most)))))
+    size = chunk_tokens or min(CHUNK_TOKENS[1], max(CHUNK_TOKENS[0], 2 << bits))
+    return max(1, -(-words // size)), bits
+
+
 def paged(docs: DataFrame, chunks: int, asks: bool) -> DataFrame:
     """The documents in pages, each dealt to a chunk (below zero where it isn't asked for) by its place in the input, so
     that equal rows don't meet in one chunk."""
@@ -115,7 +142,7 @@ def paged(docs: DataFrame, chunks: int, asks: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        write = pa.ipc.IpcWriteOptions(compression="zstd")
+        write = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
         at, seq = TaskContext.get().partitionId(), 0
 
         def page(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -136,58 +163,80 @@ def paged(docs: DataFrame, chunks: int, asks: bool) -> DataFrame:
     return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, page binary")
 
 
-def _texts(pages: pa.Table) -> pa.Table:
-    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in pages["page"]] or [pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string())})])
+def _opened(pages: pa.Table) -> Iterator[pa.Table]:
+    return (pa.ipc.open_stream(x.as_buffer()).read_all() for x in pages["page"])
+
+
+def _texts(pages: pa.Table) -> Iterator[str | None]:
+    return (t.as_py() for page in _opened(pages) for t in page["text"])
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers with their bytes in planes, so that upper ones compress away."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.asarray(values, np.int64).view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(np.int64)
 
 
 def exploded(pages: DataFrame, order: int, bits: int) -> DataFrame:
-    """(part, chunk, gram, n): the distinct n-grams of each chunk with their counts, partitioned by part."""
+    """(part, chunk, grams, ns): the distinct n-grams of each chunk, sorted, with their counts, both packed; a row for
+    each part of the hash's range."""
 
     def run(t: pa.Table) -> pa.Table:
-        _, grams = ngrams(_texts(t)["text"].to_pylist(), order)
+        _, grams = ngrams(_texts(t), order)
         hashes, counts = distinct(grams)
         part = (hashes >> np.int64(64 - bits)) + (1 << (bits - 1))
-        cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(hashes)].astype(np.int32)
-        chunk = np.full(len(cuts) - 1, t["chunk"][0].as_py(), np.int64)
-        return pa.table({"part": pa.array(part[cuts[:-1]].astype(np.int32)), "chunk": pa.array(chunk), "grams": pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes)), "ns": pa.ListArray.from_arrays(pa.array(cuts), pa.array(counts.astype(np.int32)))})
+        cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(hashes)]
+        ends = list(zip(cuts[:-1], cuts[1:], strict=True))
+        differences = [_packed(np.diff(hashes[s:e], prepend=np.int64(0))) for s, e in ends]
+        return pa.table({"part": pa.array(part[cuts[:-1]].astype(np.int32)), "chunk": pa.array(np.full(len(ends), t["chunk"][0].as_py(), np.int64)), "grams": pa.array(differences, pa.binary()), "ns": pa.array([_packed(counts[s:e]) for s, e in ends], pa.binary())})
 
-    arrays = pages.groupBy("chunk").applyInArrow(run, "part int, chunk long, grams array<long>, ns array<int>").repartition("part")
-    return arrays.select("part", "chunk", F.inline(F.arrays_zip("grams", "ns"))).toDF("part", "chunk", "gram", "n")
+    return pages.groupBy("chunk").applyInArrow(run, "part int, chunk long, grams binary, ns binary")
 
 
-def count_table(rows: DataFrame) -> DataFrame:
-    """(part, gram, total) of the rows of exploded(): the n-gram count table, partitioned by hash."""
-    return rows.groupBy("part", "gram").agg(F.sum("n").alias("total"))
+def _table(t: pa.Table, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """The count table of a part's rows (n-grams and totals), the entry of each of the rows' n-grams in it, in the order
+    of `order`, and the rows' sizes."""
+    grams = [np.cumsum(_unpacked(x)) for x in t["grams"].to_pylist()]
+    ns = np.concatenate([_unpacked(x) if own or c < 0 else np.zeros(len(g), np.int64) for x, c, g in zip(t["ns"].to_pylist(), t["chunk"].to_pylist(), grams, strict=True)])
+    sizes = [len(g) for g in grams]
+    every = np.concatenate(grams)
+    order = np.argsort(every, kind="stable")
+    new = np.r_[True, np.diff(every[order]) != 0]
+    return every[order][new], np.add.reduceat(ns[order], np.flatnonzero(new)), np.cumsum(new) - 1, order, sizes
 
 
-def with_totals(rows: DataFrame, own: bool) -> DataFrame:
-    """The rows of chunks that ask, joined to count_table() of all rows (own) or of those that don't ask: a window over
-    the table's key, as both sides lie in the same partitions."""
-    counted = F.col("n") if own else F.when(F.col("chunk") < 0, F.col("n")).otherwise(0)
-    total = F.sum(counted).over(Window.partitionBy("part", "gram"))
-    return rows.select("part", "chunk", "gram", total.alias("total")).where(F.col("chunk") >= 0)
+def count_table(rows: DataFrame, own: bool = True) -> DataFrame:
+    """(part, gram, total): the n-gram count table of the rows of exploded(), partitioned by hash."""
 
+    def run(t: pa.Table) -> pa.Table:
+        gram, total, *_ = _table(t, own)
+        return pa.table({"part": pa.array(np.full(len(gram), t["part"][0].as_py(), np.int32)), "gram": pa.array(gram), "total": pa.array(total)})
 
-def sent_back(rows: DataFrame) -> DataFrame:
-    """(chunk, part, seq, totals): the totals of a chunk's n-grams in the order of the n-grams, in compressed pieces."""
+    return rows.groupBy("part").applyInArrow(run, "part int, gram long, total long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=1)
-        seq = 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            chunk, part, total = (b[c].to_numpy() for c in ("chunk", "part", "total"))
-            cuts = np.r_[0, np.flatnonzero((np.diff(chunk) != 0) | (np.diff(part) != 0)) + 1, len(chunk)]
-            blobs = [z.compress(np.ascontiguousarray(total[s:e].astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-            at = pa.array(np.arange(seq, seq + len(blobs)))
-            seq += len(blobs)
-            yield pa.RecordBatch.from_arrays([pa.array(chunk[cuts[:-1]]), pa.array(part[cuts[:-1]]), at, pa.array(blobs, pa.binary())], names=["chunk", "part", "seq", "totals"])
 
-    return rows.sortWithinPartitions("chunk", "part", "gram").select("chunk", "part", "total").mapInArrow(run, "chunk long, part int, seq long, totals binary")
+def with_totals(rows: DataFrame, own: bool) -> DataFrame:
+    """(chunk, part, totals): the rows of exploded() that ask, joined by n-gram to the count table of all rows (own) or of
+    those that don't ask; totals are packed and in the n-grams' order."""
+
+    def run(t: pa.Table) -> pa.Table:
+        _, total, entry, order, sizes = _table(t, own)
+        joined = np.empty(len(order), np.int64)
+        joined[order] = total[entry]
+        ends = np.cumsum(sizes)
+        chunk = t["chunk"].to_pylist()
+        asks = [i for i, c in enumerate(chunk) if c >= 0]
+        blobs = [_packed(joined[ends[i] - sizes[i] : ends[i]]) for i in asks]
+        return pa.table({"chunk": pa.array([chunk[i] for i in asks], pa.int64()), "part": pa.array([t["part"][0].as_py()] * len(asks), pa.int32()), "totals": pa.array(blobs, pa.binary())})
+
+    return rows.groupBy("part").applyInArrow(run, "chunk long, part int, totals binary")
 
 
-def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORDER, alpha: float = ALPHA, chunk_tokens: int = CHUNK_TOKENS, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORDER, alpha: float = ALPHA, chunk_tokens: int | None = None, part_entries: int | None = None) -> DataFrame:
     """doc_id, n_words, log_score (sum over words of log S) and score (its mean, null without words) of each row.
 
     S(w | context) = c(context w) / c(context) where that n-gram is counted, else alpha x S(w | shorter context); the
@@ -201,26 +250,22 @@ def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORD
     own = reference is None
     sides = [(docs, True)] + ([] if own else [(reference, False)])
     size = sum(int(pick(d, "text").agg(F.sum(F.length("text"))).first()[0] or 0) for d, _ in sides) // 6 + 1
-    chunks = max(1, -(-size // chunk_tokens))
-    bits = min(MOST_BITS, max(LEAST_BITS, int(np.ceil(np.log2(max(1.0, size * order / bucket_entries))))))
+    chunks, bits = layout(size, order, chunk_tokens, part_entries)
 
     def summed(pages: pa.Table, found: pa.Table) -> pa.Table:
-        texts = _texts(pages)
-        doc, grams = ngrams(texts["text"].to_pylist(), order)
-        hashes, _ = distinct(grams)
-        by = sorted(zip(found["part"].to_pylist(), found["seq"].to_pylist(), found["totals"].to_pylist(), strict=True))
-        z = zstandard.ZstdDecompressor()
-        raw = [np.frombuffer(z.decompress(x), np.uint8).reshape(8, -1) for _, _, x in by]
-        counts = np.ascontiguousarray(np.concatenate(raw, axis=1).T).reshape(-1).view(np.int64) if raw else np.zeros(1, np.int64)
-        n = texts.num_rows
-        total = backoff(doc, grams, hashes, counts, n, alpha, own)
+        doc, grams = ngrams(_texts(pages), order)
+        by = sorted(zip(found["part"].to_pylist(), found["totals"].to_pylist(), strict=True))
+        counts = np.concatenate([_unpacked(x) for _, x in by] or [np.zeros(1, np.int64)])
+        ids = pa.chunked_array([c for page in _opened(pages) for c in page["doc_id"].chunks], pa.int64())
+        n = len(ids)
+        total = backoff(doc, grams, counts, n, alpha, own)
         words = np.bincount(doc, minlength=n).astype(np.int64)
         mean = pa.array(total / np.maximum(1, words), mask=words == 0)
-        return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(words), "log_score": pa.array(total), "score": mean})
+        return pa.table({"doc_id": ids, "n_words": pa.array(words), "log_score": pa.array(total), "score": mean})
 
     asking = paged(docs, chunks, True)
     pages = asking if own else asking.unionByName(paged(reference, chunks, False))
-    back = sent_back(with_totals(exploded(pages, order, bits), own))
+    back = with_totals(exploded(pages, order, bits), own)
     return asking.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(summed, "doc_id long, n_words long, log_score double, score double")
 
 

@@ -50,22 +50,28 @@ def plain_backoff(texts, reference, order, alpha):
 @pytest.mark.parametrize("other", [False, True])
 def test_backoff(spark, order, other):
     reference = [(9, "the cat ran", "en", "a", 1), (9, "a dog sat on the mat", "en", "a", 1)] if other else None
-    got = lm_score.scores(table(spark), table(spark, reference) if other else None, order, chunk_tokens=200, bucket_entries=50).collect()
+    got = lm_score.scores(table(spark), table(spark, reference) if other else None, order, chunk_tokens=200, part_entries=50).collect()
     want = plain_backoff([r[1] for r in ODD], [r[1] for r in reference] if other else None, order, 0.4)
     assert sorted((str(r["doc_id"]), r["n_words"], round(r["log_score"], 8)) for r in got) == sorted((str(o[0]), n, round(s, 8)) for o, (n, s) in zip(ODD, want, strict=True))
     assert all((r["score"] is None) == (r["n_words"] == 0) for r in got)
 
 
 def test_count_table(spark):
-    """The table that the window joins is the sum of the exploded rows by n-gram."""
+    """The table that the rows are joined to is the count of each n-gram; the join gives each row its entry."""
     pages = lm_score.paged(table(spark), 3, True)
     rows = lm_score.exploded(pages, 2, 6)
     total = {(r["part"], r["gram"]): r["total"] for r in lm_score.count_table(rows).collect()}
-    assert total and all(total[r["part"], r["gram"]] == r["total"] for r in lm_score.with_totals(rows, True).collect())
     every = Counter(g for _, t, *_ in ODD for w in [words(t)] for k in (1, 2) for g in (tuple(w[i : i + k]) for i in range(len(w) - k + 1)))
     assert sorted(total.values()) == sorted([*every.values(), sum(len(words(t)) for _, t, *_ in ODD)])
-    plan = lm_score.with_totals(rows, True)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(part") == plan.count("Exchange") - 1
+    own = {(r["chunk"], r["part"]): np.cumsum(lm_score._unpacked(r["grams"])).tolist() for r in rows.collect()}
+    joined = {(r["chunk"], r["part"]): lm_score._unpacked(r["totals"]).tolist() for r in lm_score.with_totals(rows, True).collect()}
+    assert own.keys() == joined.keys() and all([total[p, g] for g in own[c, p]] == t for (c, p), t in joined.items())
+
+
+def test_layout_keeps_rows_in_proportion():
+    for words in (10**3, 10**7, 10**9, 10**11, 3 * 10**13):
+        chunks, bits = lm_score.layout(words, 3)
+        assert words / chunks <= 12_000_001 and 3 * words / 2**bits <= 16_000_000 and chunks * 2**bits <= max(64 * chunks, 2 * words)
 
 
 def test_repeated_rows_are_dealt_apart(spark, monkeypatch):
