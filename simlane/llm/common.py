@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from simlane.session import shared_folder
+
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns by their exact spelling, also beside extra columns that differ only in case."""
@@ -19,13 +20,8 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where the cluster names none, a temporary one is set (tests)."""
-    sc = spark.sparkContext
-    now = sc.getCheckpointDir()
-    named = spark.conf.get("spark.checkpoint.dir", None) or now or "file://" + tempfile.mkdtemp(prefix="simlane-")
-    if not now:
-        sc.setCheckpointDir(named)
-    return named
+    """The folder that driver and executors share; a local master without one gets a temporary folder (tests)."""
+    return shared_folder(spark)
 
 
 def staged(df: DataFrame) -> DataFrame:
