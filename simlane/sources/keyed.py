@@ -28,15 +28,18 @@ def backfill(landing: DataFrame, kind: str, days: list[str], prefix: str = "item
     return ids.withColumn("key", F.concat(F.lit(prefix), "id")).join(landing.where(F.col("day").isNull()).select("key", "value"), "key").select("day", "id", "value")
 
 
-class _Range(InputPartition):
-    def __init__(self, start: int, end: int):
-        self.start, self.end = start, end
+class _Page(InputPartition):
+    """Records first .. first + n - 1, the first of which begins at a byte of a file."""
+
+    def __init__(self, file: str, byte: int, first: int, n: int):
+        self.file, self.byte, self.first, self.n = file, byte, first, n
 
 
 class PagedLibrary(DataSource):
-    """Records numbered from 0 in files of one JSON record a line, read by page. Options: path (a folder of .jsonl
-    files that all workers reach) and page (records of a read). As a stream it goes on from the last offset, which
-    Spark keeps in the checkpoint."""
+    """Records numbered from 0 in files of one JSON record a line, read by page. Options: path (a URI of a folder of
+    .jsonl files that all workers reach) and page (records of a read). Files are gone through once for where pages begin;
+    a page is read from there on. As a stream it goes on from the last offset, a file and a byte, which Spark keeps in
+    the checkpoint, so a read costs what is new."""
 
     @classmethod
     def name(cls) -> str:
@@ -52,12 +55,36 @@ class PagedLibrary(DataSource):
         return _PagedStream(self.options)
 
 
-def _lines(path: str) -> Iterator[str]:
-    import glob
+def _opened(path: str):
+    """The file system that a path names, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (fs.LocalFileSystem(), path)
+
+
+def _files(path: str) -> list[str]:
+    """The folder's .jsonl files by name, as paths in its file system."""
+    from pyarrow import fs
+
+    store, base = _opened(path)
+    return sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".jsonl"))
+
 
-    for f in sorted(glob.glob(f"{path.removeprefix('file://')}/*.jsonl")):
-        with open(f, encoding="utf-8") as h:
-            yield from (x.rstrip("\n") for x in h)
+def _lines(path: str, file: str, byte: int) -> Iterator[tuple[int, str]]:
+    """(the byte behind it, line) of a file's lines from a byte on."""
+    store, _ = _opened(path)
+    with store.open_input_file(file) as h:
+        h.seek(byte)
+        rest = b""
+        while True:
+            some = h.read(1 << 20)
+            lines = (rest + some).split(b"\n")
+            rest = lines.pop() if some else b""
+            for x in lines if some or lines[-1:] != [b""] else lines[:-1]:
+                byte += len(x) + 1
+                yield byte, x.decode("utf-8").rstrip("\r")
+            if not some:
+                return
 
 
 class _PagedReader(DataSourceReader):
@@ -65,15 +92,21 @@ class _PagedReader(DataSourceReader):
         self.path, self.page = options["path"], int(options.get("page", "1000"))
 
     def partitions(self):
-        n = sum(1 for _ in _lines(self.path))
-        return [_Range(i, min(n, i + self.page)) for i in range(0, n, self.page)]
+        pages, n = [], 0
+        for f in _files(self.path):
+            begin = 0
+            for at, (end, _) in enumerate(_lines(self.path, f, 0)):
+                if at % self.page == 0:
+                    pages.append(_Page(f, begin, n, 0))
+                pages[-1].n += 1
+                n, begin = n + 1, end
+        return pages
 
     def read(self, partition):
-        for i, x in enumerate(_lines(self.path)):
-            if i >= partition.end:
+        for i, (_, x) in enumerate(_lines(self.path, partition.file, partition.byte)):
+            if i >= partition.n:
                 break
-            if i >= partition.start:
-                yield i, x
+            yield partition.first + i, x
 
 
 class _PagedStream(SimpleDataSourceStreamReader):
@@ -81,11 +114,25 @@ class _PagedStream(SimpleDataSourceStreamReader):
         self.path, self.page = options["path"], int(options.get("page", "1000"))
 
     def initialOffset(self):
-        return {"next": 0}
+        return {"next": 0, "file": "", "byte": 0}
+
+    def _from(self, start: dict, most: int) -> Iterator[tuple[dict, tuple[int, str]]]:
+        """Records behind an offset, each with the offset behind it; files that come later by name are gone on to."""
+        n = start["next"]
+        for f in _files(self.path):
+            if f < start["file"]:
+                continue
+            for byte, x in _lines(self.path, f, start["byte"] if f == start["file"] else 0):
+                if n >= start["next"] + most:
+                    return
+                n += 1
+                yield {"next": n, "file": f, "byte": byte}, (n - 1, x)
 
     def read(self, start):
-        rows = list(self.readBetweenOffsets(start, {"next": start["next"] + self.page}))
-        return iter(rows), {"next": start["next"] + len(rows)}
+        rows, end = [], start
+        for end, row in self._from(start, self.page):
+            rows.append(row)
+        return iter(rows), end
 
     def readBetweenOffsets(self, start, end):
-        return ((i, x) for i, x in enumerate(_lines(self.path)) if start["next"] <= i < end["next"])
+        return (row for _, row in self._from(start, end["next"] - start["next"]))

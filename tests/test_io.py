@@ -74,6 +74,30 @@ def test_paged_library(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).select("number").distinct().count() == 25
 
 
+def test_pages_begin_where_the_last_ended(tmp_path):
+    """By byte, over several files, with a line cut off at the end and letters of several bytes."""
+    (tmp_path / "a.jsonl").write_text("é0\n1\n\n3\n")
+    (tmp_path / "b.jsonl").write_text("4\n5")
+    (tmp_path / "none.txt").write_text("x\n")
+    want = [(0, "é0"), (1, "1"), (2, ""), (3, "3"), (4, "4"), (5, "5")]
+    for page in (1, 2, 3, 100):
+        for path in (str(tmp_path), f"file://{tmp_path}"):
+            options = {"path": path, "page": str(page)}
+            r = keyed.PagedLibrary(options).reader(None)
+            assert [x for p in r.partitions() for x in r.read(p)] == want
+            s, at, got = keyed.PagedLibrary(options).simpleStreamReader(None), None, []
+            at = s.initialOffset()
+            while True:
+                rows, end = s.read(at)
+                rows = list(rows)
+                assert rows == list(s.readBetweenOffsets(at, end)) and len(rows) <= page
+                got += rows
+                if end == at:
+                    break
+                at = end
+            assert got == want
+
+
 def test_backfill(spark):
     landing = spark.createDataFrame([("fresh_doc", "1", "a"), ("fresh_doc", "2", "b"), ("item_a", None, "A")], "key string, day string, value string")
     assert [(r["day"], r["value"]) for r in keyed.backfill(landing, "doc", ["1", "2"]).collect()] == [("1", "A")]
