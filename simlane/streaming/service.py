@@ -30,12 +30,42 @@ def checked(requests: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFram
     return requests.where(ok), requests.where(~ok)
 
 
-def read_index(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The occurrences indexed so far; an index not yet begun is empty."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    exists = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+#: Batches after which the index so far is written as one snapshot.
+COMPACT = 16
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def index_folders(spark: SparkSession, path: str, before: int) -> list[str]:
+    """The folders that hold the index as it was before a batch: the last whole snapshot and the batches since."""
+    fs, at = _file_system(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    number = lambda kind: [int(n[len(kind) :]) for n in names if n.startswith(kind)]
+    last = max((n for n in number("upto=") if n < before and fs.exists(_file_system(spark, f"{path}/upto={n}/_SUCCESS")[1])), default=-1)
+    return [f"{path}/upto={last}"] * (last >= 0) + [f"{path}/batch={n}" for n in sorted(number("batch=")) if last < n < before]
+
+
+def read_index(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
+    """The occurrences indexed before a batch; an index not yet begun is empty."""
+    folders = index_folders(spark, path, before)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def compact(spark: SparkSession, path: str, schema: str, batch_id: int) -> None:
+    """Writes the index up to and with a batch as a snapshot, by hash, and removes what the snapshot before it holds: a
+    batch that runs again still finds the one it had."""
+    before = index_folders(spark, path, batch_id)
+    read_index(spark, path, schema, batch_id + 1).repartitionByRange("hash").sortWithinPartitions("hash", "vid").write.mode("overwrite").parquet(f"{path}/upto={batch_id}")
+    if before and "/upto=" in before[0]:
+        held = int(before[0].rpartition("=")[2])
+        fs, at = _file_system(spark, path)
+        for f in fs.listStatus(at):
+            kind, _, n = f.getPath().getName().partition("=")
+            if n and int(n) < held + (kind == "batch"):
+                fs.delete(f.getPath(), True)
 
 
 def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path: str, variant: dedup.Variant, now: Column) -> None:
@@ -44,7 +74,7 @@ def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path:
     spark = batch.sparkSession
     batch = checkpointed(batch)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
-    index = read_index(spark, index_path, f"{kinds}, batch long").where(F.col("batch") < batch_id)
+    index = read_index(spark, index_path, kinds, batch_id)
     # of the index only what shares a hash with the batch matters to candidates, and whole sequences of those to lengths
     near = index.join(batch.select("hash").distinct(), "hash", "left_semi").select("vid").distinct()
     met = batch.select("vid").distinct().join(index.select("vid").distinct(), "vid", "left_semi") if variant.refuse_known else near
@@ -52,6 +82,8 @@ def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path:
     verdicts = checkpointed(dedup.detect(batch, index, variant, now if variant.max_age_days is not None else None))
     verdicts.write.mode("overwrite").parquet(f"{result_path}/batch={batch_id}")
     dedup.indexable(batch, verdicts).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
+    if (batch_id + 1) % COMPACT == 0:
+        compact(spark, index_path, kinds, batch_id)
 
 
 def detect_stream(occurrences: DataFrame, index_path: str, result_path: str, variant: dedup.Variant, checkpoint: str, now: Column | None = None) -> DataStreamWriter:

@@ -138,7 +138,9 @@ def test_sinks(spark, tmp_path):
     assert json.loads(sinks.result_batch(v).first()["value"])[0]["vid"] == "a"
 
 
-def test_batches_equal_the_ordered_result(spark, tmp_path):
+@pytest.mark.parametrize("every", [service.COMPACT, 2, 1])
+def test_batches_equal_the_ordered_result(spark, tmp_path, monkeypatch, every):
+    monkeypatch.setattr(service, "COMPACT", every)
     seqs = {"a": "abcd", "b": "abcx", "c": "mnop", "d": "mnoq", "e": "zzzz"}
     src = tmp_path / "in"
     for i, (v, s) in enumerate(seqs.items()):
@@ -154,7 +156,11 @@ def test_batches_equal_the_ordered_result(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["vid"]: r["similar_vid"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"a": None, "b": "a", "c": None, "d": "c", "e": None}
-    assert {r["vid"] for r in spark.read.parquet(str(tmp_path / "index")).collect()} == {"a", "c", "e"}
+    folders = service.index_folders(spark, str(tmp_path / "index"), 5)
+    assert {r["vid"] for r in service.read_index(spark, str(tmp_path / "index"), "vid string", 5).collect()} == {"a", "c", "e"}
+    assert [f.rpartition("/")[2] for f in folders] == {1: ["upto=4"], 2: ["upto=3", "batch=4"]}.get(every, [f"batch={i}" for i in range(5)])
+    # the state before the last batch is still there, for a run that has to be repeated
+    assert {r["vid"] for r in service.read_index(spark, str(tmp_path / "index"), "vid string", 4).collect()} == {"a", "c"}
 
 
 def test_checks_and_health(spark):
