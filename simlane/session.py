@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import configparser
 import re
 import tempfile
 
@@ -28,6 +29,16 @@ def session(app: str = "simlane", master: str | None = None, **conf: object) ->
     return b.getOrCreate()
 
 
+def read_settings(path: str, section: str = "spark") -> dict[str, str]:
+    """The settings of a section of a configuration file ('name = value' lines below [section]), for
+    session(**{name with '_' for '.': value})."""
+    parser = configparser.ConfigParser(interpolation=None)
+    parser.optionxform = str
+    with open(path, encoding="utf-8") as f:
+        parser.read_file(f)
+    return {k.replace(".", "_"): v for k, v in parser[section].items()}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names, which driver and executors share; the context's checkpoint folder is
     set to it if there is none. Where it is unset, a temporary folder serves a local master and others get an error."""

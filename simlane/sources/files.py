@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +64,18 @@ def plain_tasks(lines: DataFrame, title: str = "none") -> DataFrame:
     return t.select(F.col("f")[0].alias("vid"), F.lit(title).alias("title"), F.col("f")[1].alias("url"))
 
 
+def stream_tasks(lines: Iterable[str], spark: SparkSession, title: str = "none", at_once: int = 10_000) -> Iterator[DataFrame]:
+    """plain_tasks() of lines that come one by one, as from sys.stdin: a table for each at_once of them."""
+    held: list[tuple[str]] = []
+    for line in lines:
+        held.append((line.rstrip("\n"),))
+        if len(held) == at_once:
+            yield plain_tasks(spark.createDataFrame(held, "value string"), title)
+            held = []
+    if held:
+        yield plain_tasks(spark.createDataFrame(held, "value string"), title)
+
+
 def id_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """The ids of a two-column table, one a row."""
     return df.select(F.explode(F.array(a, b)).alias("id"))

@@ -50,12 +50,22 @@ def callback_bodies(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat(F.lit("jsonResult="), F.url_encode(F.to_json(F.struct(*rows.columns)))).alias("body"))
 
 
-def send_each(rows: DataFrame, post: Callable[[str], None]) -> None:
-    """Calls post with each body on the executors."""
+def send_each(rows: DataFrame, post: Callable[[str], None], tries: int = 3, wait: float = 1.0) -> None:
+    """Calls post with each body on the executors, up to so many times, waiting longer each time; the last failure ends
+    the task, which Spark runs again."""
 
     def run(part):
+        import time
+
         for r in part:
-            post(r["body"])
+            for n in range(tries):
+                try:
+                    post(r["body"])
+                    break
+                except Exception:
+                    if n == tries - 1:
+                        raise
+                    time.sleep(wait * 2**n)
 
     callback_bodies(rows).foreachPartition(run)
 

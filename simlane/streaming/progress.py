@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
+import os
 import signal
 import threading
 from collections.abc import Callable
+from logging.handlers import TimedRotatingFileHandler
 from typing import Any
 
 from pyspark.sql.streaming import StreamingQueryListener
@@ -30,6 +33,17 @@ class DepthLog(StreamingQueryListener):
         pass
 
 
+def rotating_log(name: str, path: str, days: int = 7) -> logging.Logger:
+    """A log of the driver that begins a new file each midnight (UTC) and keeps so many old ones."""
+    log = logging.getLogger(name)
+    if not any(isinstance(h, TimedRotatingFileHandler) and h.baseFilename == os.path.abspath(path) for h in log.handlers):
+        h = TimedRotatingFileHandler(path, when="midnight", backupCount=days, utc=True, encoding="utf-8")
+        h.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+        log.addHandler(h)
+        log.setLevel(logging.INFO)
+    return log
+
+
 class TimedOut(Exception):
     pass
 

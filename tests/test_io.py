@@ -163,6 +163,32 @@ def test_batches_equal_the_ordered_result(spark, tmp_path, monkeypatch, every):
     assert {r["vid"] for r in service.read_index(spark, str(tmp_path / "index"), "vid string", 4).collect()} == {"a", "c"}
 
 
+def test_retries_logs_and_settings(spark, tmp_path):
+    from simlane.session import read_settings
+    from simlane.streaming.progress import rotating_log
+
+    (tmp_path / "seen").mkdir()
+
+    def post(body, folder=str(tmp_path / "seen")):
+        import os
+
+        n = len(os.listdir(folder))
+        open(f"{folder}/{n}", "w").write(body)
+        if n == 0:
+            raise OSError("busy")
+
+    sinks.send_each(spark.createDataFrame([("a",)], "vid string").coalesce(1), post, wait=0.01)
+    assert len(list((tmp_path / "seen").iterdir())) == 2
+    log = rotating_log("simlane.test", str(tmp_path / "log"))
+    assert rotating_log("simlane.test", str(tmp_path / "log")) is log and len(log.handlers) == 1
+    log.info("one")
+    assert (tmp_path / "log").read_text().endswith("INFO one\n")
+    (tmp_path / "c.ini").write_text("[spark]\nspark.sql.shuffle.partitions = 7\nspark.executor.memory=4g\n")
+    assert read_settings(str(tmp_path / "c.ini")) == {"spark_sql_shuffle_partitions": "7", "spark_executor_memory": "4g"}
+    got = [r["vid"] for t in files.stream_tasks(iter(["1 http://u\n", "2\n", "3 http://v\n"]), spark, at_once=2) for r in t.collect()]
+    assert got == ["1", "3"]
+
+
 def test_checks_and_health(spark):
     good, bad = service.checked(spark.createDataFrame([("1", "u"), ("2", ""), (None, "u")], "vid string, url string"), ["vid", "url"])
     assert good.count() == 1 and bad.count() == 2 and service.health(spark).first()["status"] == 1
