@@ -31,11 +31,12 @@ def digest32(sha1: bytes) -> str:
     return base64.b32encode(sha1).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha1_hex: str, kind: str, refers_to: int | None, date: str) -> bytes:
-    """A response with its payload, or a revisit with the HTTP header alone; that header has the payload's length."""
+def record(page_id: int | None, url: str | None, payload: bytes, sha1_hex: str, kind: str, refers_to: int | None, date: str, place: str = "") -> bytes:
+    """A response with its payload, or a revisit with the HTTP header alone; that header has the payload's length. A page
+    without an id is named by the record's place instead."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if kind == "response" else http
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {date}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{f':{place}' if page_id is None else page_id}>", f"WARC-Date: {date}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     if kind == "revisit":
@@ -90,7 +91,8 @@ def parse(data: bytes) -> dict:
 def _number(uri: str) -> int | None:
     if not (uri.startswith("<urn:page:") and uri.endswith(">")):
         raise ValueError(f"unknown record id {uri[:60]}")
-    return int(uri[10:-1]) if uri[10:-1] else None
+    number = uri[10:-1].partition(":")[0]
+    return int(number) if number else None
 
 
 def records(data: bytes) -> Iterator[tuple[int, dict | None, str | None]]:
@@ -187,7 +189,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, date: str = "2024-01-01
                     if dictionary:
                         packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
                         n += out.write(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
-                frame = how.compress(record(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), r["sha1"], r["record_type"], r["refers_to"], date))
+                frame = how.compress(record(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), r["sha1"], r["record_type"], r["refers_to"], date, f"{t.partitionId()}-{len(done)}-{count}"))
                 out.write(frame)
                 n, count = n + len(frame), count + 1
                 if n >= archive_bytes:
@@ -251,8 +253,8 @@ def archived(pages: DataFrame, folder: str | None = None, least: int = 0) -> Dat
     """Writes the pages (page_id, url, html) to archives, reads them back and returns page_id, payload_bytes,
     payload_digest (bare base 32 SHA-1), record_type and refers_to of each record.
 
-    A null html is an empty payload; a null url leaves its header out, line breaks in one are percent-encoded; null ids are written as an empty number and read
-    as null; repeated rows are repeated records with equal record ids; other columns are ignored; an empty table writes no archive. The archives
+    A null html is an empty payload; a null url leaves its header out, line breaks in one are percent-encoded; null ids are written as the record's place and
+    read as null; repeated rows are repeated records with equal record ids; other columns are ignored; an empty table writes no archive. The archives
     stay in the folder, by default a new one beside the checkpoints; the result reads them whenever it is computed.
     Archives that are lost or cut off, and records that are, end the query with an error."""
     spark = pages.sparkSession

@@ -457,6 +457,18 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha1": F.lit("x"), "error": F.lit(1), "HTML ": F.lit("y")})
 
 
+def frames(data):
+    """The frames of an archive behind its dictionary, decoded."""
+    dictionary = None
+    if data[:4] == (0x184D2A5D).to_bytes(4, "little"):
+        size = int.from_bytes(data[4:8], "little")
+        dictionary, data = zstandard.ZstdCompressionDict(zstandard.ZstdDecompressor().decompressobj().decompress(data[8 : 8 + size])), data[8 + size :]
+    while data:
+        d = (zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()).decompressobj()
+        yield d.decompress(data)
+        data = d.unused_data
+
+
 @pytest.mark.parametrize(("least", "broadcast"), [(0, 0), (0, 100), (5, 100)])
 def test_archives(spark, tmp_path, monkeypatch, least, broadcast):
     monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
@@ -470,6 +482,8 @@ def test_archives(spark, tmp_path, monkeypatch, least, broadcast):
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
     texts = {bytes(r["payload"]).decode() for r in warc.read(spark, f"file://{tmp_path}/w").where("record_type = 'response'").collect()}
     assert texts == {h or "" for _, _, h in PAGES}
+    names = [n for f in (tmp_path / "w").glob("*.zst") for n in re.findall(rb"WARC-Record-ID: (\S+)", b"".join(frames(f.read_bytes())))]
+    assert len(names) == len(PAGES) and len(set(names)) == len(PAGES) - 1
     assert warc.archived(pages(spark, [])).count() == 0
 
 
