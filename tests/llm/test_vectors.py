@@ -86,6 +86,21 @@ def test_no_rows(spark):
     assert ann_bits.nearest(one, one).count() == 0 and exact_topk.top_k(one, one).count() == 0
 
 
+def test_odd_rows_equal_the_sql(spark, tmp_path):
+    """Also rows that share an id."""
+    import duckdb
+
+    from simlane.llm import queries
+
+    rows = [(i, [float(i % 7), -0.5 * i, 1.25]) for i in range(0, 400, 20)] + [(100, [9.0, 9.0, 9.0]), (120, [0.0, 0.0, -9.0]), *[r for r in ODD if len(r[1] or []) != 2], (300, [1.0, 2.0])]
+    table(spark, rows).select("vec_id", "embedding").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.sql(queries.ORACLES["op5_pivot_distance"]).fetchall()
+    got = queries.QUERIES["op5_pivot_distance"](spark, str(tmp_path)).collect()
+    assert len(want) >= 30 and sorted(map(tuple, got)) == sorted(want)
+
+
 def test_equal_vectors_go_by_id(spark):
     e = table(spark, [(i, [1.0, 1.0]) for i in range(100)])
     for f in (ann_bits.nearest, exact_topk.top_k):
