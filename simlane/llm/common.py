@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,28 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Gives back to the system what this process has freed: workers outlive their tasks, and the next stage needs the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps its own counsel
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a task's function from batches to batches, with release() at its end."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows that labels are never learned from: crc32 of the id as text, modulo 3, is 1. Null ids: false."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from simlane.llm.common import held_out, pick, staged
+from simlane.llm.common import frugal, held_out, pick, staged
 
 #: Bounds of the training sample: documents of each language by hash, and windows of all languages together, each language
 #: having its equal part of them (WINDOWS_EACH at least).
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, seed: int = 42, sample_docs: int = SAMPLE_DOCS, sample_
 
     each = max(WINDOWS_EACH, sample_windows // n_langs)
     first = Window.partitionBy("lang").orderBy("key", "window")
-    rows = texts.mapInArrow(cut, "lang string, key long, window binary").withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("lang", "key", "window").collect()
+    rows = texts.mapInArrow(frugal(cut), "lang string, key long, window binary").withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("lang", "key", "window").collect()
     pairs = sorted((r["lang"], r["key"], bytes(r["window"])) for r in rows)
     return train([p[2] for p in pairs], [p[0] for p in pairs], seed=seed)
 
@@ -246,5 +246,5 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
             ], names=["doc_id", "lang_pred", "score", "n_bytes", "share"])
 
     d = pick(docs, "doc_id", "text")
-    out = d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, n_bytes long, share double")
+    out = d.mapInArrow(frugal(run), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, n_bytes long, share double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_bytes", "share")

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import pick, slices
+from simlane.llm.common import frugal, pick, release, slices
 
 ORDER, ALPHA = 3, 0.4
 #: Tokens of a chunk and n-grams of a part of the hash's range, least and most; a task holds about 100 bytes a token of a
@@ -160,7 +160,7 @@ def paged(docs: DataFrame, chunks: int, asks: bool) -> DataFrame:
                     yield page(b.slice(lo, hi - lo))
                     seq += 1
 
-    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, page binary")
+    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(run), "chunk long, page binary")
 
 
 def _opened(pages: pa.Table) -> Iterator[pa.Table]:
@@ -188,6 +188,8 @@ def exploded(pages: DataFrame, order: int, bits: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         _, grams = ngrams(_texts(t), order)
         hashes, counts = distinct(grams)
+        del grams
+        release()
         part = (hashes >> np.int64(64 - bits)) + (1 << (bits - 1))
         cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(hashes)]
         ends = list(zip(cuts[:-1], cuts[1:], strict=True))
@@ -260,6 +262,8 @@ def scores(docs: DataFrame, reference: DataFrame | None = None, order: int = ORD
         n = len(ids)
         total = backoff(doc, grams, counts, n, alpha, own)
         words = np.bincount(doc, minlength=n).astype(np.int64)
+        del doc, grams, counts
+        release()
         mean = pa.array(total / np.maximum(1, words), mask=words == 0)
         return pa.table({"doc_id": ids, "n_words": pa.array(words), "log_score": pa.array(total), "score": mean})
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simlane.llm import simhash
-from simlane.llm.common import pick, staged
+from simlane.llm.common import frugal, pick, staged
 from simlane.llm.components import components
 from simlane.llm.lm_score import ngrams
 
@@ -26,6 +26,8 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 30, 5
 WORDS, RADIUS = 4, 96
 #: Texts hashed together, and shingles whose minima are taken at once.
 TEXTS, SHINGLES = 64, 4096
+#: Sets up to which the table of their names (two numbers each) is broadcast: 16 MB.
+BROADCAST_SETS = 1_000_000
 #: Sets that a task compares at once, twice as many at most for a pair of parts.
 PART_ROWS = 256
 _r = np.random.default_rng(42)
@@ -88,19 +90,24 @@ def sketches(docs: DataFrame) -> DataFrame:
             wide = pa.array([fingerprint(s) for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(fps), keys, wide], names=["doc_id", "fp", "keys", "wide"])
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long, keys array<long>, wide binary")
+    return pick(docs, "doc_id", "text").mapInArrow(frugal(run), "doc_id long, fp long, keys array<long>, wide binary")
 
 
-def sets_of(docs: DataFrame, fps: DataFrame) -> DataFrame:
-    """fp and the whole shingle set, once for each of the given fps."""
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """fp and the whole shingle set, once for each of wanted (fp, first_id), from the rows of that id. Up to
+    BROADCAST_SETS of them are broadcast, so that sets that nobody asks for aren't shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = shingle_sets(b["text"].to_pylist())
             found = np.fromiter(map(set_hash, sets), np.uint64, len(sets)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([s.tobytes() for s in sets], pa.binary())], names=["fp", "shingles"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(found), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "fp", "shingles"])
 
-    return pick(docs, "text").mapInArrow(run, "fp long, shingles binary").join(fps, "fp", "left_semi").dropDuplicates(["fp"])
+    every = pick(docs, "doc_id", "text").mapInArrow(frugal(run), "doc_id long, fp long, shingles binary")
+    wanted = wanted.select(F.col("fp").alias("wanted"), "first_id")
+    wanted = F.broadcast(wanted) if wanted.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS else wanted
+    own = (F.col("fp") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    return every.join(wanted, own, "left_semi").select("fp", "shingles").dropDuplicates(["fp"])
 
 
 def local_links(fps: np.ndarray, wide: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,15 +131,16 @@ def local_links(fps: np.ndarray, wide: np.ndarray, sets: list[np.ndarray]) -> tu
 
 
 def links(docs: DataFrame, distinct: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """(a, b) links among distinct sets (fp, keys, wide) that connect all pairs of a common band and of the similarity.
+    """(a, b) links among distinct sets (fp, first_id, keys, wide) that connect all pairs of a common band and of the similarity.
     What chains of bands reach is compared in one task or, over part_rows sets, in one for each pair of parts."""
     every = distinct.select("fp", F.explode("keys").alias("key"))
     first = every.groupBy("key").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
     cloud = staged(components(every.join(first, "key").select(F.col("fp").alias("a"), "b")).select(F.col("node").alias("fp"), F.col("root").alias("cloud")))
+    named = staged(cloud.join(distinct.select("fp", "first_id", "wide"), "fp"))
     cut = F.ceil(F.count("*") / part_rows).cast("int").alias("cut")
     mine = F.pmod(F.xxhash64("fp"), F.col("cut")).cast("int")
     dealt = (
-        cloud.join(cloud.groupBy("cloud").agg(cut), "cloud").join(distinct.select("fp", "wide"), "fp").join(sets_of(docs, cloud.select("fp")), "fp")
+        named.join(cloud.groupBy("cloud").agg(cut), "cloud").join(sets_of(docs, named.select("fp", "first_id")), "fp")
         .select("fp", "wide", "shingles", "cloud", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
         .select("fp", "wide", "shingles", "cloud", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     )

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import held_out, pick, slices, staged
+from simlane.llm.common import frugal, held_out, pick, slices, staged
 
 #: Hashed features: one- and two-grams of words, and after them one- to three-grams of word shapes.
 WORD_BITS, SHAPE_BITS = 18, 14
@@ -20,7 +20,7 @@ FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 #: Labelled documents that the model is fitted on at most, chosen by hash of their id, and their distinct features together.
 SAMPLE_ROWS, SAMPLE_FEATURES = 6000, 30_000_000
 #: Tokens handled at once, words remembered, and the longest that are.
-CHUNK_TOKENS, KNOWN_WORDS, KNOWN_CHARS = 400_000, 1_000_000, 64
+CHUNK_TOKENS, KNOWN_WORDS, KNOWN_CHARS = 100_000, 100_000, 64
 #: Characters of a text above which it is handled in slices.
 LONG_CHARS = 2_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, samp
             sizes = pa.array([len(x) // 4 for x in found], pa.int64())
             yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["label"], sizes, pa.array(found, pa.binary())], names=["doc_id", "label", "n", "features"])
 
-    made = staged(texts.mapInArrow(run, "doc_id long, label int, n long, features binary"))
+    made = staged(texts.mapInArrow(frugal(run), "doc_id long, label int, n long, features binary"))
     rows = sorted(((xxhash.xxh32_intdigest(str(r["doc_id"])), r["doc_id"], r["n"]) for r in made.select("doc_id", "n").collect()))
     fits = np.cumsum([r[2] for r in rows]) <= sample_features
     if not fits.all():
@@ -257,7 +257,7 @@ def scored(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
             scores = pa.array(np.concatenate(parts) if parts else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*[b[c] for c in columns], scores], names=[*columns, "quality_score"])
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(frugal(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

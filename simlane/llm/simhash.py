@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simlane.llm.common import pick, slices, staged
+from simlane.llm.common import frugal, pick, slices, staged
 from simlane.llm.components import components
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in b["text"]), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return pick(docs, "doc_id", "text").mapInArrow(frugal(run), "doc_id long, fp long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -197,7 +197,7 @@ def linked(fps: DataFrame, radius: int = RADIUS, parts: int | None = None, bucke
         if kept:
             yield out(np.concatenate(kept))
 
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(frugal(compare), "a long, b long")
 
 
 def groups(fps: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -247,7 +247,7 @@ def least_rows(docs: DataFrame, fps: DataFrame, grouped: DataFrame, fingerprint:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], names=[*b.schema.names, "fp"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    own = docs.mapInArrow(marked, f"{kinds}, fp long")
+    own = docs.mapInArrow(frugal(marked), f"{kinds}, fp long")
     keep = found.distinct().withColumnRenamed("doc_id", "kept_id").withColumnRenamed("fp", "kept_fp")
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
     least = own.join(keep, same).groupBy("root").agg(F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("r"))

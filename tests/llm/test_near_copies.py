@@ -45,9 +45,10 @@ def test_stage_by_brute_force(spark, small):
     assert sorted(r["doc_id"] for r in got) == least_ids([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("part", [near_copies.PART_ROWS, 7])
-def test_changed_words(spark, monkeypatch, part):
+@pytest.mark.parametrize(("part", "broadcast"), [(near_copies.PART_ROWS, 10), (7, 10), (7, near_copies.BROADCAST_SETS)])
+def test_changed_words(spark, monkeypatch, part, broadcast):
     """Copies with a few changed words, also where a group is cut into parts; less alike ones stay."""
+    monkeypatch.setattr(near_copies, "BROADCAST_SETS", broadcast)
     monkeypatch.setattr(near_copies.links, "__defaults__", (part,))
     r = random.Random(3)
     bases = [[f"w{r.randrange(500)}" for _ in range(200)] for _ in range(4)]
