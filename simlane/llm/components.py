@@ -13,16 +13,18 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node links to the least of the node and its neighbours."""
+    """Every larger neighbour of a node links to the least of the node and its neighbours. The minima are written, so that
+    both sides of the join have an exchange of their own and the centre of a large star can be split over tasks."""
     both = _both(edges)
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours link to the least of them."""
+    edges = staged(edges)
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
