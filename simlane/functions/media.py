@@ -98,16 +98,26 @@ def frame_features(frames: DataFrame, crop_rows: tuple[int, int] | None = None)
     return frames.mapInPandas(run, f"vid {frames.schema['vid'].dataType.simpleString()}, pos int, hash string, feature array<double>")
 
 
-def decoded(files: DataFrame, decode: Callable[[bytes], Iterator[np.ndarray]]) -> DataFrame:
-    """(path, content) -> (vid, pos, raw, h, w, c), with a decoder that yields a video's frames in order."""
+def decoded(files: DataFrame, decode: Callable[[bytes], Iterator[np.ndarray]], batch_bytes: int = 8 << 20) -> DataFrame:
+    """(path, content) -> (vid, pos, raw, h, w, c), with a decoder that yields a video's frames in order; frames travel in
+    batches of about batch_bytes, so that a task holds those and one file."""
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        names = ["vid", "pos", "raw", "h", "w", "c"]
+        rows, size = [], 0
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
                 for i, f in enumerate(decode(content)):
-                    yield pd.DataFrame({"vid": [path], "pos": [i], "raw": [np.ascontiguousarray(f, np.uint8).tobytes()], "h": [f.shape[0]], "w": [f.shape[1]], "c": [f.shape[2] if f.ndim > 2 else 1]})
+                    raw = np.ascontiguousarray(f, np.uint8).tobytes()
+                    rows.append((path, i, raw, f.shape[0], f.shape[1], f.shape[2] if f.ndim > 2 else 1))
+                    size += len(raw)
+                    if size >= batch_bytes:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     return files.select("path", "content").mapInPandas(run, "vid string, pos int, raw binary, h int, w int, c int")
 

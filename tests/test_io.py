@@ -208,6 +208,8 @@ def test_media(spark):
     d = spark.createDataFrame([("v", bytearray(image.tobytes()))], "path string, content binary")
     frames = media.decoded(d, lambda raw: iter([np.frombuffer(raw, np.uint8).reshape(64, 48, 3)] * 2))
     assert media.frame_features(frames).count() == 2
+    many = media.decoded(d, lambda raw: iter([np.full((4, 4, 3), i, np.uint8) for i in range(25)]), batch_bytes=100)
+    assert [(r["pos"], bytes(r["raw"])) for r in many.orderBy("pos").collect()] == [(i, bytes([i]) * 48) for i in range(25)]
     assert media.scored(frames, lambda: lambda x: np.tile([0.25, 0.75], (len(x), 1))).first()["p"] == [0.25, 0.75]
 
 
