@@ -217,15 +217,36 @@ def drained_requests(spark, sf_dir):
     return spark.read.schema("vid string, title string").json(f"{path}/out").select("vid", "title")
 
 
-@query("frame_features")
-def frame_features(spark, sf_dir):
-    """Hash and colour histogram of a small picture made of each vector."""
-    byte = F.transform("embedding", lambda x: F.hex(F.pmod(F.floor(x.cast("double") * 1000), F.lit(256))))
-    grey = F.unhex(F.array_join(F.transform(byte, lambda h: F.lpad(h, 2, "0")), ""))
+def pictures(spark, sf_dir):
+    """A grey picture of one line made of each vector, its bytes three times."""
+    byte = F.transform("embedding", lambda x: F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 1000), F.lit(256))), 2, "0"))
     e = table(spark, sf_dir, "embeddings").where(F.size("embedding") > 0)
-    pictures = e.select(F.col("vec_id").alias("vid"), F.lit(0).alias("pos"), grey.alias("raw"), F.lit(1).alias("h"), F.size("embedding").alias("w"), F.lit(1).alias("c"))
-    wide = pictures.select("vid", "pos", F.concat("raw", "raw", "raw").alias("raw"), "h", "w", F.lit(3).alias("c"))
-    return media.frame_features(wide).select("vid", "hash", F.array_join(F.transform("feature", lambda x: x.cast("int").cast("string")), ",").alias("feature"))
+    raw = F.unhex(F.array_join(F.flatten(F.transform(byte, lambda h: F.array(h, h, h))), ""))
+    return e.select(F.col("vec_id").alias("vid"), F.lit(0).alias("pos"), raw.alias("raw"), F.lit(1).alias("h"), F.size("embedding").alias("w"), F.lit(3).alias("c"))
+
+
+@query("frame_hashes")
+def frame_hashes(spark, sf_dir):
+    """Perceptual hashes of pictures."""
+    return media.frame_features(pictures(spark, sf_dir)).select("vid", "hash")
+
+
+@query("frame_histograms", """WITH b AS (SELECT vec_id AS vid, len(embedding) AS n, len(list_filter(embedding, lambda x: ((CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT) % 256) + 256) % 256 < 178.5)) AS dark FROM embeddings WHERE len(embedding) > 0)
+SELECT vid, n || ',0,0,0,0,0,0,' || n || ',0,' || dark || ',' || (n - dark) AS feature FROM b""")
+def frame_histograms(spark, sf_dir):
+    """Colour histograms of pictures: grey ones have no hue and no saturation."""
+    return media.frame_features(pictures(spark, sf_dir)).select("vid", F.array_join(F.transform("feature", lambda x: x.cast("int").cast("string")), ",").alias("feature"))
+
+
+@query("dumped_frames", "SELECT n_nationkey || '/7.raw' AS name, n_name AS content FROM nation")
+def dumped_frames(spark, sf_dir):
+    """Frames written one a file, read back."""
+    n, path = table(spark, sf_dir, "nation"), folder(spark, "dump")
+    path = path if ":" in path.split("/")[0] else f"file://{path}"
+    shaped = n.select(F.col("n_nationkey").cast("string").alias("vid"), F.lit(7).alias("second"), F.col("n_name").cast("binary").alias("raw"), F.lit(1).alias("h"), F.length("n_name").alias("w"), F.lit(1).alias("c"))
+    sinks.dump_frames(shaped, path, lambda raw, h, w, c: raw, "raw").write.format("noop").mode("overwrite").save()
+    files_ = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files_.select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("name"), F.col("content").cast("string").alias("content"))
 
 
 @query("dumped_scores", "SELECT CAST(user_id AS VARCHAR) AS video, count(*) AS n FROM events GROUP BY 1")
