@@ -47,7 +47,9 @@ def recommend(docs: DataFrame, videos: DataFrame, metric: str = "cosine", thresh
     (cosine >= 0.6, or distance <= 3.0), ties by id. Returns doc, video, score, rank. same: an id may match itself.
 
     Vectors travel with the tags, once a tag, and pairs are scored where they meet; what passes is a few columns, from
-    which pairs that share several tags are dropped before they are ranked. A hot tag's side is split by AQE."""
+    which pairs that share several tags are dropped before they are ranked. Pairs outnumber docs by far, so docs are
+    spread over all tasks first, also those of one tag where videos are few enough to be broadcast; where both sides
+    are large a hot tag's side is split by AQE."""
     if threshold is None:
         threshold = 0.6 if metric == "cosine" else 3.0
     # norms are taken once a vector, not once a pair
@@ -56,7 +58,8 @@ def recommend(docs: DataFrame, videos: DataFrame, metric: str = "cosine", thresh
     score = F.when(norms == 0, F.lit(0.0)).otherwise(dot(F.col("qv"), F.col("cv")) / norms) if metric == "cosine" else euclidean(F.col("qv"), F.col("cv"))
     q = docs.select(F.col("id").alias("q"), F.col("vec").alias("qv"), F.col("norm").alias("qn"), F.explode(F.array_distinct("tags")).alias("tag"))
     c = videos.select(F.col("id").alias("c"), F.col("vec").alias("cv"), F.col("norm").alias("cn"), F.explode(F.array_distinct("tags")).alias("tag"))
-    met = q.join(c.where(F.octet_length("tag") > 3), "tag")
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = q.repartition(spread, "q").join(c.where(F.octet_length("tag") > 3), "tag")
     if not same:
         met = met.where(F.col("q") != F.col("c"))
     scored = met.select("q", "c", score.alias("s")).where(keep_score(F.col("s"), threshold, metric)).groupBy("q", "c").agg(F.max("s").alias("s"))
