@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, pii, quality, simhash, warc
+from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, periodic, pii, quality, simhash, warc
 from simlane.llm.common import pick
 
 QUERIES: dict = {}
@@ -104,3 +104,9 @@ def op10_zstd_warc(spark, sf_dir):
 
 
 ORACLES["op10_zstd_warc"] = warc.ORACLE
+
+
+@_query
+def op11_partition_runs(spark, sf_dir):
+    """Periodic runs of words in all documents, every tenth of which gets one planted."""
+    return periodic.periodic_runs(_read(spark, sf_dir, "documents"), plant=True)
