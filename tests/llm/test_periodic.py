@@ -3,7 +3,6 @@
 import hashlib
 import random
 import zlib
-from pathlib import Path
 
 import pytest
 
@@ -80,7 +79,7 @@ def test_batches_of_any_size_give_the_same_rows(spark):
 
 
 def test_edges(spark):
-    planted = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    planted = next(i for i in range(100, 1000) if zlib.crc32(str(i).encode()) % 10 == 0)
     long_text = "a b c " * 30000
     texts = [(1, None), (2, ""), (3, " \t\n\x0b"), (None, "x " * 30), (5, "x " * 23), (5, "x " * 23), (6, "x " * 24), (planted, "one two"), (8, long_text), (9, "x y z " * 24)]
     frame = spark.createDataFrame([(i, t, "t", 7) for i, t in texts], "doc_id long, text string, Text string, n_runs int")
@@ -102,4 +101,3 @@ def test_edges(spark):
     assert tuple(by[8])[1:5] == (1, 0, 90000, 3)
     assert by[9]["length"] == 24
     assert not periodic.periodic_runs(frame.where("false")).collect()
-    assert Path(periodic.__file__).exists()
