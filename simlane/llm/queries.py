@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, periodic, pii, quality, simhash, warc
+from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, periodic, pii, quality, simhash, vector_codes, warc
 from simlane.llm.common import pick
 
 QUERIES: dict = {}
@@ -110,3 +110,12 @@ ORACLES["op10_zstd_warc"] = warc.ORACLE
 def op11_partition_runs(spark, sf_dir):
     """Periodic runs of words in all documents, every tenth of which gets one planted."""
     return periodic.periodic_runs(_read(spark, sf_dir, "documents"), plant=True)
+
+
+@_query
+def op13_exponion_codes(spark, sf_dir):
+    """Product codes of all vectors: 8 parts, 16 entries, 6 rounds."""
+    return vector_codes.compressed(_read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_exponion_codes"] = vector_codes.oracle_sql()
