@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from simlane.llm import ann_bits, exact_topk, langid, lm_score, mixing, packing, periodic, pii, quality, simhash, vector_codes, warc
+from simlane.llm import ann_bits, divergence, exact_topk, langid, lm_score, mixing, packing, periodic, pii, quality, simhash, vector_codes, warc
 from simlane.llm.common import pick
 
 QUERIES: dict = {}
@@ -112,6 +112,15 @@ def op11_partition_runs(spark, sf_dir):
     return periodic.periodic_runs(_read(spark, sf_dir, "documents"), plant=True)
 
 
+@_query
+def op12_divergence(spark, sf_dir):
+    """Quality rules on all documents."""
+    return divergence.judged(_read(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_divergence"] = divergence.oracle_sql()
+
+
 @_query
 def op13_exponion_codes(spark, sf_dir):
     """Product codes of all vectors: 8 parts, 16 entries, 6 rounds."""
