@@ -11,6 +11,7 @@ which tasks send partial ones. Only the references meet the documents."""
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,16 +48,28 @@ def counted(docs: DataFrame) -> DataFrame:
     return base.withColumn("chars", F.concat("chars", F.array(others)))
 
 
-def repeated(df: DataFrame) -> DataFrame:
-    """With n_repeat_words: words in windows of three that occur twice or more in w. Windows are sorted by their hash (64
-    bits); equal neighbours give the places, of which each adds the words that the place before it didn't cover."""
-    n = F.size("w") - 2
-    windows = F.transform("w", lambda x, i: F.struct(F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("p")))
-    df = df.withColumn("s", F.sort_array(F.slice(windows, 1, F.greatest(n, F.lit(0)))))
-    twice = F.filter("s", lambda x, i: F.coalesce(x["h"] == F.get("s", i - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get("s", i + 1)["h"], F.lit(False)))
-    df = df.withColumn("at", F.sort_array(F.transform(twice, lambda x: x["p"])))
-    gaps = F.zip_with("at", F.slice("at", 2, F.greatest(F.size("at") - 1, F.lit(0))), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
-    return df.withColumn("n_repeat_words", F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)).drop("s", "at")
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is made once, wherever Spark moves the expression and however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def repeat_words(words: Column) -> Column:
+    """Words in windows of three that occur twice or more. Windows are sorted by their hash (64 bits); equal neighbours give the
+    places, of which each adds the words that the place behind it doesn't cover."""
+
+    def windows(w: Column) -> Column:
+        hashed = F.transform(w, lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p")))
+        return F.sort_array(F.slice(hashed, 1, F.greatest(F.size(w) - 2, F.lit(0))))
+
+    def places(s: Column) -> Column:
+        same = lambda x, i: F.coalesce(x["h"] == F.get(s, i)["h"], F.lit(False))
+        return F.sort_array(F.transform(F.filter(s, lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["p"]))
+
+    def covered(at: Column) -> Column:
+        gaps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
+        return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    return let(words, lambda w: let(windows(w), lambda s: let(places(s), covered)))
 
 
 def references(counts: DataFrame) -> DataFrame:
@@ -92,7 +105,7 @@ def common_counts(words: Column, common: Column) -> Column:
 
     left = F.aggregate(common, start, take, lambda s: F.concat(s["sizes"], F.array(F.size(s["rest"]))))
     sizes = lambda a: F.zip_with(a, F.slice(a, 2, F.size(a)), lambda x, y: x - F.coalesce(y, F.lit(0)))
-    return F.transform(F.array(left), sizes)[0]
+    return let(left, sizes)
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -112,7 +125,7 @@ def judged(documents: DataFrame, far_words: float = FAR_WORDS, far_chars: float
     counts = counted(documents)
     refs = staged(references(counts))
     refs = F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs
-    met = repeated(counts).join(refs, F.col("lang").eqNullSafe(F.col("of")), "left")
+    met = counts.withColumn("n_repeat_words", repeat_words(F.col("w"))).join(refs, F.col("lang").eqNullSafe(F.col("of")), "left")
     ratio = lambda a, n: F.transform(a, lambda x: x.cast("double") / n)
     met = met.withColumn("char_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance(ratio("chars", F.col("word_chars")), F.col("ref_chars"))))
     met = met.withColumn("counts", F.when((F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull(), common_counts(F.col("w"), F.col("common"))))
