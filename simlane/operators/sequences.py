@@ -4,6 +4,9 @@ Sequences are rows (vid, pos, hash); pos counts from 0."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,17 +117,110 @@ def bag_matches(queries: DataFrame, items: DataFrame) -> DataFrame:
     return bags(queries, items).drop("covered")
 
 
+def bag(occurrences: DataFrame) -> DataFrame:
+    """(vid, hash, m, n): how often a sequence has a hash, and its length. Sequences are brought together once for both."""
+    counts = occurrences.select("vid", "hash").repartition("vid").groupBy("vid", "hash").agg(F.count("*").alias("m"))
+    return counts.withColumn("n", F.sum("m").over(Window.partitionBy("vid")))
+
+
+def pair_counts(pairs: DataFrame, queries: DataFrame, items: DataFrame) -> DataFrame:
+    """(q, c) pairs to (q, c, nq, nc, matches, covered), the last two as bags() has them, from two bags; made for these pairs only: rows
+    grow with the pairs and the different hashes of their queries, however common a hash is. Pairs without a common hash go."""
+    q = queries.select(F.col("vid").alias("q"), "hash", F.col("m").alias("_q"), F.col("n").alias("nq"))
+    c = items.select(F.col("vid").alias("c"), "hash", F.col("m").alias("_c"), F.col("n").alias("nc"))
+    met = pairs.select("q", "c").join(q, "q").join(c, ["c", "hash"])
+    return met.groupBy("q", "c", "nq", "nc").agg(F.sum(F.col("_q") * F.col("_c")).alias("matches"), F.sum("_q").alias("covered"))
+
+
+#: Cells of a pair's equality matrix, for each place of both sequences, up to which runs are found from the cells.
+CELLS = 8
+
+
+def longest_prefixes(a: list, b: list) -> list[int]:
+    """For each place of a the length of the longest run from there on that occurs in b: a suffix automaton of b backwards,
+    gone through with a backwards, in time that grows with both lengths."""
+    step, link, size = [{}], [-1], [0]
+    last = 0
+    for x in reversed(b):
+        new = len(step)
+        step.append({})
+        size.append(size[last] + 1)
+        link.append(0)
+        p = last
+        while p >= 0 and x not in step[p]:
+            step[p][x] = new
+            p = link[p]
+        if p >= 0:
+            to = step[p][x]
+            if size[to] == size[p] + 1:
+                link[new] = to
+            else:
+                split = len(step)
+                step.append(dict(step[to]))
+                size.append(size[p] + 1)
+                link.append(link[to])
+                while p >= 0 and step[p].get(x) == to:
+                    step[p][x] = split
+                    p = link[p]
+                link[to] = link[new] = split
+        last = new
+    out, at, n = [0] * len(a), 0, 0
+    for i in range(len(a) - 1, -1, -1):
+        x = a[i]
+        while at and x not in step[at]:
+            at = link[at]
+            n = size[at]
+        if x in step[at]:
+            at, n = step[at][x], n + 1
+        else:
+            n = 0
+        out[i] = n
+    return out
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(q, c, a, b) to (q, c, repeated, period) by the walk of run_matches."""
+    for batch in batches:
+        rep, per = [], []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            runs = longest_prefixes(a, b)
+            at = repeated = period = 0
+            while at < len(a):
+                repeated, period, at = repeated + runs[at], period + (runs[at] > 0), at + runs[at] + 1
+            rep.append(repeated)
+            per.append(period)
+        yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("c"), pa.array(rep, pa.int64()), pa.array(per, pa.int64())], names=["q", "c", "repeated", "period"])
+
+
 def run_matches(queries: DataFrame, items: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """(q, c, repeated, period) by greedy run matching, for the pairs (q, c) or all that share a hash.
+    """(q, c, repeated, period) by greedy run matching, for the pairs (q, c) or all that share a hash; pairs
+    that pair_counts has made are taken as they are, and best written before.
 
     L(i) is the longest run of equal hashes that starts at q's place i, anywhere in c. From place 0 on: where L > 0 it
     is added to repeated and 1 to period; the walk goes on at i + L + 1, so the place after a run is passed over, and
-    c is not used up. Runs are islands on the diagonals of the equality matrix; the walk is a fold over places. Cells of
-    the matrix are made for the pairs only: q's places are joined to its pairs and then to c's places by c and hash."""
+    c is not used up. The cells of a pair's equality matrix are as many as its matches: where these are few for the two
+    lengths (CELLS), runs are islands on its diagonals; the pairs of sequences that repeat themselves, whose cells would be
+    the product of the lengths, go through an automaton of c. Either way a pair's work grows with its lengths."""
+    if pairs is None or not {"matches", "nq", "nc"} <= set(pairs.columns):
+        some = (bags(queries, items) if pairs is None else pairs).select("q", "c").where(F.col("q") != F.col("c"))
+        pairs = checkpointed(pair_counts(some, bag(queries), bag(items)))
+    wanted = pairs.select("q", "c", (F.col("matches") <= CELLS * (F.col("nq") + F.col("nc"))).alias("few")).where(F.col("q") != F.col("c"))
+    return _by_cells(queries, items, wanted.where("few")).unionByName(_by_automaton(queries, items, wanted.where("not few")))
+
+
+def _by_automaton(queries: DataFrame, items: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A row holds the two sequences of a pair."""
+    kinds = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in ("q", "c"))
+    listed = lambda d, ids, k, to: d.join(ids.select(F.col(k).alias("vid")).distinct(), "vid", "left_semi").groupBy(F.col("vid").alias(k)).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash"))), lambda x: x["hash"]).alias(to))
+    met = wanted.select("q", "c").join(listed(queries, wanted, "q", "a"), "q").join(listed(items, wanted, "c", "b"), "c")
+    return met.select("q", "c", "a", "b").mapInArrow(_walked, f"{kinds}, repeated long, period long")
+
+
+def _by_cells(queries: DataFrame, items: DataFrame, wanted: DataFrame) -> DataFrame:
+    """q's places are joined to its pairs and then to c's places by c and hash; the walk is a fold over places."""
     places = queries.select(F.col("vid").alias("q"), F.col("pos").alias("i"), "hash")
     others = items.select(F.col("vid").alias("c"), F.col("pos").alias("j"), "hash")
-    wanted = (bags(queries, items) if pairs is None else pairs).select("q", "c").where(F.col("q") != F.col("c"))
-    cells = wanted.join(places, "q").join(others, ["c", "hash"])
+    cells = wanted.select("q", "c").join(places, "q").join(others, ["c", "hash"])
     diagonal = Window.partitionBy("q", "c", "d").orderBy("i")
     runs = cells.select("q", "c", "i", (F.col("i") - F.col("j")).alias("d")).withColumn("island", F.col("i") - F.row_number().over(diagonal))
     end = F.max("i").over(Window.partitionBy("q", "c", "d", "island"))

@@ -117,18 +117,35 @@ def detect_known(spark, sf_dir):
     return D.detect(items, items, D.V2)
 
 
-@query("self_building_v2", f"""WITH RECURSIVE {_ALL}, io AS (SELECT * FROM occ), {BAGS},
-pairs AS (SELECT q, c, matches, a.n AS nq, b.n AS nc FROM bags JOIN nn a ON a.vid = q JOIN nn b ON b.vid = c WHERE q > c AND a.n > 2 AND b.n > 2 AND b.n <= 3 * a.n AND a.n <= 3 * b.n),
+def in_order_sql(v: D.Variant, order: str = "vid") -> str:
+    """Sequences one by one: flags tells for each place of the order whether it leads; a sequence's candidates are listed by
+    matches and filtered by the flags so far."""
+    limit = f"[1:{v.cand_limit}]" if v.cand_limit else ""
+    hits = f"list_filter(list_filter(cs, lambda x: flags[x.i]){limit}, lambda x: x.ok)"
+    return f"""WITH RECURSIVE {_ALL}, io AS (SELECT * FROM occ), {BAGS},
+nums AS MATERIALIZED (SELECT vid, n, row_number() OVER (ORDER BY {order}) AS i FROM nn),
+pairs AS MATERIALIZED (SELECT q, c, matches, a.n AS nq, b.n AS nc, b.i AS ci FROM bags JOIN nums a ON a.vid = q JOIN nums b ON b.vid = c WHERE a.i > b.i AND a.n > 2 AND b.n > 2),
 {WALK},
-edges AS (SELECT q, c, matches FROM pairs JOIN done USING (q, c) WHERE repeated / nq >= 0.6),
-el AS (SELECT vid, n, row_number() OVER (ORDER BY vid) AS i, coalesce((SELECT list(c) FROM edges WHERE q = vid), []) AS cs FROM nn),
-steps AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS leaders
-  UNION ALL SELECT el.i, CASE WHEN n > 2 AND NOT list_has_any(cs, leaders) THEN list_append(leaders, vid) ELSE leaders END FROM steps JOIN el ON el.i = steps.i + 1),
-led AS (SELECT unnest(leaders) AS c FROM steps WHERE i = (SELECT count(*) FROM nn))
-SELECT nn.vid, nn.n <= 2 OR nn.vid IN (SELECT c FROM led) AS leader, (SELECT arg_min(c, -matches * 1000000000 + c) FROM edges JOIN led USING (c) WHERE q = nn.vid) AS similar_vid FROM nn""")
+cand AS (SELECT q, list({{'i': ci, 'c': c, 'rate': repeated / nq, 'ok': repeated / nq >= 0.6 AND nc <= {v.ratio} * nq AND nq <= {v.ratio} * nc}} ORDER BY matches DESC, c) AS cs FROM pairs JOIN done USING (q, c) GROUP BY q),
+el AS MATERIALIZED (SELECT vid, n, i, coalesce(cs, []) AS cs FROM nums LEFT JOIN cand ON q = vid),
+steps AS (SELECT CAST(0 AS BIGINT) AS upto, CAST([] AS BOOLEAN[]) AS flags
+  UNION ALL SELECT el.i, list_append(flags, n > 2 AND len({hits}) = 0) FROM steps JOIN el ON el.i = steps.upto + 1),
+told AS (SELECT vid, n, {hits} AS hit FROM el, (SELECT flags FROM steps WHERE upto = (SELECT count(*) FROM nn)))"""
+
+
+_LED = "SELECT vid, len(hit) = 0 AS leader, hit[1].c AS similar_vid FROM told"
+
+
+@query("self_building_v2", f"{in_order_sql(D.V2)} {_LED}")
 def self_building_v2(spark, sf_dir):
     """All documents one by one in order of id, each against those found unique before it."""
-    return D.self_building(checkpointed(sequences(spark, sf_dir)), D.V2, checkpointed)
+    return D.self_building(checkpointed(sequences(spark, sf_dir)), D.V2)
+
+
+@query("self_building_service", f"{in_order_sql(D.SERVICE)} {_LED}")
+def self_building_service(spark, sf_dir):
+    """The same with ten candidates, the best of those found unique so far."""
+    return D.self_building(checkpointed(sequences(spark, sf_dir)), D.SERVICE)
 
 
 @query("index_update", f"""WITH RECURSIVE v AS ({_detect_sql(D.V2)}), {OCC}

@@ -15,7 +15,7 @@ from simlane.operators import dedup as D
 from simlane.operators import text
 from simlane.plans.registry import query, table
 from simlane.plans.rollup_queries import _RINGS, frames
-from simlane.plans.sequence_queries import BAGS, OCC, WALK, _pairs, sequences
+from simlane.plans.sequence_queries import in_order_sql, sequences
 from simlane.session import shared_folder
 from simlane.sources import files, keyed, sinks
 from simlane.streaming import service
@@ -188,15 +188,13 @@ def paged_records(spark, sf_dir):
     return spark.read.format("paged_library").option("path", path).option("page", "1000").load()
 
 
-_STREAMED = f"""WITH RECURSIVE {OCC}, io AS (SELECT * FROM occ WHERE vid % 2 = 0 AND vid IN (SELECT vid FROM nn WHERE n > 2)), {BAGS}, {_pairs(D.V2)}, {WALK},
-hit AS (SELECT q, c FROM pairs JOIN done USING (q, c) WHERE repeated / nq >= 0.6 QUALIFY row_number() OVER (PARTITION BY q ORDER BY matches DESC, c) = 1)
-SELECT nn.vid, CASE WHEN hit.q IS NULL THEN 1 ELSE 0 END AS is_unique, hit.c AS similar_vid FROM nn LEFT JOIN hit ON hit.q = nn.vid"""
+_STREAMED = f"{in_order_sql(D.V2, 'vid % 2, vid')} SELECT vid, CASE WHEN len(hit) = 0 THEN 1 ELSE 0 END AS is_unique, hit[1].c AS similar_vid FROM told"
 
 
 @query("streamed_detection", _STREAMED)
 def streamed_detection(spark, sf_dir):
     """Documents of even id come in one micro-batch and those of odd id in the next, which meets the index that the first
-    has left."""
+    has left; within a batch one after the other."""
     occ, path = sequences(spark, sf_dir).withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")), folder(spark, "stream")
     for half in (0, 1):
         occ.where(F.col("vid") % 2 == half).coalesce(1).write.mode("append").parquet(f"{path}/in")

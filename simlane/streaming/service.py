@@ -69,7 +69,8 @@ def compact(spark: SparkSession, path: str, schema: str, batch_id: int) -> None:
 
 
 def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path: str, variant: dedup.Variant, now: Column) -> None:
-    """One micro-batch of occurrences (vid, pos, hash, ts) against the index so far; unique ones join the index. Folders
+    """One micro-batch of occurrences (vid, pos, hash, ts) in order of id, each against the index so far and the unique ones
+    before it in the batch; unique ones join the index. So results don't depend on where batches are cut. Folders
     carry the batch's number and are replaced, so a batch that runs again after a failure writes the same."""
     spark = batch.sparkSession
     batch = checkpointed(batch)
@@ -79,15 +80,18 @@ def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path:
     near = index.join(batch.select("hash").distinct(), "hash", "left_semi").select("vid").distinct()
     met = batch.select("vid").distinct().join(index.select("vid").distinct(), "vid", "left_semi") if variant.refuse_known else near
     index = index.join(near.union(met).distinct(), "vid", "left_semi")
-    verdicts = checkpointed(dedup.detect(batch, index, variant, now if variant.max_age_days is not None else None))
+    if variant.max_age_days is not None:
+        index = dedup.fresh(index, now, variant.max_age_days)
+    verdicts = checkpointed(dedup.detect_in_order(batch, index, variant))
     verdicts.write.mode("overwrite").parquet(f"{result_path}/batch={batch_id}")
-    dedup.indexable(batch, verdicts).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
+    new = batch if variant.refuse_known else batch.join(index.select("vid").distinct(), "vid", "left_anti")
+    dedup.indexable(new, verdicts).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
     if (batch_id + 1) % COMPACT == 0:
         compact(spark, index_path, kinds, batch_id)
 
 
 def detect_stream(occurrences: DataFrame, index_path: str, result_path: str, variant: dedup.Variant, checkpoint: str, now: Column | None = None) -> DataStreamWriter:
-    """Starts with .start(); batches see the index of the batches before them."""
+    """Starts with .start(); a batch sees the index of those before it."""
     at = now if now is not None else F.current_timestamp()
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -172,7 +172,7 @@ def test_self_building_equals_one_by_one(spark):
         if rnd.random() < 0.6:
             s[rnd.randrange(len(s))] = rnd.choice("abcdefghij")
         seqs[f"v{i:02}"] = "".join(s)[: rnd.choice([2, 9, 9, 9])]
-    got = {r["vid"]: (r["leader"], r["similar_vid"]) for r in D.self_building(occurrences(spark, seqs), D.V2, checkpointed).collect()}
+    got = {r["vid"]: (r["leader"], r["similar_vid"]) for r in D.self_building(occurrences(spark, seqs), D.V2).collect()}
     index = []
     for v in sorted(seqs):
         x, best = seqs[v], None
