@@ -76,17 +76,19 @@ def references(counts: DataFrame) -> DataFrame:
     """of (the language), common (its COMMON most frequent words; ties by word), words (shares of these and of the rest) and chars
     (shares of the classes), from the counted documents that are long enough. The row of the null language has the characters of all
     documents and no words. A row has a bounded size."""
-    long = F.col("n_words") >= LEAST_WORDS  # no filter, which Spark would move below the counting and count twice for
     k = len(CLASSES) + 2
-    sums = [F.sum(F.when(long, F.col("chars")[i])).alias(f"c{i}") for i in range(k)]
-    total = staged(counts.groupBy("lang").agg(F.sum(F.when(long, F.col("n_words"))).alias("n"), *sums).where("n is not null"))
+    long = F.when(F.col("n_words") >= LEAST_WORDS, F.struct("w", "n_words", "chars"))  # no filter, which Spark would move below the counting and count twice for
+    # of each document one row more, without a word, has its sums
+    rows = counts.select("lang", long.alias("d")).select("lang", "d.n_words", "d.chars", F.explode_outer(F.array_append("d.w", F.lit(None).cast("string"))).alias("word"))
+    own = lambda c: F.sum(F.when(F.col("word").isNull(), c))
+    sums = rows.groupBy("lang", "word").agg(F.count("*").alias("times"), own(F.col("n_words")).alias("n"), *[own(F.col("chars")[i]).alias(f"c{i}") for i in range(k)])
+    rank = F.row_number().over(Window.partitionBy("lang", F.col("word").isNull()).orderBy(F.col("times").desc(), "word"))  # limited in each task first
+    best = staged(sums.withColumn("rank", rank).where(F.col("rank") <= COMMON))
+    total = best.where("word is null and n is not null").select("lang", "n", *[f"c{i}" for i in range(k)])
     share = lambda parts, n: F.transform(parts, lambda x: x.cast("double") / n)
     every = sum((F.col(f"c{i}") for i in range(1, k)), F.col("c0"))
     chars = share(F.array(*[f"c{i}" for i in range(k)]), every)
-    words = counts.select("lang", F.explode_outer(F.when(long, F.col("w"))).alias("word"))
-    frequent = words.groupBy("lang", "word").agg(F.count("*").alias("times")).where("lang is not null and word is not null")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("times").desc(), "word"))  # limited in each task first
-    top = frequent.withColumn("rank", rank).where(F.col("rank") <= COMMON).groupBy(F.col("lang").alias("of")).agg(F.sort_array(F.collect_list(F.struct("rank", "word", "times"))).alias("top"))
+    top = best.where("word is not null and lang is not null").groupBy(F.col("lang").alias("of")).agg(F.sort_array(F.collect_list(F.struct("rank", "word", "times"))).alias("top"))
     named = top.join(total.where("lang is not null"), F.col("of") == F.col("lang"))
     times = F.transform("top", lambda x: x["times"])
     others = F.col("n") - F.aggregate(times, F.lit(0).cast("long"), lambda s, x: s + x)
