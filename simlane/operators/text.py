@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,16 +67,71 @@ def longest_match(words: list[str]) -> Callable[[str], list[str]]:
     return cut
 
 
+#: Scores are logarithms in millionths, whole numbers, so that ties are ties on any machine.
+SCORE = 1_000_000
+
+
+def best_words(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """texts (id, text) to (id, words): the segmentation of greatest probability, the product of the words' shares of
+    the dictionary's weights (word, weight; a missing weight counts 1).
+
+    White space separates. In between, the words from a place on are those of the dictionary, and a run of ASCII letters and digits to its
+    end, else one character, with a weight of 1. The word graph is a join of substrings, no longer than the longest word, with the
+    dictionary; the best way from each place to the end is a fold from the last place on, of ways as good that with the longer
+    word first. A null text has null words; ids are those of one row each. A task holds the graph of a stretch without white
+    space."""
+    weights = dictionary.select("word", F.greatest(F.coalesce("weight", F.lit(1)), F.lit(1)).cast("long").alias("weight")).where("length(word) > 0").groupBy("word").agg(F.max("weight").alias("weight"))
+    total, longest = weights.agg(F.sum("weight"), F.max(F.length("word"))).first()
+    total, longest = max(1, total or 1), longest or 1
+    score = lambda w: F.round(F.log(w / F.lit(float(total))) * SCORE).cast("long")
+    stretches = texts.select("id", F.posexplode(F.split("text", r"\s+")).alias("part", "s")).where("s <> ''")
+    place = stretches.select("id", "part", "s", F.explode(F.sequence(F.lit(1), F.length("s"))).alias("i"))
+    window = place.select("id", "part", "i", F.expr(f"substring(s, i, {int(longest)})").alias("window"))
+    found = window.select("id", "part", "i", "window", F.explode(F.sequence(F.lit(1), F.length("window"))).alias("len")).select("id", "part", "i", F.expr("substring(window, 1, len)").alias("word"))
+    known = found.join(weights, "word").select("id", "part", "i", F.length("word").alias("len"), score(F.col("weight").cast("double")).alias("score"), "word")
+    # where units begin: the lengths before them
+    units = stretches.select("id", "part", F.regexp_extract_all("s", F.lit("(?s)([A-Za-z0-9]+|.)"), 1).alias("u"))
+    begins = F.aggregate("u", F.array(F.lit(1)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
+    units = units.select("id", "part", F.explode(F.arrays_zip("u", begins.alias("at"))).alias("z")).where("z.u is not null")
+    single = units.select("id", "part", F.col("z.u").alias("u"), F.col("z.at").alias("at"), F.explode(F.sequence(F.lit(0), F.length("z.u") - 1)).alias("j"))
+    single = single.select("id", "part", (F.col("at") + F.col("j")).alias("i"), F.expr("substring(u, j + 1)").alias("word"))
+    single = single.select("id", "part", "i", F.length("word").alias("len"), score(F.lit(1.0)).alias("score"), "word")
+    edges = known.unionByName(single).groupBy("id", "part", "i").agg(F.collect_list(F.struct("score", "len", "word")).alias("edges"))
+    graph = edges.groupBy("id", "part").agg(F.sort_array(F.collect_list(F.struct("i", "edges")), False).alias("g"))
+    kind = "struct<ahead:array<bigint>,ways:array<struct<score:bigint,len:int,word:string>>>"
+
+    def back(s: Column, x: Column, reach: Column) -> Column:
+        # ahead: scores of the ways from the next places to the end, nearest first
+        on = F.array_max(F.transform(x["edges"], lambda e: F.struct((e["score"] + F.coalesce(F.get(s["ahead"], e["len"] - 1), F.lit(0))).alias("score"), e["len"].alias("len"), e["word"].alias("word"))))
+        both = F.transform(F.array(on), lambda b: F.struct(F.slice(F.concat(F.array(b["score"]), s["ahead"]), 1, reach).alias("ahead"), F.concat(s["ways"], F.array(b)).alias("ways")))
+        return F.get(both, F.lit(0))
+
+    # a unit may be longer than any word; an array of one stands for a name, so that its value is made once
+    reach = F.greatest(F.lit(int(longest)), F.array_max(F.transform("g", lambda x: F.array_max(F.transform(x["edges"], lambda e: e["len"])))))
+    start = F.struct(F.array().alias("ahead"), F.array().alias("ways")).cast(kind)
+    ways = F.get(F.transform(F.array(reach), lambda r: F.aggregate("g", start, lambda s, x: back(s, x, r), lambda s: F.reverse(s["ways"]))), F.lit(0))
+    walk = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<string>").alias("words"))
+
+    def forth(s: Column, w: Column) -> Column:
+        here = s["at"] == s["i"]
+        return F.struct(F.when(here, s["at"] + w["len"]).otherwise(s["at"]).alias("at"), (s["i"] + 1).alias("i"), F.when(here, F.concat(s["words"], F.array(w["word"]))).otherwise(s["words"]).alias("words"))
+
+    cut = graph.select("id", "part", ways.alias("ways")).select("id", "part", F.aggregate("ways", walk, forth, lambda s: s["words"]).alias("words"))
+    joined = cut.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("part", "words"))).alias("parts"))
+    out = texts.select("id", F.col("text").isNull().alias("none")).join(joined, "id", "left")
+    return out.select("id", F.when(~F.col("none"), F.coalesce(F.flatten(F.transform("parts", lambda p: p["words"])), F.array().cast("array<string>"))).alias("words"))
+
+
 def known_words(tokens: DataFrame, stop: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Tokens (id, word) that are no stop words (word) and have a vector (word, vec); repeats stay."""
     return tokens.join(stop.select("word"), "word", "left_anti").join(vocabulary, "word")
 
 
 def mean_vectors(tokens: DataFrame) -> DataFrame:
-    """(id, vec) -> (id, vec): the mean of the vectors of each id's tokens, by place; ids without tokens have none.
-    Places are summed before the shuffle, so an id with many tokens sends one row a place and task."""
-    places = tokens.select("id", F.posexplode("vec").alias("pos", "x")).groupBy("id", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return places.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v")).select("id", F.transform("v", lambda p: p["x"]).alias("vec"))
+    """(id, vec) -> (id, vec): the mean of the vectors of each id's tokens, by place; ids without tokens have none. Vectors
+    are summed whole, before the shuffle too: an id with many tokens sends one row a task."""
+    mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")))
+    return tokens.where("vec is not null").groupBy("id").agg(mean.alias("m")).select("id", vector_to_array("m").alias("vec"))
 
 
 def first_records(df: DataFrame, id: str, order: list[Column]) -> DataFrame:

@@ -38,6 +38,33 @@ def known_words(spark, sf_dir):
     return k.groupBy("id", "word").agg(F.count("*").alias("n"))
 
 
+_SEGMENTED = """WITH RECURSIVE voc AS MATERIALIZED (SELECT word, count(*) AS weight FROM (SELECT unnest({words}) AS word FROM benchmark) GROUP BY word),
+t AS (SELECT sum(weight) AS total, max(length(word)) AS longest FROM voc),
+parts AS (SELECT conv_id * 1000 + turn AS id, string_split_regex(replace(lower(text), ' ', ''), '\\s+') AS p FROM conversations WHERE text IS NOT NULL),
+c AS MATERIALIZED (SELECT id, part, s, length(s) AS n FROM (SELECT id, unnest(p) AS s, generate_subscripts(p, 1) AS part FROM parts) WHERE s <> ''),
+places AS (SELECT id, part, s, unnest(range(1, n + 1)) AS i FROM c),
+subs AS (SELECT id, part, i, len, substr(s, i, len) AS word FROM (SELECT id, part, s, i, unnest(range(1, least(longest, length(s) - i + 1) + 1)) AS len FROM places, t)),
+edges AS (SELECT id, part, i, len, CAST(round(ln(CAST(weight AS DOUBLE) / CAST(total AS DOUBLE)) * 1000000) AS BIGINT) AS score FROM subs JOIN voc USING (word), t
+  UNION ALL SELECT id, part, i, length(regexp_extract(substr(s, i), '^([A-Za-z0-9]+|.)', 1)), CAST(round(ln(1.0 / CAST(total AS DOUBLE)) * 1000000) AS BIGINT) FROM places, t),
+e AS MATERIALIZED (SELECT id, part, i, list({{'len': len, 'score': score}}) AS es FROM edges GROUP BY ALL),
+back AS (SELECT id, part, n + 1 AS i, CAST([0] AS BIGINT[]) AS route, CAST([] AS BIGINT[]) AS lens FROM c
+  UNION ALL SELECT id, part, i, list_prepend(b.score, route), list_prepend(b.len, lens) FROM (
+    SELECT back.id, back.part, e.i, route, lens, list_max(list_transform(es, lambda x: {{'score': x.score + route[x.len], 'len': x.len}})) AS b FROM back JOIN e ON e.id = back.id AND e.part = back.part AND e.i = back.i - 1)),
+ways AS MATERIALIZED (SELECT id, part, lens FROM back WHERE i = 1),
+forth AS (SELECT id, part, 1 AS i, CAST([] AS VARCHAR[]) AS words FROM c
+  UNION ALL SELECT f.id, f.part, f.i + w.lens[f.i], list_append(words, substr(c.s, f.i, w.lens[f.i])) FROM forth f JOIN ways w ON w.id = f.id AND w.part = f.part JOIN c ON c.id = f.id AND c.part = f.part WHERE f.i <= c.n),
+done AS (SELECT id, string_agg(list_aggregate(words, 'string_agg', ' '), ' ' ORDER BY part) AS words FROM forth JOIN c USING (id, part) WHERE forth.i = c.n + 1 GROUP BY id)
+SELECT conv_id * 1000 + turn AS id, CASE WHEN text IS NOT NULL THEN coalesce(words, '') END AS words FROM conversations LEFT JOIN done ON done.id = conv_id * 1000 + turn"""
+
+
+@query("segmented_titles", _SEGMENTED.format(words=_WORDS))
+def segmented_titles(spark, sf_dir):
+    """Texts without blanks, cut into the words of the benchmark that are most probable together."""
+    w = table(spark, sf_dir, "benchmark").select(F.explode(text.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("weight"))
+    t = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.replace(F.lower("text"), F.lit(" "), F.lit("")).alias("text"))
+    return text.best_words(t, w).select("id", F.array_join("words", " ").alias("words"))
+
+
 @query("title_vectors", f"""WITH {_TOKENS} SELECT id, round(avg(CAST(length(word) AS DOUBLE)), 6) AS v0, round(avg(CAST(ascii(word) AS DOUBLE)), 6) AS v1, round(avg(CAST(length(word) % 2 AS DOUBLE)), 6) AS v2
 FROM tok WHERE word NOT IN {_STOP} AND word IN (SELECT word FROM voc) GROUP BY id""")
 def title_vectors(spark, sf_dir):
