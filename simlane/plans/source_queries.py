@@ -18,7 +18,7 @@ from simlane.plans.rollup_queries import _RINGS, frames
 from simlane.plans.sequence_queries import in_order_sql, sequences
 from simlane.session import shared_folder
 from simlane.sources import files, keyed, sinks
-from simlane.streaming import service
+from simlane.streaming import exchange, service
 
 
 def folder(spark: SparkSession, kind: str) -> str:
@@ -215,6 +215,28 @@ def drained_requests(spark, sf_dir):
     return spark.read.schema("vid string, title string").json(f"{path}/out").select("vid", "title")
 
 
+_EXCHANGED = """WITH e AS (SELECT event_id, CAST(event_id AS VARCHAR) AS vid, date_trunc('second', ts) AS t, CASE WHEN event_id % 3 > 0 THEN event_id % 1000 - 450 END AS later FROM events)
+SELECT vid, t AS asked_at, CASE WHEN later BETWEEN -360 AND 300 THEN event_id % 2 = 0 END AS has_same_video, CASE WHEN later BETWEEN -360 AND 300 THEN 'v' || event_id END AS same_video,
+  CASE WHEN later BETWEEN -360 AND 300 THEN 0 ELSE 1 END AS err_code, CASE WHEN later BETWEEN -360 AND 300 THEN 'done' ELSE 'given up' END AS state FROM e"""
+
+
+@query("exchanged_results", _EXCHANGED)
+def exchanged_results(spark, sf_dir):
+    """Each event asks; two thirds have a result from 450 seconds before to 549 behind it. Requests and results are a stream whose state
+    gives up requests and results that have waited too long."""
+    e, path = table(spark, sf_dir, "events"), folder(spark, "exchange")
+    second, later = F.unix_timestamp("ts"), F.col("event_id") % 1000 - 450
+    vid = F.col("event_id").cast("string")
+    none = [F.lit(None).cast(k).alias(n) for n, k in (("has_same_video", "boolean"), ("same_video", "string"), ("err_code", "int"))]
+    asks = e.select(vid.alias("vid"), F.lit("ask").alias("kind"), F.timestamp_seconds(second).alias("at"), *none)
+    results = e.where("event_id % 3 > 0").select(vid.alias("vid"), F.lit("result").alias("kind"), F.timestamp_seconds(second + later).alias("at"), (F.col("event_id") % 2 == 0).alias("has_same_video"), F.concat(F.lit("v"), vid).alias("same_video"), F.lit(0).alias("err_code"))
+    events = asks.unionByName(results)
+    events.unionByName(exchange.end_of(events)).write.parquet(f"{path}/in")
+    stream = exchange.exchanged(spark.readStream.schema(exchange.EVENTS).parquet(f"{path}/in"))
+    stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(exchange.ANSWERS).parquet(f"{path}/out")
+
+
 def pictures(spark, sf_dir):
     """A grey picture of one line made of each vector, its bytes three times."""
     byte = F.transform("embedding", lambda x: F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 1000), F.lit(256))), 2, "0"))
