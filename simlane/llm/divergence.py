@@ -54,12 +54,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def repeat_words(words: Column) -> Column:
-    """Words in windows of three that occur twice or more. Windows are sorted by their hash (64 bits); equal neighbours give the
-    places, of which each adds the words that the place behind it doesn't cover."""
+    """Words in windows of three that occur twice or more. Windows are told by their hash (64 bits); unless all differ they are sorted
+    by it, and equal neighbours give the places, of which each adds the words that the place behind it doesn't cover."""
 
     def windows(w: Column) -> Column:
-        hashed = F.transform(w, lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p")))
-        return F.sort_array(F.slice(hashed, 1, F.greatest(F.size(w) - 2, F.lit(0))))
+        hashed = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+        return F.slice(hashed, 1, F.greatest(F.size(w) - 2, F.lit(0)))
+
+    def repeats(h: Column) -> Column:
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(let(ordered, lambda s: let(places(s), covered)))
 
     def places(s: Column) -> Column:
         same = lambda x, i: F.coalesce(x["h"] == F.get(s, i)["h"], F.lit(False))
@@ -69,7 +73,7 @@ def repeat_words(words: Column) -> Column:
         gaps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
 
-    return let(words, lambda w: let(windows(w), lambda s: let(places(s), covered)))
+    return let(words, lambda w: let(windows(w), repeats))
 
 
 def references(counts: DataFrame) -> DataFrame:
