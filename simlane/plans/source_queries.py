@@ -233,7 +233,12 @@ def exchanged_results(spark, sf_dir):
     events = asks.unionByName(results)
     events.unionByName(exchange.end_of(events)).write.parquet(f"{path}/in")
     stream = exchange.exchanged(spark.readStream.schema(exchange.EVENTS).parquet(f"{path}/in"))
-    stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    try:  # a partition of state has a worker of its own in each batch
+        spark.conf.set("spark.sql.shuffle.partitions", min(int(kept), spark.sparkContext.defaultParallelism))
+        stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
     return spark.read.schema(exchange.ANSWERS).parquet(f"{path}/out")
 
 

@@ -36,24 +36,25 @@ class Exchange(StatefulProcessor):
         self.result = handle.getValueState("result", _EVENT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        times = set()
+        rows_, first = [], None
         for pdf in rows:
             for r in pdf.itertuples(index=False):
                 ms = int(r.at.value // 1_000_000)
                 blank = lambda x: None if pd.isna(x) else x
                 same, code = blank(r.has_same_video), blank(r.err_code)
-                self.events.appendValue((ms, r.kind == "ask", None if same is None else bool(same), blank(r.same_video), None if code is None else int(code)))
-                times.add(ms)
-        for ms in times:
-            self.handle.registerTimer(ms)
+                rows_.append((ms, r.kind == "ask", None if same is None else bool(same), blank(r.same_video), None if code is None else int(code)))
+                first = ms if first is None else min(first, ms)
+        self.events.appendList(rows_)
+        self.handle.registerTimer(first)  # whatever it finds then it settles at once
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         now = timerValues.getCurrentWatermarkInMs()  # nothing older comes any more, so all up to here is settled at once
         out = []
-        waiting = [w[0] for w in self.waiting.get()] if self.waiting.exists() else []
-        kept = tuple(self.result.get()) if self.result.exists() else None
-        events = [tuple(e) for e in self.events.get()] if self.events.exists() else []
+        waiting = [w[0] for w in self.waiting.get()]
+        kept = self.result.get()
+        kept = None if kept is None else tuple(kept)
+        events = [tuple(e) for e in self.events.get()]
         before = waiting, kept, events
         due = sorted((e for e in events if e[0] <= now), key=lambda e: (e[0], e[1], repr(e)))  # a result before requests of its time
         for ms, ask, *told in due:
@@ -70,8 +71,9 @@ class Exchange(StatefulProcessor):
                 kept = (ms, False, *told)
         waiting, kept = self._leave(key, waiting, kept, now, out)
         left = [e for e in events if e[0] > now]
-        for ms in {w + self.wait + 1 for w in waiting if w not in before[0]} | ({kept[0] + self.keep + 1} if kept is not None and kept != before[1] else set()):
-            self.handle.registerTimer(ms)
+        again = [e[0] for e in left] + [w + self.wait + 1 for w in waiting] + [kept[0] + self.keep + 1 for _ in range(kept is not None)]
+        if again:
+            self.handle.registerTimer(min(again))
         for state, old, new in ((self.events, before[2], left), (self.waiting, before[0], waiting)):
             if old != new:
                 state.clear()
