@@ -12,6 +12,9 @@ from simlane.llm.common import pick
 #: The words of a text, the unit of length unless a caller gives another.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+#: Places of equal pieces that are made at once.
+RANGE = 4096
+
 
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
@@ -70,7 +73,7 @@ def pack(docs: DataFrame, buckets: int = 8, max_len: int = 2048, token_budget: i
     chosen. A bucket is dealt by hash into shards of about shard_rows rows, so that a bucket with most of the rows is
     filled by many tasks; each shard ends with at most one batch that is not full. Repeated rows are packed as often
     as they occur: equal pieces are counted before they are dealt, take consecutive places and are written out after
-    that, so a row repeated without end doesn't fill a task. Rows without an id are dealt by their text's MD5. An empty
+    that, in ranges that are dealt to all tasks, so a row repeated without end doesn't fill one. Rows without an id are dealt by their text's MD5. An empty
     table gives no rows; other columns are ignored."""
     p = pieces(docs, max_len, length)
     hist = sorted((int(r[0]), int(r[1])) for r in p.groupBy("n_tokens").count().collect())
@@ -92,7 +95,10 @@ def pack(docs: DataFrame, buckets: int = 8, max_len: int = 2048, token_budget: i
     w = Window.partitionBy("bucket_len", "_shard").orderBy("_order", "doc_id", "piece", "n_tokens", "first")
     before = F.sum("_rows").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
     room = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.col("bucket_len"))).cast("long")
-    at = p.withColumn("_before", before).withColumn("_at", F.explode(F.sequence(F.col("_before"), F.col("_before") + F.col("_rows") - 1)))
+    # places of many equal pieces are written out range by range, by many tasks
+    ranges = p.withColumn("_before", before).withColumn("_range", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_rows") - 1) / RANGE))))
+    ranges = ranges.repartition("_order", "_range").withColumn("_from", F.col("_before") + F.col("_range") * RANGE)
+    at = ranges.withColumn("_at", F.explode(F.sequence("_from", F.least(F.col("_from") + RANGE, F.col("_before") + F.col("_rows")) - 1)))
     batch = F.concat_ws("-", F.col("bucket_len").cast("string"), F.col("_shard").cast("string"), F.floor(F.col("_at") / room).cast("string"))
     return at.select("doc_id", "piece", "first", "n_tokens", "bucket_len", batch.alias("batch_id"), F.pmod("_at", room).cast("int").alias("slot"))
 
