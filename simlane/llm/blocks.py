@@ -7,6 +7,7 @@ block, neither side is broadcast or collected, and a query gets back from a page
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -164,11 +165,13 @@ def search(data: DataFrame, asked: DataFrame, k: int, score: str, reach: Callabl
     kind = pa.float64() if score == "double" else pa.int64()
     routed = "g long, block int, q_dim int, q_ids binary, q_vecs binary, q_floors binary"
 
-    def route(best: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def route(best: bool, bare: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Queries by the pages they go to, those of a row with a number; bare: only how many go to each page."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            seq = TaskContext.get().partitionId()
+            seq, asks = TaskContext.get().partitionId(), Counter()
             for ids, v, part in matrices(batches, ROUTED):
                 floor = part["floor"].to_numpy()
                 seq += 1
@@ -183,11 +186,16 @@ def search(data: DataFrame, asked: DataFrame, k: int, score: str, reach: Callabl
                         own = np.flatnonzero(top == j) if best else np.flatnonzero((bound[:, j] >= floor) & (top != j))
                         if len(own):
                             goes.append((g, own))
+                if bare:
+                    asks.update({g: len(own) for g, own in goes})
+                    continue
                 for g, own in goes:
                     yield pa.RecordBatch.from_pydict({
-                        "g": pa.array([g], pa.int64()), "block": pa.array([seq % blocks], pa.int32()), "q_dim": pa.array([v.shape[1]], pa.int32()), "q_ids": pa.array([ids[own].astype(np.int64).tobytes()], pa.binary()),
+                        "g": pa.array([g], pa.int64()), "block": pa.array([seq], pa.int32()), "q_dim": pa.array([v.shape[1]], pa.int32()), "q_ids": pa.array([ids[own].astype(np.int64).tobytes()], pa.binary()),
                         "q_vecs": pa.array([np.ascontiguousarray(v[own]).tobytes()], pa.binary()), "q_floors": pa.array([floor[own].tobytes()], pa.binary()),
                     })
+            if bare and asks:
+                yield pa.RecordBatch.from_arrays([pa.array(list(asks), pa.int64()), pa.array(list(asks.values()), pa.int64())], names=["page", "n"])
 
         return run
 
@@ -206,11 +214,19 @@ def search(data: DataFrame, asked: DataFrame, k: int, score: str, reach: Callabl
         empty = [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(np.concatenate(c), t) for c, t in zip(zip(*found, strict=True) if found else [[e] for e in empty], (pa.int64(), pa.int64(), kind), strict=True)], names=["query_id", "vec_id", "score"])
 
-    g = F.col("page") if known is not None else F.pmod(F.xxhash64("page"), F.lit(max(1, n_pages)))
-    left = data.select(g.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "dim", "ids", "vecs", "extra")
-
     def hits(asked: DataFrame, best: bool) -> DataFrame:
-        right = asked.select("vec_id", "v", "floor").mapInArrow(route(best), routed)
+        """A page goes once to each block of the queries that ask for it, and has as many blocks as these fill."""
+        queries = asked.select("vec_id", "v", "floor")
+        right = queries.mapInArrow(route(best, False), routed)
+        if known is None:
+            g = F.pmod(F.xxhash64("page"), F.lit(max(1, n_pages)))
+            left = data.select(g.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "dim", "ids", "vecs", "extra")
+            right = right.withColumn("block", F.pmod("block", F.lit(blocks)))
+        else:
+            # a row a page that is asked for, of which there are fewer than bytes in ABOUT_BYTES / 16
+            full = staged(queries.mapInArrow(route(best, True), "page long, n long").groupBy("page").agg(F.ceil(F.sum("n") / BLOCK_QUERIES).cast("int").alias("full")))
+            left = data.join(F.broadcast(full), "page").select(F.col("page").alias("g"), F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("block"), "dim", "ids", "vecs", "extra")
+            right = right.join(F.broadcast(full), F.col("g") == F.col("page")).withColumn("block", F.pmod("block", "full")).drop("page", "full")
         return left.groupBy("g", "block").cogroup(right.groupBy("g", "block")).applyInArrow(met, HITS.format(score=score))
 
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
@@ -226,8 +242,9 @@ def search(data: DataFrame, asked: DataFrame, k: int, score: str, reach: Callabl
     first = staged(ranked(hits(asked, True)))
     low = F.col("score").cast("double")
     lifted = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), (low - F.abs(low) * 2.0**-50).alias("reached"))
+    # written, as it is routed twice: its rows have to come in the same order
     now = asked.join(lifted, "vec_id", "left").select("vec_id", "v", F.greatest("floor", F.coalesce("reached", F.lit(float("-inf")))).alias("floor"))
-    return ranked(first.drop("rank").unionByName(hits(now, False)))
+    return ranked(first.drop("rank").unionByName(hits(staged(now), False)))
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -157,6 +157,31 @@ def test_queries_go_only_to_pages_that_can_answer(spark, monkeypatch, search):
     assert sent.value < 30 * 30 / 2
 
 
+@pytest.mark.parametrize("search", [ann_bits.nearest, exact_topk.top_k])
+def test_pages_go_only_to_blocks_that_ask(spark, monkeypatch, search):
+    """Clusters far apart, one block of queries or eight: pages aren't copied for blocks that don't need them."""
+    r = np.random.default_rng(3)
+    centre = r.normal(size=(16, 16)) * 20
+    v = centre[np.arange(640) % 16] + r.normal(size=(640, 16)) * 0.1
+    e = table(spark, [(i, x.tolist()) for i, x in enumerate(v)])
+    find, met = blocks.search, {}
+    for n in (1, 8):
+        calls = spark.sparkContext.accumulator(0)
+
+        def counted(data, asked, k, score, reach, one, calls=calls):
+            def f(x, q):
+                calls.add(1)
+                yield from one(x, q)
+
+            return find(data, asked, k, score, reach, f)
+
+        monkeypatch.setattr(blocks, "search", counted)
+        monkeypatch.setattr(blocks, "BLOCK_QUERIES", 64 // n)
+        search(e, e.where("vec_id % 10 = 0"), k=5, page_rows=40).collect()
+        met[n] = calls.value
+    assert met[8] <= 1.2 * met[1]
+
+
 def test_best():
     i, s = blocks.best(np.array([5, 3, 9, 1]), np.array([1.0, 2.0, 2.0, 0.0]), 3)
     assert i.tolist() == [3, 9, 5] and s.tolist() == [2, 2, 1]
