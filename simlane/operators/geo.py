@@ -33,14 +33,34 @@ def boxed(polygons: DataFrame) -> DataFrame:
     return polygons.select("*", F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
 
 
+def cover(polygons: DataFrame, step: float) -> DataFrame:
+    """polygons (ring, ...) with the square cells (cx, cy) of width step that they meet: each with `whole`, true if all of
+    the cell is inside, when no ring is needed any more and it is null. A cell that an edge touches is border: their boxes meet and its
+    corners aren't all on one side of the edge."""
+    x, y = F.col("cx") * step, F.col("cy") * step
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / step), F.floor(F.col(hi) / step)))
+    met = boxed(polygons).withColumn("cx", cells("x0", "x1")).withColumn("cy", cells("y0", "y1"))
+
+    def touches(a: Column, i: Column) -> Column:
+        b = F.get(F.col("ring"), F.when(i == 0, F.size("ring") - 1).otherwise(i - 1))
+        near = (F.least(a["x"], b["x"]) <= x + step) & (F.greatest(a["x"], b["x"]) >= x) & (F.least(a["y"], b["y"]) <= y + step) & (F.greatest(a["y"], b["y"]) >= y)
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        sides = [dx * (v - a["y"]) - dy * (u - a["x"]) for u in (x, x + step) for v in (y, y + step)]
+        slack = (F.abs(dx) + F.abs(dy)) * (F.abs(x) + F.abs(y) + step) * 1e-12
+        return near & (F.least(*sides) <= slack) & (F.greatest(*sides) >= -slack)
+
+    edges = F.size(F.filter("ring", touches))
+    met = met.withColumn("border", edges > 0).where(F.col("border") | inside(F.col("ring"), x + step / 2, y + step / 2))
+    return met.withColumn("whole", ~F.col("border")).withColumn("ring", F.when(F.col("border"), F.col("ring"))).drop("border", "x0", "x1", "y0", "y1")
+
+
 def containing(points: DataFrame, polygons: DataFrame, keys: Sequence[str] = (), step: float = 1.0) -> DataFrame:
     """points (id, x, y, keys...) joined to polygons (code, ring, keys...) that contain them: id, code, the least code
-    where several do. Boxes are cut into strips of x of width `step`; strip and keys are the join's equality keys, the
-    box and the exact test are applied to what meets."""
-    boxes = boxed(polygons).withColumn("strip", F.explode(F.sequence(F.floor(F.col("x0") / step), F.floor(F.col("x1") / step))))
-    met = points.withColumn("strip", F.floor(F.col("x") / step)).join(boxes, ["strip", *keys])
-    met = met.where((F.col("x") >= F.col("x0")) & (F.col("x") <= F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") <= F.col("y1")))
-    return met.where(inside(F.col("ring"), F.col("x"), F.col("y"))).groupBy("id").agg(F.min("code").alias("code"))
+    where several do. Polygons are covered by cells of width `step` (cover); cell and keys are the join's equality keys. A cell that
+    is wholly inside needs no test; in those of the border the exact test is made."""
+    cells = cover(polygons, step).select("code", "cx", "cy", "whole", "ring", *keys)
+    met = points.withColumns({"cx": F.floor(F.col("x") / step), "cy": F.floor(F.col("y") / step)}).join(cells, ["cx", "cy", *keys])
+    return met.where(F.col("whole") | inside(F.col("ring"), F.col("x"), F.col("y"))).groupBy("id").agg(F.min("code").alias("code"))
 
 
 def locate(points: DataFrame, polygons: DataFrame, districts: Sequence[str] = (), step: float = 1.0) -> DataFrame:

@@ -6,16 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simlane.session import checkpointed
 
-#: Frames that a fold adds to at once, as adding to an array copies it.
-BLOCK = 256
-
-
 def collapse(df: DataFrame, group: str = "vid", order: str = "pos", value: str = "hash") -> DataFrame:
     """Drops values equal to the one before them and numbers the rest from 0."""
     w = Window.partitionBy(group).orderBy(order)
@@ -31,29 +28,32 @@ def l1(a: Column, b: Column) -> Column:
 def changes(df: DataFrame, threshold: float, invalid: list[str] | None = None) -> DataFrame:
     """(vid, pos, feature, hash) -> (vid, hashes): a frame is taken if its feature is further than the threshold from
     the frame before and from the last frame taken; the first frame always is. A hash in `invalid` is not given out
-    and doesn't become the last one taken. The last taken frame depends on all before it, hence a fold."""
-    frames = df.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "feature", "hash"))).alias("frames"))
-    last = ((F.size("frames") - 1) / BLOCK).cast("int")
-    frames = frames.select("vid", F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("frames", b * BLOCK + 1, BLOCK)).alias("blocks"))
-    kind = df.schema["feature"].dataType.simpleString()
-    none = F.lit(None).cast(kind)
-
-    def state(before: Column, key: Column, out: Column) -> Column:
-        return F.struct(before.alias("before"), key.alias("key"), out.alias("out"))
-
-    def step(s: Column, f: Column) -> Column:
-        far = (s["before"].isNull() | (l1(f["feature"], s["before"]) > threshold)) & (s["key"].isNull() | (l1(f["feature"], s["key"]) > threshold))
-        good = ~f["hash"].isin(invalid) if invalid else F.lit(True)
-        take = far & good
-        return state(f["feature"], F.when(take, f["feature"]).otherwise(s["key"]), F.when(take, F.concat(s["out"], F.array(f["hash"]))).otherwise(s["out"]))
-
-    def block(s: Column, b: Column) -> Column:
-        done = F.aggregate(b, state(s["before"], s["key"], F.array().cast("array<string>")), step)
-        # an array of one stands for a name, so that the block is gone through once
-        return F.transform(F.array(done), lambda d: state(d["before"], d["key"], F.concat(s["out"], F.array(d["out"]))))[0]
-
-    start = state(none, none, F.array().cast("array<array<string>>"))
-    return frames.select("vid", F.flatten(F.aggregate("blocks", start, block, lambda s: s["out"])).alias("hashes"))
+    and doesn't become the last one taken. The last taken frame depends on all before it, so frames are brought into order by video
+    and gone through batch by batch, with two frames carried on; only the hashes of taken ones meet in a row."""
+    vid, refused = df.schema["vid"].dataType.simpleString(), frozenset(invalid or ())
+    ordered = df.select("vid", "pos", F.col("feature").cast("array<double>").alias("feature"), "hash").repartition("vid").sortWithinPartitions("vid", "pos")
+    taken = ordered.mapInArrow(lambda batches: _taken(batches, threshold, refused), f"vid {vid}, pos long, hash string")
+    frames = F.filter(F.collect_list(F.struct("pos", "hash")), lambda x: x["pos"].isNotNull())
+    return taken.groupBy("vid").agg(F.transform(F.array_sort(frames), lambda x: x["hash"]).alias("hashes"))
+
+
+def _taken(batches: Iterator[pa.RecordBatch], threshold: float, refused: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    """Taken frames of sorted ones, and of each video a row without a frame, so that none is lost."""
+    now = before = key = None
+    first = True
+    for batch in batches:
+        vids, hashes, at = batch.column("vid").to_pylist(), batch.column("hash").to_pylist(), batch.column("pos").to_pylist()
+        features = [None if f is None else np.asarray(f, float) for f in batch.column("feature").to_pylist()]
+        rows: list[tuple] = []
+        for vid, pos, feature, h in zip(vids, at, features, hashes, strict=True):
+            if first or vid != now:
+                now, before, key, first = vid, None, None, False
+                rows.append((vid, None, None))
+            if all(x is None or (feature is not None and np.abs(feature - x).sum() > threshold) for x in (before, key)) and h is not None and h not in refused:
+                key = feature
+                rows.append((vid, pos, h))
+            before = feature
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], batch.schema.field("vid").type), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["vid", "pos", "hash"])
 
 
 def strip_intro(hashes: Column, intro: list[str]) -> Column:
@@ -211,7 +211,7 @@ def run_matches(queries: DataFrame, items: DataFrame, pairs: DataFrame | None =
 def _by_automaton(queries: DataFrame, items: DataFrame, wanted: DataFrame) -> DataFrame:
     """A row holds the two sequences of a pair."""
     kinds = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in ("q", "c"))
-    listed = lambda d, ids, k, to: d.join(ids.select(F.col(k).alias("vid")).distinct(), "vid", "left_semi").groupBy(F.col("vid").alias(k)).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash"))), lambda x: x["hash"]).alias(to))
+    listed = lambda d, ids, k, to: d.join(ids.select(F.col(k).alias("vid")).distinct(), "vid").groupBy(F.col("vid").alias(k)).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash"))), lambda x: x["hash"]).alias(to))
     met = wanted.select("q", "c").join(listed(queries, wanted, "q", "a"), "q").join(listed(items, wanted, "c", "b"), "c")
     return met.select("q", "c", "a", "b").mapInArrow(_walked, f"{kinds}, repeated long, period long")
 

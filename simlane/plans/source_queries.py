@@ -48,6 +48,11 @@ def named_file(lines: DataFrame, path: str) -> None:
     fs.delete(source, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(old)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).rename(at, spark._jvm.org.apache.hadoop.fs.Path(new))
+
+
 @query("word_vectors", "SELECT 'v' || vec_id AS word, CAST(vec_id AS DOUBLE) AS v0, CAST(label AS DOUBLE) AS v1 FROM embeddings")
 def word_vectors(spark, sf_dir):
     """Lines of a word and two numbers; lines of another length are left out."""
@@ -181,11 +186,13 @@ def score_files(spark, sf_dir):
 
 @query("paged_records", "SELECT row_number() OVER (ORDER BY event_id) - 1 AS number, CAST(event_id AS VARCHAR) AS value FROM events")
 def paged_records(spark, sf_dir):
-    """All records of a library that is read in pages."""
+    """All records of a library of several files, numbered through."""
     path = folder(spark, "library")
-    named_file(table(spark, sf_dir, "events").orderBy("event_id").select(F.col("event_id").cast("string").alias("value")), f"{path}/a.jsonl")
-    spark.dataSource.register(keyed.PagedLibrary)
-    return spark.read.format("paged_library").option("path", path).option("page", "1000").load()
+    table(spark, sf_dir, "events").select("event_id").orderBy("event_id").select(F.col("event_id").cast("string").alias("value")).write.text(f"{path}/parts")
+    names = spark.read.text(f"{path}/parts").select(F.col("_metadata.file_name").alias("name")).distinct().collect()
+    for r in names:
+        rename(spark, f"{path}/parts/{r['name']}", f"{path}/parts/{r['name']}.jsonl")
+    return keyed.numbered_lines(spark, f"{path}/parts")
 
 
 _STREAMED = f"{in_order_sql(D.V2, 'vid % 2, vid')} SELECT vid, CASE WHEN len(hit) = 0 THEN 1 ELSE 0 END AS is_unique, hit[1].c AS similar_vid FROM told"

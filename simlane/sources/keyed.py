@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
+from simlane.session import checkpointed
+
 
 def members(landing: DataFrame, kind: str, day: str) -> DataFrame:
     """Ids of the set of a kind and day."""
@@ -28,6 +30,21 @@ def backfill(landing: DataFrame, kind: str, days: list[str], prefix: str = "item
     return ids.withColumn("key", F.concat(F.lit(prefix), "id")).join(landing.where(F.col("day").isNull()).select("key", "value"), "key").select("day", "id", "value")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(number, value): the lines of a folder's .jsonl files, numbered from 0 in the order of file names and lines. Files are
+    split and read by tasks; a split's lines are counted there, and the driver sums up one count a split. Names are those of the file system."""
+    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("at"))
+    lines = checkpointed(lines)  # counted and numbered as it was read once
+    counts = sorted((r["file"], r["begin"], r["n"], r["first"]) for r in lines.groupBy("file", "begin").agg(F.count("*").alias("n"), F.min("at").alias("first")).collect())
+    starts, total = [], 0
+    for file, begin, n, first in counts:
+        starts.append((file, begin, total - first))
+        total += n
+    table = spark.createDataFrame(starts, "file string, begin long, shift long")  # a row a split
+    return lines.join(F.broadcast(table), ["file", "begin"]).select((F.col("at") + F.col("shift")).alias("number"), "value")
+
+
 class _Page(InputPartition):
     """Records first .. first + n - 1, the first of which begins at a byte of a file."""
 

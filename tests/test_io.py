@@ -74,6 +74,23 @@ def test_paged_library(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).select("number").distinct().count() == 25
 
 
+def test_numbered_lines(spark, tmp_path):
+    """Files in splits of 200 bytes; other files and an empty one are passed over."""
+    want = []
+    for name in ("b.jsonl", "a.jsonl", "c.jsonl"):
+        (tmp_path / name).write_text("".join(f"{name}{i}\n" for i in range(0 if name[0] == "c" else 100)))
+    (tmp_path / "x.txt").write_text("no\n")
+    want = [f"{n}.jsonl{i}" for n in "ab" for i in range(100)]
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+    try:
+        rows = keyed.numbered_lines(spark, str(tmp_path))
+        assert [r["value"] for r in rows.orderBy("number").collect()] == want
+        assert sorted(r["number"] for r in rows.collect()) == list(range(200))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_pages_begin_where_the_last_ended(tmp_path):
     """By byte, over several files, with a line cut off at the end and letters of several bytes."""
     (tmp_path / "a.jsonl").write_text("é0\n1\n\n3\n")

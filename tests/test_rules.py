@@ -34,6 +34,19 @@ def test_overlap_and_levels(spark):
     assert {r["kind"] for r in geo.locate(p, rings, ["P1"]).collect()} == {"district", "none"}
 
 
+def test_cover_spares_tests_and_changes_nothing(spark):
+    """Points in a wide polygon and in one with a bay, by the ray test and by cells; few points need the test."""
+    rings = {"W": "-7,-3;90,-3;90,31;-7,31", "B": "0,0;40,0;40,40;20,5;0,40", "T": "3,3;4,3;3.5,4", "N": "1,1"}
+    polygons = spark.createDataFrame(list(rings.items()), "code string, line string").select("code", geo.parse_ring(F.col("line")).alias("ring"))
+    points = spark.range(4000).select("id", (F.col("id") % 80 * 1.25 - 8).alias("x"), (F.floor(F.col("id") / 80) * 0.9 - 5).alias("y"))
+    want = points.crossJoin(polygons).where(geo.inside(F.col("ring"), F.col("x"), F.col("y"))).groupBy("id").agg(F.min("code").alias("code"))
+    for step in (0.7, 2.5, 10.0, 1000.0):
+        assert sorted(geo.containing(points, polygons, step=step).collect()) == sorted(want.collect())
+    cells = geo.cover(polygons, 2.5)
+    met = points.withColumns({"cx": F.floor(F.col("x") / 2.5), "cy": F.floor(F.col("y") / 2.5)}).join(cells, ["cx", "cy"])
+    assert met.where("not whole").count() < met.where("whole").count() / 2
+
+
 def test_grid(spark):
     got = geo.grid(spark, 12883, 12885, 4000, 4002).orderBy("id").collect()
     assert [(r["id"], r["x"], r["y"]) for r in got][0] == ("128834000", 128.83, 40.0)

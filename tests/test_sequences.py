@@ -97,9 +97,19 @@ def test_cells_are_made_for_wanted_pairs_only(spark):
 
 
 def test_changes_of_a_long_video(spark):
-    rows = [("v", i, [float(i * 10)], f"h{i}") for i in range(3 * S.BLOCK + 5)]
-    got = S.changes(spark.createDataFrame(rows, "vid string, pos int, feature array<double>, hash string"), 5.0).first()["hashes"]
-    assert got == [r[3] for r in rows]
+    """A video of 300,000 frames beside one of none that counts: batches are gone through, no row holds a video."""
+    n = 300_000
+    frames = spark.range(n).select(F.lit("v").alias("vid"), F.col("id").alias("pos"), F.array((F.col("id") % 100).cast("double")).alias("feature"), F.col("id").cast("string").alias("hash"))
+    none = spark.createDataFrame([("w", 0, [1.0], "x"), ("w", 1, None, None)], frames.schema)
+    got = {r["vid"]: r["hashes"] for r in S.changes(frames.unionByName(none), 50.0, ["x"]).collect()}
+    want, before, key = [], None, None
+    for i in range(n):
+        f = i % 100
+        if (before is None or abs(f - before) > 50) and (key is None or abs(f - key) > 50):
+            want.append(str(i))
+            key = f
+        before = f
+    assert got == {"v": want, "w": []}
 
 
 def test_changes_against_loop(spark):
