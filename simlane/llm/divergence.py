@@ -10,6 +10,7 @@ which tasks send partial ones. Only the references meet the documents."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 
@@ -24,6 +25,8 @@ SPACE, SYMBOLS = r"[\x20\x09-\x0D]+", "#*$%&|<>"
 CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "stop": r".,;:?'\x22()-"}
 #: Words of a reference; words and characters below which a document isn't compared; largest distances of what is kept.
 COMMON, MIN_WORDS, MIN_CHARS, FAR_WORDS, FAR_CHARS = 24, 50, 200, 0.4, 0.3
+#: The divergence that a sample of n words of the reference itself has by chance is about BY_CHANCE / n bits: so much more is let pass.
+BY_CHANCE = COMMON / (8 * math.log(2))
 #: Languages up to which the references are broadcast (about 2 KB each).
 BROADCAST_LANGUAGES = 4096
 #: Base rules: fewest words, largest share of words in repeated windows in percent.
@@ -137,7 +140,8 @@ def judged(documents: DataFrame, far_words: float = FAR_WORDS, far_chars: float
     met = met.withColumn("counts", F.when((F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull(), common_counts(F.col("w"), F.col("common"))))
     met = met.withColumn("word_distance", F.when(F.col("counts").isNotNull(), distance(ratio("counts", F.col("n_words")), F.col("ref_words"))))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    far = (F.coalesce("char_distance", F.lit(0.0)) > far_chars) | (F.coalesce("word_distance", F.lit(0.0)) > far_words)
+    most = F.sqrt(far_words**2 + BY_CHANCE / F.col("n_words"))
+    far = (F.coalesce("char_distance", F.lit(0.0)) > far_chars) | (F.col("word_distance").isNotNull() & (F.col("word_distance") > most))
     return met.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"),
         F.round("char_distance", 4).alias("char_distance"), F.round("word_distance", 4).alias("word_distance"),
@@ -177,6 +181,6 @@ far AS (SELECT c.r, CASE WHEN n_chars >= {MIN_CHARS} THEN {distance("list_transf
   FROM c LEFT JOIN hist ON hist.r = c.r LEFT JOIN ref ON ref.lang IS NOT DISTINCT FROM c.lang)
 SELECT doc_id, n_words, n_chars AS word_chars, {without(re.escape(SYMBOLS))} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
   n_words < {LEAST_WORDS} OR 100 * coalesce(rep.n, 0) > {MOST_REPEATED} * n_words AS base_failed,
-  NOT (n_words < {LEAST_WORDS} OR 100 * coalesce(rep.n, 0) > {MOST_REPEATED} * n_words) AND coalesce(char_distance, 0) <= {FAR_CHARS} AND coalesce(word_distance, 0) <= {FAR_WORDS} AS kept,
+  NOT (n_words < {LEAST_WORDS} OR 100 * coalesce(rep.n, 0) > {MOST_REPEATED} * n_words) AND coalesce(char_distance, 0) <= {FAR_CHARS} AND (word_distance IS NULL OR word_distance <= sqrt({FAR_WORDS**2!r} + {BY_CHANCE!r} / n_words)) AS kept,
   round(char_distance, 4) AS char_distance, round(word_distance, 4) AS word_distance
 FROM c LEFT JOIN rep ON rep.r = c.r LEFT JOIN far ON far.r = c.r"""

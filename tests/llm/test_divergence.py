@@ -59,8 +59,9 @@ def test_distances(spark, small):
             own = Counter(w)
             p = [own[x] / len(w) for x in top]
             assert r["word_distance"] == pytest.approx(jsd([*p, 1 - sum(p)], ref), abs=2e-4)
-        far = (r["char_distance"] or 0) > D.FAR_CHARS or (r["word_distance"] or 0) > D.FAR_WORDS
-        if abs((r["word_distance"] or 0) - D.FAR_WORDS) > 1e-3 and abs((r["char_distance"] or 0) - D.FAR_CHARS) > 1e-3:
+        most = math.sqrt(D.FAR_WORDS**2 + D.BY_CHANCE / max(1, len(w)))
+        far = (r["char_distance"] or 0) > D.FAR_CHARS or (r["word_distance"] or 0) > most
+        if abs((r["word_distance"] or 0) - most) > 1e-3 and abs((r["char_distance"] or 0) - D.FAR_CHARS) > 1e-3:
             assert r["kept"] == (not r["base_failed"] and not far)
 
 
