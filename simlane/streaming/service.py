@@ -54,11 +54,12 @@ def read_index(spark: SparkSession, path: str, schema: str, before: int) -> Data
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def compact(spark: SparkSession, path: str, schema: str, batch_id: int) -> None:
-    """Writes the index up to and with a batch as a snapshot, by hash, and removes what the snapshot before it holds: a
-    batch that runs again still finds the one it had."""
+def compact(spark: SparkSession, path: str, schema: str, batch_id: int, oldest: Column | None = None) -> None:
+    """Writes the index up to and with a batch as a snapshot, by hash, without what is older than `oldest`, and removes what the
+    snapshot before it holds: a batch that runs again still finds the one it had."""
     before = index_folders(spark, path, batch_id)
-    read_index(spark, path, schema, batch_id + 1).repartitionByRange("hash").sortWithinPartitions("hash", "vid").write.mode("overwrite").parquet(f"{path}/upto={batch_id}")
+    index = read_index(spark, path, schema, batch_id + 1)
+    (index if oldest is None else index.where(F.col("ts") >= oldest)).repartitionByRange("hash").sortWithinPartitions("hash", "vid").write.mode("overwrite").parquet(f"{path}/upto={batch_id}")
     if before and "/upto=" in before[0]:
         held = int(before[0].rpartition("=")[2])
         fs, at = _file_system(spark, path)
@@ -87,7 +88,8 @@ def detect_batch(batch: DataFrame, batch_id: int, index_path: str, result_path:
     new = batch if variant.refuse_known else batch.join(index.select("vid").distinct(), "vid", "left_anti")
     dedup.indexable(new, verdicts).write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
     if (batch_id + 1) % COMPACT == 0:
-        compact(spark, index_path, kinds, batch_id)
+        oldest = None if variant.max_age_days is None else F.timestamp_seconds(F.unix_timestamp(now) - 86400 * variant.max_age_days)
+        compact(spark, index_path, kinds, batch_id, oldest)
 
 
 def detect_stream(occurrences: DataFrame, index_path: str, result_path: str, variant: dedup.Variant, checkpoint: str, now: Column | None = None) -> DataStreamWriter:

@@ -91,6 +91,18 @@ def test_batches_of_any_size_give_the_same_rows(spark, tmp_path, files):
     assert {r["vid"] for r in service.read_index(spark, str(tmp_path / "index"), "vid string", 99).select("vid").distinct().collect()} == set(index)
 
 
+def test_a_snapshot_leaves_out_what_is_too_old(spark, tmp_path):
+    kind = "vid string, pos int, hash string, ts timestamp"
+    days = {"a": "2023-07-05 00:00:00", "b": "2023-07-04 23:59:59", "c": "2023-12-31 00:00:00"}  # 180 days before the first of 2024
+    for i, (v, t) in enumerate(days.items()):
+        spark.createDataFrame([(v, 0, "x", t)], kind.replace("timestamp", "string")).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/batch={i}")
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    service.compact(spark, str(tmp_path), kind, 2, F.timestamp_seconds(F.unix_timestamp(now) - 86400 * 180))
+    left = service.read_index(spark, str(tmp_path), kind, 3)
+    assert {r["vid"] for r in left.collect()} == {"a", "c"}
+    assert left.collect() and D.fresh(left, now, 180).count() == 2
+
+
 def joined_rows(df):
     """Rows that come out of the joins of the plan that ran."""
     df.collect()
