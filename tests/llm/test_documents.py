@@ -571,3 +571,13 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/{name}/labels.parquet")
         out = p.run(spark, f"{d}/{name}").collect()
         assert (len(out) == 0) if not rows else len(out) >= 0
+
+
+def test_equal_pieces_in_ranges(spark, monkeypatch):
+    """Places of equal pieces come out the same in ranges of any size, also of rows without an id."""
+    rows = [(None, "")] * 23 + [(1, "a b c")] * 9 + [(2, "d"), (3, None)]
+    want = sorted(map(str, packing.pack(table(spark, rows), token_budget=8, shard_rows=4).collect()))
+    assert len(want) == len(rows)
+    for size in (1, 2, 23):
+        monkeypatch.setattr(packing, "RANGE", size)
+        assert sorted(map(str, packing.pack(table(spark, rows), token_budget=8, shard_rows=4).collect())) == want
