@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from simlane.session import checkpointed
+
 
 def index_lines(recommended: DataFrame) -> DataFrame:
     """(doc, video, score, rank) -> one line a doc: doc, a tab, then video \\x01 score joined by \\x02, in order of rank."""
@@ -17,6 +19,7 @@ def index_lines(recommended: DataFrame) -> DataFrame:
 
 def human_log(recommended: DataFrame, titles: DataFrame) -> DataFrame:
     """For each doc a line of its own and one line 'video score title' for each hit: (doc, rank, value); titles: (id, title)."""
+    recommended = checkpointed(recommended)
     heads = recommended.select("doc").distinct().select("doc", F.lit(0).alias("rank"), F.col("doc").cast("string").alias("value"))
     named = recommended.join(titles.select(F.col("id").alias("video"), "title"), "video", "left")
     return heads.unionByName(named.select("doc", "rank", F.concat(F.lit("-" * 10), F.concat_ws(" ", F.col("video").cast("string"), F.col("score").cast("string"), "title")).alias("value")))
