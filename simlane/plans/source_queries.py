@@ -239,7 +239,8 @@ def exchanged_results(spark, sf_dir):
     results = e.where("event_id % 3 > 0").select(vid.alias("vid"), F.lit("result").alias("kind"), F.timestamp_seconds(second + later).alias("at"), (F.col("event_id") % 2 == 0).alias("has_same_video"), F.concat(F.lit("v"), vid).alias("same_video"), F.lit(0).alias("err_code"))
     events = asks.unionByName(results)
     events.unionByName(exchange.end_of(events)).write.parquet(f"{path}/in")
-    stream = exchange.exchanged(spark.readStream.schema(exchange.EVENTS).parquet(f"{path}/in"))
+    buckets = max(1, spark.read.parquet(f"{path}/in").count() // 4000)
+    stream = exchange.exchanged(spark.readStream.schema(exchange.EVENTS).parquet(f"{path}/in"), buckets=buckets)
     kept = spark.conf.get("spark.sql.shuffle.partitions")
     try:  # a partition of state has a worker of its own in each batch
         spark.conf.set("spark.sql.shuffle.partitions", min(int(kept), spark.sparkContext.defaultParallelism))
