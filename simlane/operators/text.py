@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from simlane.session import checkpointed
+
 #: Bytes of UTF-8 up to which a tag is not indexed.
 SHORT_TAG = 3
 
@@ -71,19 +75,122 @@ def longest_match(words: list[str]) -> Callable[[str], list[str]]:
 SCORE = 1_000_000
 
 
+#: Characters of a dictionary up to which each task has it as a tree, and of texts that a task cuts in one go.
+TREE, PIECE = 2_000_000, 200_000
+
+
 def best_words(texts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """texts (id, text) to (id, words): the segmentation of greatest probability, the product of the words' shares of
     the dictionary's weights (word, weight; a missing weight counts 1).
 
     White space separates. In between, the words from a place on are those of the dictionary, and a run of ASCII letters and digits to its
-    end, else one character, with a weight of 1. The word graph is a join of substrings, no longer than the longest word, with the
-    dictionary; the best way from each place to the end is a fold from the last place on, of ways as good that with the longer
-    word first. A null text has null words; ids are those of one row each. A task holds the graph of a stretch without white
-    space."""
+    end, else one character, with a weight of 1; of ways as good that with the longer word comes first. A null text has null words; ids are
+    those of one row each. A dictionary of up to TREE characters goes to all tasks, which find words and ways in place (WordTree); beyond that
+    words are found by a join (joined_words), with the same results. A task holds the graph of a text, there of a stretch."""
     weights = dictionary.select("word", F.greatest(F.coalesce("weight", F.lit(1)), F.lit(1)).cast("long").alias("weight")).where("length(word) > 0").groupBy("word").agg(F.max("weight").alias("weight"))
-    total, longest = weights.agg(F.sum("weight"), F.max(F.length("word"))).first()
+    weights = checkpointed(weights)
+    total, longest, characters = weights.agg(F.sum("weight"), F.max(F.length("word")), F.sum(F.length("word"))).first()
     total, longest = max(1, total or 1), longest or 1
     score = lambda w: F.round(F.log(w / F.lit(float(total))) * SCORE).cast("long")
+    if (characters or 0) > TREE:
+        return joined_words(texts, weights, longest, score)
+    one = texts.sparkSession.range(1).select(score(F.lit(1.0))).first()[0]
+    tree = WordTree([(r["word"], r["score"]) for r in weights.select("word", score(F.col("weight").cast("double")).alias("score")).collect()], one)
+    held = texts.sparkSession.sparkContext.broadcast(tree)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(held.value.cut_all(b.column("text").to_pylist()), pa.list_(pa.string()))], names=["id", "words"])
+
+    return texts.select("id", "text").repartition("id").mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, words array<string>")
+
+
+class WordTree:
+    """A dictionary as a tree of code points, and the best ways through texts; scores are whole numbers."""
+
+    def __init__(self, words: list[tuple[str, int]], one: int):
+        steps: dict[int, int] = {}
+        ends: dict[int, int] = {}
+        for word, score in words:
+            at = 0
+            for x in word:
+                at = steps.setdefault(at << 21 | ord(x), len(steps) + 1)
+            ends[at] = score
+        self.one = one
+        keys = np.fromiter(steps.keys(), np.int64, len(steps))
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], np.fromiter(steps.values(), np.int64, len(steps))[order]
+        self.ends, self.scores = np.zeros(len(steps) + 1, bool), np.zeros(len(steps) + 1, np.int64)
+        for at, score in ends.items():
+            self.ends[at], self.scores[at] = True, score
+
+    def found(self, points: np.ndarray, white: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place, length and score of all words of the dictionary in a text, by place and length; none holds white space."""
+        place = np.flatnonzero(~white) if len(self.keys) else np.zeros(0, np.int64)
+        node, n, out = np.zeros(len(place), np.int64), 0, []
+        while len(place):
+            key = node << 21 | points[place + n]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            met = self.keys[at] == key
+            place, node, n = place[met], self.to[at[met]], n + 1
+            end = self.ends[node]
+            out.append((place[end], np.full(int(end.sum()), n), self.scores[node[end]]))
+            on = place + n < len(points)
+            on[on] = ~white[place[on] + n]
+            place, node = place[on], node[on]
+        if not out:
+            return place, place, place
+        place, length, score = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.argsort(place, kind="stable")
+        return place[order], length[order], score[order]
+
+    def lengths(self, text: str) -> list[int]:
+        """For each place the length of the word that is best from there on, 0 at white space."""
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        white = np.isin(points, [9, 10, 11, 12, 13, 32])
+        place, length, score = self.found(points, white)
+        begin, length, score = np.searchsorted(place, np.arange(len(points) + 1)).tolist(), length.tolist(), score.tolist()
+        # runs of ASCII letters and digits end where the next other character is
+        other = ~(((points >= 48) & (points <= 57)) | ((points >= 65) & (points <= 90)) | ((points >= 97) & (points <= 122)))
+        here = np.arange(len(points))
+        ends = np.minimum.accumulate(np.where(other, here, len(points))[::-1])[::-1]
+        take = np.where(white, 0, np.where(other, 1, ends - here)).tolist()
+        ahead = [0] * (len(points) + 1)
+        for i in range(len(points) - 1, -1, -1):
+            n = take[i]
+            if n:
+                best = self.one + ahead[i + n]
+                for e in range(begin[i], begin[i + 1]):
+                    s = score[e] + ahead[i + length[e]]
+                    if s > best or s == best and length[e] > n:
+                        best, n = s, length[e]
+                ahead[i], take[i] = best, n
+        return take
+
+    def cut_all(self, texts: list[str | None]) -> list[list[str] | None]:
+        out, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < PIECE:
+                size += len(texts[end] or "") + 1
+                end += 1
+            whole, begin = "\n".join(t or "" for t in texts[at:end]), 0
+            take = self.lengths(whole)
+            for t in texts[at:end]:
+                words, i, last = [], begin, begin + len(t or "")
+                while i < last:
+                    if take[i]:
+                        words.append(whole[i : i + take[i]])
+                    i += take[i] or 1
+                out.append(None if t is None else words)
+                begin = last + 1
+            at = end
+        return out
+
+
+def joined_words(texts: DataFrame, weights: DataFrame, longest: int, score: Callable[[Column], Column]) -> DataFrame:
+    """best_words for any dictionary: the word graph is a join of substrings, no longer than the longest word, with the
+    dictionary; the best way from each place to the end is a fold from the last place on."""
     stretches = texts.select("id", F.posexplode(F.split("text", r"\s+")).alias("part", "s")).where("s <> ''")
     place = stretches.select("id", "part", "s", F.explode(F.sequence(F.lit(1), F.length("s"))).alias("i"))
     window = place.select("id", "part", "i", F.expr(f"substring(s, i, {int(longest)})").alias("window"))
