@@ -34,17 +34,17 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, w (the words), n_words, word_chars, n_symbols, n_dup_lines and chars (sizes of the character classes) of each
-    row. Whole texts are gone through for words and lines; classes and symbols are counted in what isn't a lower-case letter."""
+    """doc_id, lang, text (null: empty), w (its words), n_words, word_chars, n_symbols, n_dup_lines and chars (sizes of the character
+    classes) of each row. Whole texts are gone through for words and lines; classes and symbols are counted in what isn't a lower-case letter."""
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     base = pick(docs, "doc_id", "text", "lang").withColumn("text", F.coalesce("text", F.lit("")))
-    base = base.select("doc_id", "lang", F.array_remove(F.split("text", SPACE), "").alias("w"), lines.alias("lines"))
+    base = base.select("doc_id", "lang", "text", F.array_remove(F.split("text", SPACE), "").alias("w"), lines.alias("lines"))
     base = base.withColumn("joined", F.array_join("w", ""))
     base = base.withColumn("rest", F.regexp_replace("joined", r"\p{Ll}+", ""))
     without = lambda c: (F.length("rest") - F.length(F.regexp_replace("rest", f"[{c}]+", ""))).cast("long")
     classes = [(F.length("joined") - F.length("rest")).cast("long"), *map(without, CLASSES.values())]
     base = base.select(
-        "doc_id", "lang", "w", F.size("w").cast("long").alias("n_words"), F.length("joined").cast("long").alias("word_chars"), without(re.escape(SYMBOLS)).alias("n_symbols"),
+        "doc_id", "lang", "text", "w", F.size("w").cast("long").alias("n_words"), F.length("joined").cast("long").alias("word_chars"), without(re.escape(SYMBOLS)).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.array(*classes).alias("chars"),
     )
     others = F.col("word_chars") - F.aggregate("chars", F.lit(0).cast("long"), lambda s, x: s + x)
@@ -80,9 +80,9 @@ def repeat_words(words: Column) -> Column:
 
 
 def references(counts: DataFrame) -> DataFrame:
-    """of (the language), common (its COMMON most frequent words; ties by word), words (shares of these and of the rest) and chars
-    (shares of the classes), from the counted documents that are long enough. The row of the null language has the characters of all
-    documents and no words. A row has a bounded size."""
+    """of (the language), common (its COMMON most frequent words; ties by word), words (shares of these and of the rest), chars
+    (shares of the classes) and pattern (any_of the common words), from the counted documents that are long enough. The row of the
+    null language has the characters of all documents and no words. A row has a bounded size."""
     k = len(CLASSES) + 2
     long = F.when(F.col("n_words") >= LEAST_WORDS, F.struct("w", "n_words", "chars"))  # no filter, which Spark would move below the counting and count twice for
     # of each document one row more, without a word, has its sums
@@ -102,19 +102,26 @@ def references(counts: DataFrame) -> DataFrame:
     named = named.select("of", F.transform("top", lambda x: x["word"]).alias("common"), share(F.concat(times, F.array(others)), F.col("n")).alias("ref_words"), chars.alias("ref_chars"))
     pooled = total.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)]).where("c0 is not null")
     none = pooled.select(F.lit(None).cast("string").alias("of"), F.lit(None).cast("array<string>").alias("common"), F.lit(None).cast("array<double>").alias("ref_words"), chars.alias("ref_chars"))
-    return named.unionByName(none)
+    return named.unionByName(none).withColumn("pattern", any_of(F.col("common")))
 
 
-def common_counts(words: Column, common: Column) -> Column:
-    """How often each common word occurs, and how many words are left: each is taken out of what the ones before it left."""
-    start = F.struct(words.alias("rest"), F.array().cast("array<int>").alias("sizes"))
+def any_of(words: Column) -> Column:
+    """A pattern whose first group is a whole word of a text that is one of these: ASCII punctuation is escaped, all else stands for itself."""
+    escaped = F.transform(words, lambda x: F.regexp_replace(x, r"([!-/:-@\[-`{-~])", r"\\$1"))
+    return F.concat(F.lit(r"(?:^|[\x20\x09-\x0D])("), F.array_join(escaped, "|"), F.lit(r")(?![^\x20\x09-\x0D])"))
+
+
+def common_counts(text: Column, n_words: Column, common: Column, pattern: Column) -> Column:
+    """How often each common word occurs, and how many words are left. One search of the text finds the common words (pattern is
+    any_of them); of these each is taken out of what the ones before it left."""
+    start = F.struct(F.regexp_extract_all(text, pattern, F.lit(1)).alias("rest"), F.array().cast("array<int>").alias("sizes"))
 
     def take(s: Column, word: Column) -> Column:
         return F.struct(F.array_remove(s["rest"], word).alias("rest"), F.concat(s["sizes"], F.array(F.size(s["rest"]))).alias("sizes"))
 
-    left = F.aggregate(common, start, take, lambda s: F.concat(s["sizes"], F.array(F.size(s["rest"]))))
+    left = F.aggregate(common, start, take, lambda s: s["sizes"])  # nothing is left of what was found
     sizes = lambda a: F.zip_with(a, F.slice(a, 2, F.size(a)), lambda x, y: x - F.coalesce(y, F.lit(0)))
-    return let(left, sizes)
+    return let(left, lambda a: F.concat(sizes(a), F.array((n_words - F.get(a, F.lit(0))).cast("int"))))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -134,10 +141,10 @@ def judged(documents: DataFrame, far_words: float = FAR_WORDS, far_chars: float
     counts = counted(documents)
     refs = staged(references(counts))
     refs = F.broadcast(refs) if refs.count() <= BROADCAST_LANGUAGES else refs
-    met = counts.withColumn("n_repeat_words", repeat_words(F.col("w"))).join(refs, F.col("lang").eqNullSafe(F.col("of")), "left")
+    met = counts.withColumn("n_repeat_words", repeat_words(F.col("w"))).drop("w").join(refs, F.col("lang").eqNullSafe(F.col("of")), "left")
     ratio = lambda a, n: F.transform(a, lambda x: x.cast("double") / n)
     met = met.withColumn("char_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance(ratio("chars", F.col("word_chars")), F.col("ref_chars"))))
-    met = met.withColumn("counts", F.when((F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull(), common_counts(F.col("w"), F.col("common"))))
+    met = met.withColumn("counts", F.when((F.col("n_words") >= MIN_WORDS) & F.col("common").isNotNull(), common_counts(F.col("text"), F.col("n_words"), F.col("common"), F.col("pattern"))))
     met = met.withColumn("word_distance", F.when(F.col("counts").isNotNull(), distance(ratio("counts", F.col("n_words")), F.col("ref_words"))))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     most = F.sqrt(far_words**2 + BY_CHANCE / F.col("n_words"))

@@ -98,6 +98,25 @@ def test_more_languages_than_are_broadcast(spark, monkeypatch, small):
     assert sorted(map(str, D.judged(d).collect())) == want
 
 
+def test_common_words_of_odd_form(spark):
+    """Common words that mean something in a pattern, begin like one another or stand beside other white space than a blank."""
+    common = ["a", "a.", ".a", "a|b", "\\E", "\\Qa", "\\1", "$1", "^", "[a-z]", "(?i)", "{2}", "*", "#", " ", "\u0085", "é", "é", "\U0001f600", "aa", "A", "\x01"]
+    texts = [" ".join(common * 2), "\n".join(common) + "\ta", "a a  a\r\na\x0ba\x0ca", " a", "a ", "aaa xa ax a,", "b B . |", "", " a a\u0085", "  a a"]
+    rows = spark.createDataFrame([(t, common) for t in texts], "text string, common array<string>").withColumn("n", F.size(F.array_remove(F.split("text", D.SPACE), "")).cast("long"))
+    got = rows.select("text", D.common_counts(F.col("text"), F.col("n"), F.col("common"), D.any_of(F.col("common"))).alias("c")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        w = re.findall(r"[^\x20\x09-\x0D]+", r["text"])
+        assert r["c"] == [w.count(x) for x in common] + [sum(x not in common for x in w)], r["text"]
+
+
+def test_text_is_searched_once_for_all_common_words(spark, small):
+    """Where documents meet the references, words are not gone through for each common word."""
+    plan = QUERIES["op12_divergence"](spark, small)._jdf.queryExecution().optimizedPlan()
+    above = plan.toString().split("Join LeftOuter")[0]
+    assert above.count("regexp_extract_all(text#") == 1 and not re.search(r"\bw#\d", above)
+
+
 def test_no_python_on_the_main_path(spark, small):
     plan = QUERIES["op12_divergence"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
