@@ -112,6 +112,22 @@ def test_changes_of_a_long_video(spark):
     assert got == {"v": want, "w": []}
 
 
+def test_changes_of_a_long_video_beside_null_features(spark):
+    """As above, with columns that may be null: 300,000 frames of one video, and one of which no frame is given out."""
+    n = 300_000
+    frames = spark.range(n).select(F.lit("v").alias("vid"), F.col("id").alias("pos"), F.array((F.col("id") % 100).cast("double")).alias("feature"), F.col("id").cast("string").alias("hash"))
+    none = spark.createDataFrame([("w", 0, [1.0], "x"), ("w", 1, None, None)], "vid string, pos long, feature array<double>, hash string")
+    got = {r["vid"]: r["hashes"] for r in S.changes(frames.unionByName(none), 50.0, ["x"]).collect()}
+    want, before, key = [], None, None
+    for i in range(n):
+        f = i % 100
+        if (before is None or abs(f - before) > 50) and (key is None or abs(f - key) > 50):
+            want.append(str(i))
+            key = f
+        before = f
+    assert got == {"v": want, "w": []}
+
+
 def test_changes_against_loop(spark):
     rnd = random.Random(5)
     data = {f"v{i}": [(rnd.choice([0.0, 4.0, 11.0, 30.0]), rnd.choice("abx")) for _ in range(15)] for i in range(6)}
