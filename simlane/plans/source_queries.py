@@ -284,9 +284,7 @@ def dumped_frames(spark, sf_dir):
 
 @query("dumped_scores", "SELECT CAST(user_id AS VARCHAR) AS video, count(*) AS n FROM events GROUP BY 1")
 def dumped_scores(spark, sf_dir):
-    """Frames of each video as a log folder by video, counted from the folders. A video's frames are brought together first, so a
-    folder has one file and not one of each task; the folder is new, so tasks move their files there themselves."""
+    """Frames of each video as a log folder by video, a folder one file, counted from the files."""
     path = folder(spark, "frames")
-    shown = frames(spark, sf_dir).select(F.col("video").cast("string").alias("video"), "event_id").repartition("video")
-    shown.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("video").parquet(path)
-    return spark.read.schema("event_id long, video string").parquet(path).groupBy("video").agg(F.count("*").alias("n"))
+    shown = frames(spark, sf_dir).select(F.col("video").cast("string").alias("video"), "event_id")
+    return sinks.folder_rows(sinks.dump_folders(shown, path, "video"), path, "video")

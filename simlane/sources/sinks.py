@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -112,3 +113,60 @@ def dump_frames(frames: DataFrame, folder: str, encode: Callable[[bytes, int, in
             yield pd.DataFrame({"path": paths})
 
     return frames.mapInPandas(run, "path string")
+
+
+def dump_folders(rows: DataFrame, folder: str, by: str) -> DataFrame:
+    """Writes rows as one Parquet file for each value of the text column `by`, <folder>/<by>=<value>/part-0.parquet, and returns (by, path).
+    folder is a URI that all executors reach, and new. Rows are brought together and into order by value and written as they come, so
+    no task holds a value's rows, and neither the driver nor a committer goes through the folders; a task that runs again replaces its files."""
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        now, out, values, paths = None, None, [], []
+        for batch in batches:
+            column, data = batch.column(by).to_pylist(), batch.drop_columns([by])
+            at = 0
+            while at < len(column):
+                value, end = column[at], at + 1
+                while end < len(column) and column[end] == value:
+                    end += 1
+                if out is None or value != now:
+                    if out is not None:
+                        out.close()
+                    # as Spark names the folders of a partitioned table
+                    name = "__HIVE_DEFAULT_PARTITION__" if value is None else re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{}\[\]^]", lambda m: f"%{ord(m[0]):02X}", value)
+                    store.create_dir(f"{base}/{by}={name}", recursive=True)
+                    now, path = value, f"{base}/{by}={name}/part-0.parquet"
+                    out = pq.ParquetWriter(path, data.schema, filesystem=store)
+                    values.append(value)
+                    paths.append(path)
+                out.write_batch(data.slice(at, end - at))
+                at = end
+        if out is not None:
+            out.close()
+        for start in range(0, len(paths), 10_000):
+            part = slice(start, start + 10_000)
+            yield pa.RecordBatch.from_arrays([pa.array(values[part], pa.string()), pa.array(paths[part], pa.string())], names=[by, "path"])
+
+    return checkpointed(rows.repartition(tasks, by).sortWithinPartitions(by).mapInArrow(run, f"{by} string, path string"))
+
+
+def folder_rows(files: DataFrame, folder: str, by: str) -> DataFrame:
+    """(by, n): the rows of each file of dump_folders, told by the files; read where the names are."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            n = [pq.read_metadata(path, filesystem=store).num_rows for path in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(by), pa.array(n, pa.int64())], names=[by, "n"])
+
+    return files.mapInArrow(run, f"{by} string, n long")
